@@ -119,7 +119,7 @@ def count_windows(
                           specs=[RunningSpec("_tw_n", "count")])
     first_k = F.ceil(F.col("_tw_n") / F.lit(slide))
     last_k = F.floor((F.col("_tw_n") + F.lit(size - 1)) / F.lit(slide))
-    d = d.withColumn("window_index", F.explode(F.sequence(first_k, last_k)).cast("long"))
+    d = d.withColumn("window_index", F.explode(F.sequence(first_k.cast("long"), last_k.cast("long"))))
     g = d.groupBy(*keys, "window_index").agg(
         F.max("_tw_n").alias("_tw_last_n"),
         F.max(order).alias(f"last_{order}"),

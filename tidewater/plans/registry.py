@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tidewater.plans import text_jobs
+from tidewater.plans import event_jobs, text_jobs
 
 QUERIES: dict = {}
 ORACLE: dict = {}
-for _mod in (text_jobs,):
+for _mod in (text_jobs, event_jobs):
     QUERIES.update(_mod.QUERIES)
     ORACLE.update(_mod.ORACLE)
