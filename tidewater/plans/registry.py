@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from tidewater.plans import event_jobs, text_jobs
+from tidewater.plans import dashboard, event_jobs, relational, text_jobs
 
 QUERIES: dict = {}
 ORACLE: dict = {}
-for _mod in (text_jobs, event_jobs):
+for _mod in (text_jobs, event_jobs, dashboard, relational):
     QUERIES.update(_mod.QUERIES)
     ORACLE.update(_mod.ORACLE)
