@@ -18,7 +18,8 @@ def java_split(col: Column | str, sep: str = " ") -> Column:
     """``array<string>`` equal to Java ``s.split(sep)`` for a one-character ``sep``."""
     c = F.col(col) if isinstance(col, str) else col
     pat = re.escape(sep)
-    stripped = F.regexp_replace(c, f"(?:{pat})+$", "")
+    # rtrim() removes ASCII spaces only, exactly the trailing separators for " "
+    stripped = F.rtrim(c) if sep == " " else F.regexp_replace(c, f"(?:{pat})+$", "")
     return (
         F.when(c == "", F.array(F.lit("")))
         .when(stripped == "", F.array().cast("array<string>"))

@@ -6,7 +6,7 @@ Lines are ``\\n``-separated (what a line source returns); tokens are the Java
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,10 +26,12 @@ FILTERED_WORD = "haha"
 
 # Documents per micro-batch when the corpus is fed through the upsert sink.
 DOCS_PER_BATCH = 256
+# Files (of DOCS_PER_BATCH documents each) a streaming trigger takes.
+STREAM_FILES_PER_TRIGGER = 10
 
 
 def _docs(spark: SparkSession, sf_dir: str, cols=("doc_id", "text")) -> DataFrame:
-    return read_table(spark, sf_dir, "documents", list(cols))
+    return read_table(spark, sf_dir, "documents", list(cols), spread=True)
 
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,12 +122,12 @@ def kv_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _docs(spark, sf_dir).withColumn("epoch", F.floor(F.col("doc_id") / DOCS_PER_BATCH).cast("long"))
     per_epoch = d.select("epoch", F.explode(tokens_of("text")).alias("word")) \
         .groupBy("word", "epoch").agg(F.count(F.lit(1)).alias("n"))
-    from pyspark.sql import Window
     running = per_epoch.withColumn(
         "frequency", F.sum("n").over(Window.partitionBy("word").orderBy("epoch")
                                       .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     path = scratch_path(spark, "kv_upsert")
-    (running.select("word", "frequency", "epoch").write.mode("overwrite")
+    # one writer per epoch, as each micro-batch writes its own folder
+    (running.select("word", "frequency", "epoch").repartition("epoch").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(path))
     return UpsertLog(spark, path, "word", "frequency").current()
 
@@ -136,7 +138,7 @@ def word_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = scratch_path(spark, "wc_stream_src")
     docs = _docs(spark, sf_dir).withColumn("part", F.floor(F.col("doc_id") / DOCS_PER_BATCH))
     docs.repartition("part").select("text").write.mode("overwrite").text(src)
-    lines = stream_text_lines(spark, src, max_files_per_trigger=2)
+    lines = stream_text_lines(spark, src, max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
     counts = lines.select(F.explode(java_split("value")).alias("word")).groupBy("word") \
         .agg(F.count(F.lit(1)).alias("frequency"))
     table = UpsertLog(spark, scratch_path(spark, "wc_stream_table"), "word", "frequency")
