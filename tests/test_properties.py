@@ -18,10 +18,10 @@ rows_st = st.lists(st.tuples(st.integers(0, 3), st.integers(-50, 50)), min_size=
 
 
 @SETTINGS
-@given(rows=rows_st, width=st.integers(1, 7))
-def test_chunked_running_equals_plain_window(spark, rows, width):
+@given(rows=rows_st, width=st.integers(1, 7), hot=st.sampled_from([None, 0, 5, 1000]))
+def test_chunked_running_equals_plain_window(spark, rows, width, hot):
     df = spark.createDataFrame([(i, k, v) for i, (k, v) in enumerate(rows)], "seq long, k long, v long")
-    got = running_aggregate(df, keys=["k"], order=["seq"], chunk=row_chunk("seq", width), specs=[
+    got = running_aggregate(df, keys=["k"], order=["seq"], chunk=row_chunk("seq", width), hot_threshold=hot, specs=[
         RunningSpec("s", "sum", "v"), RunningSpec("c", "count"), RunningSpec("mx", "max", "v"),
         RunningSpec("mn", "min", "v"), RunningSpec("pmx", "max", "v", exclusive=True)])
     w = Window.partitionBy("k").orderBy("seq")
@@ -48,7 +48,7 @@ def _sim_count_window(rows, size, slide):
 def test_count_windows_match_trigger_and_evictor(spark, rows, size, slide):
     data = [(i, k, v) for i, (k, v) in enumerate(rows)]
     df = spark.createDataFrame(data, "seq long, k long, v long")
-    got = count_windows(df, ["k"], "seq", size, slide, "v", chunk_width=3)
+    got = count_windows(df, ["k"], "seq", size, slide, "v", chunk_width=3, hot_threshold=4)
     assert sorted((r.k, r.window_index, int(r.sum_value)) for r in got.collect()) == \
         _sim_count_window(data, size, slide)
 
@@ -99,7 +99,7 @@ def test_lateness_classes_and_refires_match_simulation(spark, rows):
     classes, firings = _sim_lateness(sim_rows, 60 * sec, 10 * sec, 20 * sec)
     c = classify_lateness(df, "ts", "arrival", "event_id", "1 minute", "10 seconds", "20 seconds", chunk_width=7)
     assert {r.event_id: r.lateness_class for r in c.collect()} == classes
-    f = window_firings(c, ["k"], "value", "arrival", "event_id", chunk_width=7)
+    f = window_firings(c, ["k"], "value", "arrival", "event_id", chunk_width=7, hot_threshold=1)
     # window_end is a naive wall clock; compare offsets from the base day
     import datetime as dt
     got = sorted((r.k, int((r.window_end - dt.datetime(2024, 1, 1)).total_seconds() * sec), r.firing,
@@ -139,7 +139,7 @@ def test_order_timeout_drain_matches_timer_simulation(spark, rows):
     orders = [(i, u, t * 1000) for i, (u, t) in enumerate(rows)]
     df = spark.createDataFrame(orders, "order_id long, user_id long, ms long")
     df = df.withColumn("ts", F.timestamp_add("MILLISECOND", F.col("ms"), F.lit("2024-01-01").cast("timestamp_ntz")))
-    got = order_timeout_drain(df, "user_id", "order_id", "ts", "10 seconds", chunk="7 seconds")
+    got = order_timeout_drain(df, "user_id", "order_id", "ts", "10 seconds", chunk="7 seconds", hot_threshold=3)
     base = 1704067200000
     res = {r.order_id: r.handled_ms - base for r in got.collect()}
     assert res == _sim_drain(orders, 10_000)
@@ -152,7 +152,8 @@ def test_session_windows_match_merge(spark, rows):
     df = spark.createDataFrame(data, "event_id long, user_id long, t long").withColumn(
         "ts", F.timestamp_add("SECOND", F.col("t"), F.lit("2024-01-01").cast("timestamp_ntz"))).withColumn(
         "value", F.lit(1.0))
-    got = session_windows(df, ["user_id"], "ts", "10 seconds", "value", tie="event_id", chunk="7 seconds")
+    got = session_windows(df, ["user_id"], "ts", "10 seconds", "value", tie="event_id", chunk="7 seconds",
+                          hot_threshold=3)
     exp = []
     for u in {r[1] for r in data}:
         ts = sorted(t for _, uu, t in data if uu == u)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tidewater.operators.running import RunningSpec, row_chunk, running_aggregate
+from tidewater.operators.running import DEFAULT_HOT_THRESHOLD, RunningSpec, row_chunk, running_aggregate
 
 # Running aggregates cut each key into chunks of this many order values; with
 # a unique order column (an id) this bounds the rows one task sorts per key.
@@ -64,13 +64,15 @@ def running_by_key(
     how: str,
     out: str,
     chunk_width: int = DEFAULT_CHUNK_WIDTH,
+    hot_threshold: int | None = DEFAULT_HOT_THRESHOLD,
 ) -> DataFrame:
     """``keyBy(k).sum``/``max`` as a running value per input row, ordered by a
-    numeric, unique-per-key ``order`` column."""
+    numeric, unique-per-key ``order`` column. Keys above ``hot_threshold`` rows
+    are split into chunks of ``chunk_width`` order values."""
     keys = [key] if isinstance(key, str) else key
     return running_aggregate(
         df, keys=keys, order=[order], chunk=row_chunk(order, chunk_width),
-        specs=[RunningSpec(out, how, value)],
+        specs=[RunningSpec(out, how, value)], hot_threshold=hot_threshold,
     )
 
 

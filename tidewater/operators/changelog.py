@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.operators.running import RunningSpec, row_chunk, running_aggregate
+from tidewater.operators.running import DEFAULT_HOT_THRESHOLD, RunningSpec, row_chunk, running_aggregate
 
 
 def retract_changelog(
@@ -21,13 +21,15 @@ def retract_changelog(
     value: Column | str | None = None,
     out: str = "frequency",
     chunk_width: int = 1 << 16,
+    hot_threshold: int | None = DEFAULT_HOT_THRESHOLD,
 ) -> DataFrame:
     """``(order, change_seq, op, key, out)`` rows; ``change_seq`` orders the retraction
     (0) before the insertion (1) produced by the same input row. Without
     ``value`` the aggregate is a count (``sum`` of ones)."""
     spec = RunningSpec("_tw_new", "count") if value is None else RunningSpec("_tw_new", "sum", value)
     d = running_aggregate(df.select(key, order, *([value] if isinstance(value, str) else [])),
-                          keys=[key], order=[order], chunk=row_chunk(order, chunk_width), specs=[spec])
+                          keys=[key], order=[order], chunk=row_chunk(order, chunk_width), specs=[spec],
+                          hot_threshold=hot_threshold)
     if value is None:
         old = F.col("_tw_new") - F.lit(1)
         has_old = F.col("_tw_new") > 1

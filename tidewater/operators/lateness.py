@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.money import exact_money
 from tidewater.functions.timefn import epoch_micros, from_epoch_micros
-from tidewater.operators.running import RunningSpec, row_chunk, running_aggregate
+from tidewater.operators.running import DEFAULT_HOT_THRESHOLD, RunningSpec, row_chunk, running_aggregate
 from tidewater.operators.windows import duration_micros
 
 ON_TIME = "on_time"
@@ -39,7 +39,7 @@ def classify_lateness(
     window: str,
     bound: str,
     lateness: str,
-    chunk_width: int = 1 << 16,
+    chunk_width: int = 1 << 20,
 ) -> DataFrame:
     """Add ``window_start``, ``window_end``, ``watermark_max`` and ``lateness_class``."""
     w_us = duration_micros(window)
@@ -74,6 +74,7 @@ def window_firings(
     arrival: str,
     tie: str,
     chunk_width: int = 1 << 16,
+    hot_threshold: int | None = DEFAULT_HOT_THRESHOLD,
 ) -> DataFrame:
     """Results a window emits under allowed lateness.
 
@@ -90,7 +91,8 @@ def window_firings(
     late = running_aggregate(late, keys=wkeys, order=[F.col(arrival), F.col(tie)],
                              chunk=row_chunk(arrival, chunk_width),
                              specs=[RunningSpec("firing", "count"),
-                                    RunningSpec("_late_sum", "sum", exact_money(value))])
+                                    RunningSpec("_late_sum", "sum", exact_money(value))],
+                             hot_threshold=hot_threshold)
     refires = late.join(on_time, on=wkeys, how="left").select(
         *wkeys,
         F.col("firing").cast("long").alias("firing"),

@@ -14,6 +14,13 @@ computed in two balanced steps:
 The result equals the plain window for the supported associative functions.
 The join back is an equi-join on ``(key, chunk)``; AQE turns it into a
 broadcast join at run time when the measured chunk table is small.
+
+Skew-adaptive chunking (``hot_threshold``): only keys with more rows than the
+threshold are cut into chunks; every other key is one chunk, so the chunk
+table stays far smaller than the data when most keys are small. Hot keys are
+found with one partial + final count per key; there are at most
+``rows / hot_threshold`` of them, and the set is broadcast only after that
+size is checked (otherwise every key is chunked, which is still correct).
 """
 
 from __future__ import annotations
@@ -66,6 +73,24 @@ def _combine(how: str, offset: Column, local: Column) -> Column:
     return F.least(offset, local)
 
 
+# Keys with more rows than this are split into chunks (see module doc).
+DEFAULT_HOT_THRESHOLD = 1 << 20
+# Most hot keys whose names we copy to every task (bounded by rows / threshold).
+MAX_HOT_KEYS = 1_000_000
+
+
+def _hot_chunk(df: DataFrame, keys: list[str], chunk: Column, threshold: int) -> DataFrame:
+    """``df`` plus the chunk column, chunked only for keys above ``threshold`` rows."""
+    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tw_n"))
+           .where(F.col("_tw_n") > threshold).select(*keys, F.lit(True).alias("_tw_hot")))
+    if hot.limit(MAX_HOT_KEYS + 1).count() > MAX_HOT_KEYS:
+        return df.withColumn(_CHUNK, chunk)
+    # null keys never match and stay one chunk, as a null key is one group
+    marked = df.join(F.broadcast(hot), on=keys, how="left")
+    out = marked.withColumn(_CHUNK, F.when(F.col("_tw_hot"), chunk).otherwise(F.lit(0).cast("long")))
+    return out.select(*df.columns, _CHUNK)
+
+
 def running_aggregate(
     df: DataFrame,
     *,
@@ -73,6 +98,7 @@ def running_aggregate(
     order: list[Column | str],
     chunk: Column,
     specs: list[RunningSpec],
+    hot_threshold: int | None = None,
 ) -> DataFrame:
     """Add one column per spec with the running aggregate along ``order``.
 
@@ -82,7 +108,11 @@ def running_aggregate(
     bounds the work per task.
     """
     order_cols = [_col(o) for o in order]
-    d = df.withColumn(_CHUNK, chunk)
+    if hot_threshold is not None and keys:
+        base = _hot_chunk(df, keys, chunk, hot_threshold)
+    else:
+        base = df.withColumn(_CHUNK, chunk)
+    d = base
 
     # 1. running value inside each (key, chunk)
     w_in = Window.partitionBy(*keys, _CHUNK).orderBy(*order_cols)
@@ -98,7 +128,7 @@ def running_aggregate(
     d = d.select("*", *locals_)
 
     # 2. chunk totals -> exclusive prefix over the chunks of each key
-    totals = df.withColumn(_CHUNK, chunk).groupBy(*keys, _CHUNK).agg(
+    totals = base.groupBy(*keys, _CHUNK).agg(
         *[_agg(s.how, _col(s.value)).alias(f"_tw_tot{i}") for i, s in enumerate(specs)]
     )
     w_chunks = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)

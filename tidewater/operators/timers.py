@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.hashing import char_code_parity
 from tidewater.functions.timefn import epoch_micros, from_epoch_micros
-from tidewater.operators.running import RunningSpec, running_aggregate
+from tidewater.operators.running import DEFAULT_HOT_THRESHOLD, RunningSpec, running_aggregate
 from tidewater.operators.windows import duration_micros
 
 REVIEWED = "reviewed"
@@ -31,6 +31,7 @@ def next_event_after(
     event_us: str,
     chunk_us: int,
     out: str = "next_us",
+    hot_threshold: int | None = DEFAULT_HOT_THRESHOLD,
 ) -> DataFrame:
     """For every row of ``points``: the smallest ``event_us`` of the same key that is
     strictly greater than its ``point_us`` (null when none)."""
@@ -48,7 +49,7 @@ def next_event_after(
         both, keys=[key],
         order=[F.col("_tw_t").desc(), F.col("_tw_is_point").desc()],
         chunk=-F.floor(F.col("_tw_t") / F.lit(chunk_us)).cast("long"),
-        specs=[RunningSpec(out, "min", "_tw_ev")],
+        specs=[RunningSpec(out, "min", "_tw_ev")], hot_threshold=hot_threshold,
     )
     return walked.where("_tw_is_point = 1").drop("_tw_t", "_tw_is_point", "_tw_ev")
 
@@ -60,7 +61,8 @@ def order_timeout(
     order_id: str,
     ts: str,
     interval: str,
-    chunk: str = "1 hour",
+    chunk: str = "1 minute",
+    hot_threshold: int | None = DEFAULT_HOT_THRESHOLD,
 ) -> DataFrame:
     """Per order: ``due_at = ts + interval``; ``reviewed`` when the same key has a
     review in ``(ts, due_at]``, else the job gives the default good review.
@@ -69,7 +71,7 @@ def order_timeout(
     o = orders.select(F.col(order_id), F.col(key), F.col(ts).alias("order_ts"),
                       epoch_micros(ts).alias("_tw_o_us"))
     r = reviews.select(F.col(key), epoch_micros(ts).alias("_tw_r_us"))
-    nxt = next_event_after(o, r, key, "_tw_o_us", "_tw_r_us", duration_micros(chunk))
+    nxt = next_event_after(o, r, key, "_tw_o_us", "_tw_r_us", duration_micros(chunk), hot_threshold=hot_threshold)
     status = F.when(F.col("next_us").isNotNull() & (F.col("next_us") <= F.col("_tw_o_us") + F.lit(i_us)),
                     F.lit(REVIEWED)).otherwise(F.lit(AUTO_GOOD_REVIEW))
     return nxt.select(order_id, key, "order_ts",
@@ -83,7 +85,8 @@ def order_timeout_drain(
     order_id: str,
     ts: str,
     interval: str,
-    chunk: str = "1 hour",
+    chunk: str = "1 minute",
+    hot_threshold: int | None = DEFAULT_HOT_THRESHOLD,
 ) -> DataFrame:
     """Literal timer behaviour: each timer handles *all* orders of its key in state.
 
@@ -100,7 +103,8 @@ def order_timeout_drain(
                       F.floor(epoch_micros(ts) / F.lit(1000)).cast("long").alias("order_ms"))
     q = o.withColumn("_tw_q", F.col("order_ms") - F.lit(i_ms))
     ev = o.select(key, F.col("order_ms").alias("_tw_ev_ms"))
-    nxt = next_event_after(q, ev, key, "_tw_q", "_tw_ev_ms", duration_micros(chunk) // 1000, out="_tw_first")
+    nxt = next_event_after(q, ev, key, "_tw_q", "_tw_ev_ms", duration_micros(chunk) // 1000, out="_tw_first",
+                           hot_threshold=hot_threshold)
     status = F.when(char_code_parity(F.col(order_id).cast("string")) == 0, F.lit(REVIEWED)) \
         .otherwise(F.lit(AUTO_GOOD_REVIEW))
     return nxt.select(order_id, key, "order_ms",

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.money import exact_money
 from tidewater.functions.timefn import epoch_micros, from_epoch_micros
-from tidewater.operators.running import RunningSpec, row_chunk, running_aggregate
+from tidewater.operators.running import DEFAULT_HOT_THRESHOLD, RunningSpec, row_chunk, running_aggregate
 
 _MICROS = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
 
@@ -68,7 +68,8 @@ def session_windows(
     gap: str,
     value: str,
     tie: str,
-    chunk: str = "1 hour",
+    chunk: str = "1 minute",
+    hot_threshold: int | None = DEFAULT_HOT_THRESHOLD,
 ) -> DataFrame:
     """Session windows: a new session starts when the previous row of the key is
     more than ``gap`` earlier (rows exactly ``gap`` apart merge, as touching
@@ -84,11 +85,11 @@ def session_windows(
     order = [F.col(us), F.col(tie)]
     chunk_col = row_chunk(us, duration_micros(chunk))
     d = running_aggregate(d, keys=keys, order=order, chunk=chunk_col,
-                          specs=[RunningSpec("_tw_prev", "max", us, exclusive=True)])
+                          specs=[RunningSpec("_tw_prev", "max", us, exclusive=True)], hot_threshold=hot_threshold)
     d = d.withColumn("_tw_new", F.when(F.col("_tw_prev").isNull() | (F.col(us) - F.col("_tw_prev") > gap_us), 1)
                      .otherwise(0))
     d = running_aggregate(d, keys=keys, order=order, chunk=chunk_col,
-                          specs=[RunningSpec("_tw_sid", "sum", "_tw_new")])
+                          specs=[RunningSpec("_tw_sid", "sum", "_tw_new")], hot_threshold=hot_threshold)
     g = d.groupBy(*keys, "_tw_sid").agg(
         F.min(us).alias("_s"), F.max(us).alias("_e"), *_money_aggs(value))
     return g.select(*keys, from_epoch_micros("_s").alias("window_start"),
@@ -104,6 +105,7 @@ def count_windows(
     slide: int,
     value: str,
     chunk_width: int = 1 << 16,
+    hot_threshold: int | None = DEFAULT_HOT_THRESHOLD,
 ) -> DataFrame:
     """Count windows per key: fire at every ``slide``-th row of a key with the
     aggregate of its last ``size`` rows (``size == slide``: tumbling, the
@@ -116,10 +118,13 @@ def count_windows(
     Output: ``(keys, window_index, event_count, sum_value, last_<order>)``.
     """
     d = running_aggregate(df, keys=keys, order=[order], chunk=row_chunk(order, chunk_width),
-                          specs=[RunningSpec("_tw_n", "count")])
+                          specs=[RunningSpec("_tw_n", "count")], hot_threshold=hot_threshold)
     first_k = F.ceil(F.col("_tw_n") / F.lit(slide))
     last_k = F.floor((F.col("_tw_n") + F.lit(size - 1)) / F.lit(slide))
-    d = d.withColumn("window_index", F.explode(F.sequence(first_k.cast("long"), last_k.cast("long"))))
+    # a row in no window (slide > size) gets an empty list; sequence() would count down
+    ids = F.when(first_k <= last_k, F.sequence(first_k.cast("long"), last_k.cast("long"))) \
+        .otherwise(F.array().cast("array<bigint>"))
+    d = d.withColumn("window_index", F.explode(ids))
     g = d.groupBy(*keys, "window_index").agg(
         F.max("_tw_n").alias("_tw_last_n"),
         F.max(order).alias(f"last_{order}"),
