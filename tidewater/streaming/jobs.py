@@ -18,7 +18,7 @@ from tidewater.sources.tables import read_table
 from tidewater.streaming.feed import land_in_order, run_available_now, stream_folder
 from tidewater.streaming.processors import CountWindowProcessor, OrderTimeoutProcessor, RunningMaxProcessor
 
-PIECES = 4                 # arrival slices of the table
+PIECES = 2                 # arrival slices of the table
 FILES_PER_TRIGGER = 1      # micro-batch size
 TIMER_WATERMARK = "1 minute"
 COUNT_SIZE, COUNT_SLIDE = 5, 3

@@ -39,8 +39,9 @@ class RunningMaxProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _frame(rows, self.order)
         running = np.maximum.accumulate(pdf[self.value].to_numpy(dtype="float64"))
-        if self.best.exists():
-            running = np.maximum(running, self.best.get()[0])
+        best = self.best.get()
+        if best is not None:
+            running = np.maximum(running, best[0])
         self.best.update((float(running[-1]),))
         yield pd.DataFrame({self.order: pdf[self.order], self.key: key[0],
                             self.value: pdf[self.value], "max_value": running})
@@ -63,9 +64,9 @@ class CountWindowProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _frame(rows, self.order)
-        prev = np.array([t[0] for t in self.tail.get()], dtype="int64") if self.tail.exists() else \
-            np.zeros(0, dtype="int64")
-        n0 = self.seen.get()[0] if self.seen.exists() else 0
+        prev = np.array([t[0] for t in self.tail.get()], dtype="int64")
+        seen = self.seen.get()
+        n0 = seen[0] if seen is not None else 0
         new = _cents(pdf[self.value])
         arr = np.concatenate([prev, new])
         csum = np.concatenate([[0], np.cumsum(arr)])
@@ -92,14 +93,16 @@ class OrderTimeoutProcessor(StatefulProcessor):
     """Orders wait ``interval_ms`` for a review of the same key.
 
     Input rows: ``(kind, order_id, ms)`` with kind ``order`` or ``review``.
-    An order is stored in map state and an event-time timer is set at its due
-    time. Reviews of a micro-batch mark the pending orders they fall in
-    ``(ts, due]`` (one vectorized pass per batch and key). When the watermark
-    passes a due time the order is emitted as ``reviewed`` or
-    ``auto_good_review`` and removed.
-
-    ``drain_all=True`` is the literal variant: every timer emits *all*
-    pending orders of the key that arrived before it, due or not.
+    Pending orders are kept in list state (rewritten once per batch and key);
+    reviews of a micro-batch mark the pending orders they fall in
+    ``(ts, due]`` in one vectorized pass. One event-time timer per key stands
+    at the earliest due time; when it fires, every order whose due time the
+    watermark has passed is emitted (``reviewed`` / ``auto_good_review``) and
+    the timer moves to the next due time. State work per key and batch is
+    therefore a constant number of state calls, not one per order.
+
+    ``drain_all=True`` is the literal variant: a timer per order, and every
+    timer emits *all* pending orders of the key that arrived before it.
     """
 
     def __init__(self, key: str, interval_ms: int, drain_all: bool = False):
@@ -107,50 +110,77 @@ class OrderTimeoutProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getMapState("pending", "order_id long", "ms long, reviewed boolean")
+        self.pending = handle.getListState("pending", "order_id long, ms long, reviewed boolean")
+        self.timer = handle.getValueState("timer", "at long")
 
     def _load(self) -> pd.DataFrame:
-        items = list(self.pending.iterator()) if self.pending.exists() else []
-        return pd.DataFrame({"order_id": [k[0] for k, _ in items], "ms": [v[0] for _, v in items],
-                             "reviewed": [bool(v[1]) for _, v in items]})
+        items = list(self.pending.get()) if self.pending.exists() else []
+        return pd.DataFrame({"order_id": np.array([t[0] for t in items], dtype="int64"),
+                             "ms": np.array([t[1] for t in items], dtype="int64"),
+                             "reviewed": np.array([bool(t[2]) for t in items], dtype=bool)})
+
+    def _store(self, state: pd.DataFrame) -> None:
+        if len(state):
+            self.pending.put(list(zip(state["order_id"].tolist(), state["ms"].tolist(),
+                                      state["reviewed"].tolist())))
+        else:
+            self.pending.clear()
+
+    def _arm(self, state: pd.DataFrame) -> None:
+        """Keep one timer at the earliest due time of the pending orders."""
+        current = self.timer.get()
+        want = int(state["ms"].min()) + self.interval if len(state) else None
+        if current is not None and current[0] != want:
+            self.handle.deleteTimer(current[0])
+        if want is None:
+            self.timer.clear()
+        elif current is None or current[0] != want:
+            self.handle.registerTimer(want)
+            self.timer.update((want,))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _frame(rows, "ms")
-        orders = pdf[pdf["kind"] == "order"]
-        reviews = np.sort(pdf.loc[pdf["kind"] == "review", "ms"].to_numpy(dtype="int64"))
-        for oid, ms in zip(orders["order_id"].to_numpy(), orders["ms"].to_numpy()):
-            self.pending.updateValue((int(oid),), (int(ms), False))
-            self.handle.registerTimer(int(ms) + self.interval)
-        if len(reviews) and not self.drain_all:
-            state = self._load()
-            todo = state[~state["reviewed"]]
-            if len(todo):
-                ms = todo["ms"].to_numpy(dtype="int64")
-                nxt = np.searchsorted(reviews, ms, side="right")   # first review strictly after the order
-                has = nxt < len(reviews)
-                hit = np.zeros(len(ms), dtype=bool)
-                hit[has] = reviews[nxt[has]] <= ms[has] + self.interval
-                for oid, m in zip(todo["order_id"].to_numpy()[hit], ms[hit]):
-                    self.pending.updateValue((int(oid),), (int(m), True))
+        is_order = (pdf["kind"] == "order").to_numpy()
+        new = pd.DataFrame({"order_id": pdf["order_id"].to_numpy(dtype="int64")[is_order],
+                            "ms": pdf["ms"].to_numpy(dtype="int64")[is_order],
+                            "reviewed": np.zeros(int(is_order.sum()), dtype=bool)})
+        state = pd.concat([self._load(), new], ignore_index=True)
+        if self.drain_all:
+            for ms in new["ms"].tolist():
+                self.handle.registerTimer(int(ms) + self.interval)
+            self._store(state)
+            return iter([])
+        reviews = np.sort(pdf["ms"].to_numpy(dtype="int64")[~is_order])
+        if len(reviews) and len(state):
+            ms = state["ms"].to_numpy(dtype="int64")
+            nxt = np.searchsorted(reviews, ms, side="right")   # first review strictly after the order
+            has = nxt < len(reviews)
+            hit = np.zeros(len(ms), dtype=bool)
+            hit[has] = reviews[nxt[has]] <= ms[has] + self.interval
+            state["reviewed"] = state["reviewed"].to_numpy(dtype=bool) | hit
+        self._store(state)
+        self._arm(state)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         t = expiredTimerInfo.getExpiryTimeInMs()
         state = self._load()
-        if not len(state):
-            return iter([])
         if self.drain_all:
             # timers fire after the batch's rows: drain only orders that had
             # arrived before the timer time (a timer fires before a same-instant order)
-            done = state[state["ms"] < t]
+            take = state["ms"].to_numpy() < t
+            handled = np.full(int(take.sum()), t, dtype="int64")
         else:
-            done = state[state["ms"] + self.interval <= t]
-        for oid in done["order_id"].to_numpy():
-            self.pending.removeKey((int(oid),))
-        if self.drain_all:
-            handled = np.full(len(done), t, dtype="int64")
-        else:
-            handled = done["ms"].to_numpy(dtype="int64") + self.interval
+            self.timer.clear()
+            limit = max(t, timerValues.getCurrentWatermarkInMs())
+            take = state["ms"].to_numpy() + self.interval <= limit
+            handled = state["ms"].to_numpy(dtype="int64")[take] + self.interval
+        done, rest = state[take], state[~take]
+        self._store(rest)
+        if not self.drain_all:
+            self._arm(rest)
+        if not len(done):
+            return iter([])
         status = np.where(done["reviewed"].to_numpy(dtype=bool), "reviewed", "auto_good_review")
         return iter([pd.DataFrame({"order_id": done["order_id"].to_numpy(dtype="int64"), self.key: key[0],
                                    "order_ms": done["ms"].to_numpy(dtype="int64"),
