@@ -79,6 +79,18 @@ DEFAULT_HOT_THRESHOLD = 1 << 20
 MAX_HOT_KEYS = 1_000_000
 
 
+CHUNK_COLUMN = _CHUNK
+
+
+def with_chunks(df: DataFrame, keys: list[str], chunk: Column, threshold: int | None) -> DataFrame:
+    """``df`` plus the chunk column ``_tw_chunk``; with a ``threshold`` only keys
+    above it are chunked. Reuse the column for several running passes with
+    ``running_aggregate(..., chunk=F.col(CHUNK_COLUMN))``."""
+    if threshold is None or not keys:
+        return df.withColumn(_CHUNK, chunk)
+    return _hot_chunk(df, keys, chunk, threshold)
+
+
 def _hot_chunk(df: DataFrame, keys: list[str], chunk: Column, threshold: int) -> DataFrame:
     """``df`` plus the chunk column, chunked only for keys above ``threshold`` rows."""
     hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tw_n"))
@@ -108,10 +120,7 @@ def running_aggregate(
     bounds the work per task.
     """
     order_cols = [_col(o) for o in order]
-    if hot_threshold is not None and keys:
-        base = _hot_chunk(df, keys, chunk, hot_threshold)
-    else:
-        base = df.withColumn(_CHUNK, chunk)
+    base = with_chunks(df, keys, chunk, hot_threshold)
     d = base
 
     # 1. running value inside each (key, chunk)
@@ -127,7 +136,9 @@ def running_aggregate(
         locals_.append(expr.alias(f"_tw_loc{i}"))
     d = d.select("*", *locals_)
 
-    # 2. chunk totals -> exclusive prefix over the chunks of each key
+    # 2. chunk totals -> exclusive prefix over the chunks of each key. Totals
+    #    are aggregated from the source with partial aggregation (one row per
+    #    chunk and task crosses the shuffle), not from the windowed rows.
     totals = base.groupBy(*keys, _CHUNK).agg(
         *[_agg(s.how, _col(s.value)).alias(f"_tw_tot{i}") for i, s in enumerate(specs)]
     )
@@ -148,8 +159,7 @@ def running_aggregate(
         _combine(s.how, F.col(f"_tw_off{i}"), F.col(f"_tw_loc{i}")).alias(s.out)
         for i, s in enumerate(specs)
     ]
-    keep = [c for c in df.columns]
-    return joined.select(*keep, *out_cols)
+    return joined.select(*df.columns, *out_cols)
 
 
 def row_chunk(order_value: Column | str, width: int) -> Column:

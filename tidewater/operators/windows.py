@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.money import exact_money
 from tidewater.functions.timefn import epoch_micros, from_epoch_micros
-from tidewater.operators.running import DEFAULT_HOT_THRESHOLD, RunningSpec, row_chunk, running_aggregate
+from tidewater.operators.running import (CHUNK_COLUMN, DEFAULT_HOT_THRESHOLD, RunningSpec, row_chunk,
+                                         running_aggregate, with_chunks)
 
 _MICROS = {"second": 1_000_000, "minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}
 
@@ -83,13 +84,15 @@ def session_windows(
     us = "_tw_us"
     d = df.withColumn(us, epoch_micros(ts))
     order = [F.col(us), F.col(tie)]
-    chunk_col = row_chunk(us, duration_micros(chunk))
+    # hot keys are found once; both passes share the chunk column
+    d = with_chunks(d, keys, row_chunk(us, duration_micros(chunk)), hot_threshold)
+    chunk_col = F.col(CHUNK_COLUMN)
     d = running_aggregate(d, keys=keys, order=order, chunk=chunk_col,
-                          specs=[RunningSpec("_tw_prev", "max", us, exclusive=True)], hot_threshold=hot_threshold)
+                          specs=[RunningSpec("_tw_prev", "max", us, exclusive=True)])
     d = d.withColumn("_tw_new", F.when(F.col("_tw_prev").isNull() | (F.col(us) - F.col("_tw_prev") > gap_us), 1)
                      .otherwise(0))
     d = running_aggregate(d, keys=keys, order=order, chunk=chunk_col,
-                          specs=[RunningSpec("_tw_sid", "sum", "_tw_new")], hot_threshold=hot_threshold)
+                          specs=[RunningSpec("_tw_sid", "sum", "_tw_new")])
     g = d.groupBy(*keys, "_tw_sid").agg(
         F.min(us).alias("_s"), F.max(us).alias("_e"), *_money_aggs(value))
     return g.select(*keys, from_epoch_micros("_s").alias("window_start"),
