@@ -7,7 +7,8 @@ from __spark_entry__ import queries
 from conftest import SF_SMALL
 
 STREAMING = {"word_count_stream", "event_time_tumbling", "resumable_ingest", "running_max_stream",
-             "count_sliding_stream", "order_timeout_stream"}
+             "count_sliding_stream", "order_timeout_stream", "retract_changelog_stream", "tumble_sql_stream",
+             "sales_dashboard_stream"}
 
 
 def _plan(spark, name):

@@ -11,18 +11,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.functions.timefn import epoch_micros
+from tidewater.functions.money import exact_money
+from tidewater.functions.timefn import epoch_micros, instant_to_ntz, to_event_time
+from tidewater.plans.dashboard import CLOCK_FORMAT, DAY_START, dashboard_lines
 from tidewater.operators.windows import duration_micros
 from tidewater.session import scratch_path
 from tidewater.sources.tables import read_table
 from tidewater.streaming.feed import land_in_order, run_available_now, stream_folder
-from tidewater.streaming.processors import CountWindowProcessor, OrderTimeoutProcessor, RunningMaxProcessor
+from tidewater.streaming.processors import (ChangelogProcessor, CountWindowProcessor, OrderTimeoutProcessor,
+                                            RunningMaxProcessor)
 
 PIECES = 2                 # arrival slices of the table
 FILES_PER_TRIGGER = 1      # micro-batch size
 TIMER_WATERMARK = "1 minute"
 COUNT_SIZE, COUNT_SLIDE = 5, 3
 TIMEOUT = "1 hour"
+SQL_TUMBLE, SQL_BOUND = "5 hours", "2 hours"   # tumble 5 s with a 2 s bound, scaled
 
 
 def _landed_events(spark: SparkSession, sf_dir: str, cols: list[str], name: str) -> DataFrame:
@@ -79,7 +83,59 @@ def order_timeout_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sink(spark, out, "order_timeout_stream")
 
 
+def retract_changelog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = _landed_events(spark, sf_dir, ["event_id", "user_id"], "changelog_stream")
+    out = src.groupBy("user_id").transformWithStateInPandas(
+        ChangelogProcessor("user_id", "event_id"),
+        "event_id long, change_seq int, op boolean, user_id long, frequency long", "Append", "None")
+    return _sink(spark, out, "changelog_stream")
+
+
+def tumble_sql_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL group window over a streaming temp view; append mode emits a window
+    once the watermark (max event time - bound) passes its end."""
+    src = _landed_events(spark, sf_dir, ["event_id", "user_id", "ts", "value"], "tumble_sql_stream")
+    (src.select("user_id", to_event_time("ts").alias("rowtime"), "value")
+     .withWatermark("rowtime", SQL_BOUND).createOrReplaceTempView("tw_t_order_stream"))
+    out = spark.sql(f"""
+        SELECT user_id, count(*) AS order_count, max(value) AS max_value, min(value) AS min_value
+        FROM tw_t_order_stream GROUP BY user_id, window(rowtime, '{SQL_TUMBLE}')""")
+    return _sink(spark, out, "tumble_sql_stream")
+
+
+def sales_dashboard_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live dashboard: stage 1 is a streaming aggregate per (category, day)
+    (complete mode: its state is categories x days rows); stage 2 runs per
+    micro-batch in ``foreachBatch`` on the open day (the day of the newest sale):
+    rounded category totals, their rounded sum and the top 3, stamped with the
+    newest sale time. Each batch writes its own ``epoch`` partition (idempotent)."""
+    src = _landed_events(spark, sf_dir, ["event_id", "event_type", "ts", "value"], "dashboard_stream")
+    totals = (src.select(F.col("event_type").alias("category"), to_event_time("ts").alias("et"),
+                         F.col("value").alias("price"))
+              .groupBy("category", F.window("et", "1 day", "1 day", DAY_START).alias("day"))
+              .agg(F.sum(exact_money("price")).alias("amount"), F.max("et").alias("last_et")))
+    out_path = scratch_path(spark, "dashboard_stream_out")
+
+    def tick(batch: DataFrame, epoch_id: int) -> None:
+        latest = batch.agg(F.max("last_et")).first()[0]          # one scalar per batch
+        if latest is None:
+            return
+        open_day = batch.where((F.col("day.start") <= F.lit(latest)) & (F.col("day.end") > F.lit(latest)))
+        clock = F.date_format(instant_to_ntz(F.lit(latest)), CLOCK_FORMAT)
+        stage1 = open_day.select("category", clock.alias("date_time"),
+                                 F.round(F.col("amount"), 2).cast("double").alias("total_price"))
+        lines = dashboard_lines(stage1)
+        (lines.withColumn("epoch", F.lit(int(epoch_id)).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch")
+         .parquet(out_path))
+
+    run_available_now(totals.writeStream.outputMode("complete").foreachBatch(tick),
+                      scratch_path(spark, "dashboard_stream_ckpt"))
+    return spark.read.parquet(out_path).select("epoch", "date_time", "line")
+
+
 _DEC = "CAST(value AS DECIMAL(18,2))"
+_BUCKET = f"time_bucket(INTERVAL '{SQL_TUMBLE}', ts, TIMESTAMP '1970-01-01 00:00:00')"
 
 ORACLE = {
     "running_max_stream": """SELECT event_id, user_id, value,
@@ -106,7 +162,25 @@ ORACLE = {
         FROM o, wm WHERE ms + {duration_micros(TIMEOUT) // 1000} <= wm.w""",
 }
 
+ORACLE["retract_changelog_stream"] = """
+  WITH r AS (SELECT event_id, user_id,
+                    count(*) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS c
+             FROM events)
+  SELECT * FROM (
+    SELECT event_id, 0 AS change_seq, false AS op, user_id, c - 1 AS frequency FROM r WHERE c > 1
+    UNION ALL
+    SELECT event_id, 1 AS change_seq, true AS op, user_id, c AS frequency FROM r)"""
+
+ORACLE["tumble_sql_stream"] = f"""
+  SELECT user_id, order_count, max_value, min_value FROM (
+    SELECT user_id, {_BUCKET} AS ws, count(*) AS order_count, max(value) AS max_value, min(value) AS min_value
+    FROM events GROUP BY user_id, {_BUCKET})
+  WHERE ws + INTERVAL '{SQL_TUMBLE}' <= (SELECT max(ts) FROM events) - INTERVAL '{SQL_BOUND}'"""
+
 QUERIES = {
+    "sales_dashboard_stream": sales_dashboard_stream,
+    "retract_changelog_stream": retract_changelog_stream,
+    "tumble_sql_stream": tumble_sql_stream,
     "running_max_stream": running_max_stream,
     "count_sliding_stream": count_sliding_stream,
     "order_timeout_stream": order_timeout_stream,

@@ -50,6 +50,34 @@ class RunningMaxProcessor(StatefulProcessor):
         pass
 
 
+class ChangelogProcessor(StatefulProcessor):
+    """Retract changelog of a running count per key: for each row, ``(false,
+    old)`` when the key already had a value, then ``(true, new)``."""
+
+    def __init__(self, key: str, order: str, out: str = "frequency"):
+        self.key, self.order, self.out = key, order, out
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.count = handle.getValueState("count", "n long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        pdf = _frame(rows, self.order)
+        prev = self.count.get()
+        n0 = prev[0] if prev is not None else 0
+        new = n0 + np.arange(1, len(pdf) + 1, dtype="int64")
+        order = pdf[self.order].to_numpy()
+        had = new > 1
+        retract = pd.DataFrame({self.order: order[had], "change_seq": np.zeros(int(had.sum()), dtype="int32"),
+                                "op": False, self.key: key[0], self.out: new[had] - 1})
+        insert = pd.DataFrame({self.order: order, "change_seq": np.ones(len(pdf), dtype="int32"),
+                               "op": True, self.key: key[0], self.out: new})
+        self.count.update((int(new[-1]),))
+        yield pd.concat([retract, insert], ignore_index=True)
+
+    def close(self) -> None:
+        pass
+
+
 class CountWindowProcessor(StatefulProcessor):
     """Count window per key: at every ``slide``-th row, the sum over the last
     ``size`` rows (a count trigger with a count evictor). State: the last
