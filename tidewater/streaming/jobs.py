@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.functions.hashing import char_code_parity
 from tidewater.functions.money import exact_money
 from tidewater.functions.timefn import epoch_micros, instant_to_ntz, to_event_time
 from tidewater.plans.dashboard import CLOCK_FORMAT, DAY_START, dashboard_lines
@@ -83,6 +84,24 @@ def order_timeout_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sink(spark, out, "order_timeout_stream")
 
 
+def order_timeout_drain_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Literal timers: every event is an order with a timer one hour later, and
+    each timer hands all pending orders of the user that arrived before it."""
+    src = _landed_events(spark, sf_dir, ["event_id", "user_id", "ts"], "drain_stream")
+    rows = (src.select("user_id", F.lit("order").alias("kind"), F.col("event_id").alias("order_id"),
+                       F.floor(epoch_micros("ts") / 1000).cast("long").alias("ms"),
+                       F.timestamp_micros(epoch_micros("ts")).alias("et"))
+            .withWatermark("et", TIMER_WATERMARK))
+    out = rows.groupBy("user_id").transformWithStateInPandas(
+        OrderTimeoutProcessor("user_id", duration_micros(TIMEOUT) // 1000, drain_all=True),
+        "order_id long, user_id long, order_ms long, handled_ms long, status string",
+        "Append", "EventTime")
+    done = _sink(spark, out, "drain_stream")
+    status = F.when(char_code_parity(F.col("order_id").cast("string")) == 0, F.lit("reviewed")) \
+        .otherwise(F.lit("auto_good_review"))
+    return done.select("order_id", "user_id", "order_ms", "handled_ms", status.alias("status"))
+
+
 def retract_changelog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = _landed_events(spark, sf_dir, ["event_id", "user_id"], "changelog_stream")
     out = src.groupBy("user_id").transformWithStateInPandas(
@@ -177,7 +196,20 @@ ORACLE["tumble_sql_stream"] = f"""
     FROM events GROUP BY user_id, {_BUCKET})
   WHERE ws + INTERVAL '{SQL_TUMBLE}' <= (SELECT max(ts) FROM events) - INTERVAL '{SQL_BOUND}'"""
 
+ORACLE["order_timeout_drain_stream"] = f"""
+  WITH o AS (SELECT event_id, user_id, epoch_us(ts) // 1000 AS ms FROM events),
+  wm AS (SELECT epoch_us(max(ts)) // 1000 - {duration_micros(TIMER_WATERMARK) // 1000} AS w FROM events),
+  d AS (SELECT event_id AS order_id, user_id, ms AS order_ms,
+               min(ms) OVER (PARTITION BY user_id ORDER BY ms RANGE BETWEEN 3599999 PRECEDING AND CURRENT ROW)
+               + 3600000 AS handled_ms,
+               CASE WHEN list_sum(list_transform(string_split(CAST(event_id AS VARCHAR), ''),
+                                                 lambda ch: unicode(ch))) % 2 = 0
+                    THEN 'reviewed' ELSE 'auto_good_review' END AS status
+        FROM o)
+  SELECT d.* FROM d, wm WHERE handled_ms <= wm.w"""
+
 QUERIES = {
+    "order_timeout_drain_stream": order_timeout_drain_stream,
     "sales_dashboard_stream": sales_dashboard_stream,
     "retract_changelog_stream": retract_changelog_stream,
     "tumble_sql_stream": tumble_sql_stream,

@@ -129,8 +129,11 @@ class OrderTimeoutProcessor(StatefulProcessor):
     the timer moves to the next due time. State work per key and batch is
     therefore a constant number of state calls, not one per order.
 
-    ``drain_all=True`` is the literal variant: a timer per order, and every
-    timer emits *all* pending orders of the key that arrived before it.
+    ``drain_all=True`` is the literal variant: each order sets a timer, and a
+    timer hands *all* pending orders of the key that arrived before it (a
+    timer fires before an order of the same instant). The future timer times
+    are kept in list state behind the same single armed timer; when it fires,
+    each pending order is handled by the first passed timer time after it.
     """
 
     def __init__(self, key: str, interval_ms: int, drain_all: bool = False):
@@ -140,9 +143,10 @@ class OrderTimeoutProcessor(StatefulProcessor):
         self.handle = handle
         self.pending = handle.getListState("pending", "order_id long, ms long, reviewed boolean")
         self.timer = handle.getValueState("timer", "at long")
+        self.due = handle.getListState("due", "at long")  # drain_all: timer times not yet passed
 
     def _load(self) -> pd.DataFrame:
-        items = list(self.pending.get()) if self.pending.exists() else []
+        items = list(self.pending.get())
         return pd.DataFrame({"order_id": np.array([t[0] for t in items], dtype="int64"),
                              "ms": np.array([t[1] for t in items], dtype="int64"),
                              "reviewed": np.array([bool(t[2]) for t in items], dtype=bool)})
@@ -154,17 +158,21 @@ class OrderTimeoutProcessor(StatefulProcessor):
         else:
             self.pending.clear()
 
-    def _arm(self, state: pd.DataFrame) -> None:
-        """Keep one timer at the earliest due time of the pending orders."""
+    def _arm(self, at: int | None) -> None:
+        """Keep exactly one timer, at ``at`` (None: no timer)."""
         current = self.timer.get()
-        want = int(state["ms"].min()) + self.interval if len(state) else None
-        if current is not None and current[0] != want:
+        if current is not None and current[0] == at:
+            return
+        if current is not None:
             self.handle.deleteTimer(current[0])
-        if want is None:
+        if at is None:
             self.timer.clear()
-        elif current is None or current[0] != want:
-            self.handle.registerTimer(want)
-            self.timer.update((want,))
+        else:
+            self.handle.registerTimer(int(at))
+            self.timer.update((int(at),))
+
+    def _due_times(self) -> np.ndarray:
+        return np.sort(np.array([t[0] for t in self.due.get()], dtype="int64"))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _frame(rows, "ms")
@@ -174,9 +182,11 @@ class OrderTimeoutProcessor(StatefulProcessor):
                             "reviewed": np.zeros(int(is_order.sum()), dtype=bool)})
         state = pd.concat([self._load(), new], ignore_index=True)
         if self.drain_all:
-            for ms in new["ms"].tolist():
-                self.handle.registerTimer(int(ms) + self.interval)
+            due = np.concatenate([self._due_times(), new["ms"].to_numpy(dtype="int64") + self.interval])
+            if len(new):
+                self.due.put([(int(x),) for x in due])
             self._store(state)
+            self._arm(int(due.min()) if len(due) else None)
             return iter([])
         reviews = np.sort(pdf["ms"].to_numpy(dtype="int64")[~is_order])
         if len(reviews) and len(state):
@@ -187,32 +197,39 @@ class OrderTimeoutProcessor(StatefulProcessor):
             hit[has] = reviews[nxt[has]] <= ms[has] + self.interval
             state["reviewed"] = state["reviewed"].to_numpy(dtype=bool) | hit
         self._store(state)
-        self._arm(state)
+        self._arm(int(state["ms"].min()) + self.interval if len(state) else None)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        t = expiredTimerInfo.getExpiryTimeInMs()
+        self.timer.clear()
+        limit = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
         state = self._load()
+        ms = state["ms"].to_numpy(dtype="int64")
         if self.drain_all:
-            # timers fire after the batch's rows: drain only orders that had
-            # arrived before the timer time (a timer fires before a same-instant order)
-            take = state["ms"].to_numpy() < t
-            handled = np.full(int(take.sum()), t, dtype="int64")
+            due = self._due_times()
+            passed, later = due[due <= limit], due[due > limit]
+            idx = np.searchsorted(passed, ms, side="right")    # first passed timer after the order
+            take = idx < len(passed)
+            handled = passed[idx[take]]
+            if len(later):
+                self.due.put([(int(x),) for x in later])
+            else:
+                self.due.clear()
+            rest = state[~take]
+            self._arm(int(later.min()) if len(later) else None)
         else:
-            self.timer.clear()
-            limit = max(t, timerValues.getCurrentWatermarkInMs())
-            take = state["ms"].to_numpy() + self.interval <= limit
-            handled = state["ms"].to_numpy(dtype="int64")[take] + self.interval
-        done, rest = state[take], state[~take]
+            take = ms + self.interval <= limit
+            handled = ms[take] + self.interval
+            rest = state[~take]
+            self._arm(int(rest["ms"].min()) + self.interval if len(rest) else None)
+        done = state[take]
         self._store(rest)
-        if not self.drain_all:
-            self._arm(rest)
         if not len(done):
             return iter([])
         status = np.where(done["reviewed"].to_numpy(dtype=bool), "reviewed", "auto_good_review")
         return iter([pd.DataFrame({"order_id": done["order_id"].to_numpy(dtype="int64"), self.key: key[0],
                                    "order_ms": done["ms"].to_numpy(dtype="int64"),
-                                   "handled_ms": handled, "status": status})])
+                                   "handled_ms": handled.astype("int64"), "status": status})])
 
     def close(self) -> None:
         pass
