@@ -33,3 +33,18 @@ def test_entry_runs(spark):
     from __spark_entry__ import entry
     df = entry(spark)
     assert df.count() > 0
+
+
+ZONE_SENSITIVE = ["tumbling_sum", "day_offset_sum", "running_day_total", "event_time_tumbling",
+                  "order_timeout_drain", "lateness_classes", "order_timeout_stream"]
+
+
+@pytest.mark.parametrize("name", ZONE_SENSITIVE)
+def test_results_do_not_depend_on_session_zone(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        res = compare(spark, SF_SMALL, name, queries()[name], oracle_sql().get(name), con)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert res["status"] == "match", res

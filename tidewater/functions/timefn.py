@@ -41,3 +41,9 @@ def to_event_time(col: Column | str) -> Column:
 def instant_to_ntz(col: Column | str) -> Column:
     """Inverse of :func:`to_event_time`."""
     return from_epoch_micros(F.unix_micros(_c(col)))
+
+
+def clock_text(col: Column | str) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` of a ``timestamp_ntz`` wall clock, without any
+    time-zone conversion (``date_format`` goes through the session zone)."""
+    return F.substring(_c(col).cast("timestamp_ntz").cast("string"), 1, 19)

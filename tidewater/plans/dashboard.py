@@ -20,13 +20,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.money import exact_money
+from tidewater.functions.timefn import clock_text
 from tidewater.operators.topk import top_k
 from tidewater.sources.tables import read_table
 
 DAY_START = "16 hours"   # window offset -8 h: days begin at midnight UTC+8
 TICK = "1 hour"          # early-fire interval (1 s in the live job)
 TOP_N = 3
-CLOCK_FORMAT = "yyyy-MM-dd HH:mm:ss"
+CLOCK_FORMAT = "yyyy-MM-dd HH:mm:ss"   # what clock_text produces
 
 # The printed labels of the dashboard line.
 LINE_TIME = "时间 ： "
@@ -59,7 +60,7 @@ def category_ticks(sales: DataFrame, day_start: str = DAY_START, tick: str = TIC
                        on=["category", "day_start", "tick"], how="left")
     w = Window.partitionBy("category", "day_start").orderBy("tick").rowsBetween(Window.unboundedPreceding, 0)
     running = F.sum(F.coalesce(F.col("amount"), F.lit(0).cast("decimal(18,2)"))).over(w)
-    return filled.select("category", "tick", F.date_format("tick", CLOCK_FORMAT).alias("date_time"),
+    return filled.select("category", "tick", clock_text("tick").alias("date_time"),
                          F.round(running, 2).cast("double").alias("total_price"))
 
 

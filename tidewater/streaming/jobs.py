@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.hashing import char_code_parity
 from tidewater.functions.money import exact_money
-from tidewater.functions.timefn import epoch_micros, instant_to_ntz, to_event_time
-from tidewater.plans.dashboard import CLOCK_FORMAT, DAY_START, dashboard_lines
+from tidewater.functions.timefn import clock_text, epoch_micros, from_epoch_micros, to_event_time
+from tidewater.plans.dashboard import DAY_START, dashboard_lines
 from tidewater.operators.windows import duration_micros
 from tidewater.session import scratch_path
 from tidewater.sources.tables import read_table
@@ -30,6 +30,17 @@ TIMEOUT = "1 hour"
 SQL_TUMBLE, SQL_BOUND = "5 hours", "2 hours"   # tumble 5 s with a 2 s bound, scaled
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """``transformWithState`` needs the RocksDB state store; set it when the
+    session has none (a query keeps the provider recorded in its checkpoint)."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if spark.conf.get(key, None) != ROCKSDB:
+        spark.conf.set(key, ROCKSDB)
+
+
 def _landed_events(spark: SparkSession, sf_dir: str, cols: list[str], name: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events", cols)
     path = scratch_path(spark, f"{name}_landing")
@@ -38,6 +49,7 @@ def _landed_events(spark: SparkSession, sf_dir: str, cols: list[str], name: str)
 
 
 def _sink(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
+    use_rocksdb_state(spark)
     path = scratch_path(spark, f"{name}_sink")
     run_available_now(stream.writeStream.format("parquet").outputMode("append").option("path", path),
                       scratch_path(spark, f"{name}_ckpt"))
@@ -136,11 +148,12 @@ def sales_dashboard_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     out_path = scratch_path(spark, "dashboard_stream_out")
 
     def tick(batch: DataFrame, epoch_id: int) -> None:
-        latest = batch.agg(F.max("last_et")).first()[0]          # one scalar per batch
+        latest = batch.agg(F.max(F.unix_micros("last_et"))).first()[0]   # one scalar per batch
         if latest is None:
             return
-        open_day = batch.where((F.col("day.start") <= F.lit(latest)) & (F.col("day.end") > F.lit(latest)))
-        clock = F.date_format(instant_to_ntz(F.lit(latest)), CLOCK_FORMAT)
+        now = F.lit(int(latest))
+        open_day = batch.where((F.unix_micros("day.start") <= now) & (F.unix_micros("day.end") > now))
+        clock = clock_text(from_epoch_micros(now))
         stage1 = open_day.select("category", clock.alias("date_time"),
                                  F.round(F.col("amount"), 2).cast("double").alias("total_price"))
         lines = dashboard_lines(stage1)
