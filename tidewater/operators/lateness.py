@@ -25,6 +25,7 @@ from tidewater.functions.money import exact_money
 from tidewater.functions.timefn import epoch_micros, from_epoch_micros
 from tidewater.operators.running import DEFAULT_HOT_THRESHOLD, RunningSpec, row_chunk, running_aggregate
 from tidewater.operators.windows import duration_micros
+from tidewater.session import materialize
 
 ON_TIME = "on_time"
 LATE_ACCEPTED = "late_accepted"
@@ -84,6 +85,8 @@ def window_firings(
     Output: ``(keys, window_start, window_end, firing, event_count, sum_value)``.
     """
     wkeys = [*keys, "window_start", "window_end"]
+    # on-time and late branches both read the classification (a global pass)
+    classified = materialize(classified.select(*wkeys, value, arrival, tie, "lateness_class"))
     on_time = (classified.where(F.col("lateness_class") == ON_TIME)
                .groupBy(*wkeys)
                .agg(F.count(F.lit(1)).alias("_on_n"), F.sum(exact_money(value)).alias("_on_sum")))

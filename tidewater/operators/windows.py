@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.money import exact_money
 from tidewater.functions.timefn import epoch_micros, from_epoch_micros
+from tidewater.session import materialize
 from tidewater.operators.running import (CHUNK_COLUMN, DEFAULT_HOT_THRESHOLD, RunningSpec, row_chunk,
                                          running_aggregate, with_chunks)
 
@@ -91,6 +92,8 @@ def session_windows(
                           specs=[RunningSpec("_tw_prev", "max", us, exclusive=True)])
     d = d.withColumn("_tw_new", F.when(F.col("_tw_prev").isNull() | (F.col(us) - F.col("_tw_prev") > gap_us), 1)
                      .otherwise(0))
+    # the second pass reads this frame in two branches: compute it once
+    d = materialize(d.select(*keys, us, tie, value, CHUNK_COLUMN, "_tw_new"))
     d = running_aggregate(d, keys=keys, order=order, chunk=chunk_col,
                           specs=[RunningSpec("_tw_sid", "sum", "_tw_new")])
     g = d.groupBy(*keys, "_tw_sid").agg(

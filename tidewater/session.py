@@ -39,6 +39,29 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "tidew
     return spark
 
 
+def cluster_conf(shuffle_partitions: int = 20_000) -> dict[str, str]:
+    """Settings for a large cluster (about 100 TB of input, 1000 executors).
+
+    Shuffle partitions start high and AQE coalesces them to ~256 MB each; skewed
+    join partitions are split; scans read 512 MB splits; keyed state lives in
+    RocksDB. ``spark.checkpoint.dir`` must name a shared folder (it is not set
+    here: the cluster provides it).
+    """
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
+        "spark.sql.files.maxPartitionBytes": str(512 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+    }
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
@@ -58,3 +81,14 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/tidewater/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cut the lineage of a frame that several branches read: a reliable
+    ``checkpoint()`` into ``spark.checkpoint.dir`` (survives executor loss,
+    unlike a local checkpoint), so the branches do not recompute it."""
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(checkpoint_root(spark))
+    return df.checkpoint(eager=True)
