@@ -59,15 +59,15 @@ def test_broadcast_lookup_with_default(spark):
 
 
 def test_union_and_connect(spark):
-    s1 = inline_rows(spark, [("hadoop",), ("spark",), ("flink",)], "v string")
-    s2 = inline_rows(spark, [("hadoop",), ("spark",), ("flink",)], "v string")
+    s1 = inline_rows(spark, [("alpha",), ("beta",), ("gamma",)], "v string")
+    s2 = inline_rows(spark, [("alpha",), ("beta",), ("gamma",)], "v string")
     longs = inline_rows(spark, [(1,), (2,), (3,)], "v long")
     assert union_all(s1, s2).count() == 6
     out = connect_map(s1, lambda d: d.select(F.concat(F.lit("String -> String:"), "v").alias("value")),
                       longs, lambda d: d.select(F.concat(F.lit("Long -> String:"), F.col("v").cast("string")).alias("value")))
     vals = sorted(r.value for r in out.collect())
     assert vals == ["Long -> String:1", "Long -> String:2", "Long -> String:3",
-                    "String -> String:flink", "String -> String:hadoop", "String -> String:spark"]
+                    "String -> String:alpha", "String -> String:beta", "String -> String:gamma"]
 
 
 def test_side_outputs_even_odd(spark):
