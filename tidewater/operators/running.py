@@ -19,8 +19,8 @@ Skew-adaptive chunking (``hot_threshold``): only keys with more rows than the
 threshold are cut into chunks; every other key is one chunk, so the chunk
 table stays far smaller than the data when most keys are small. Hot keys are
 found with one partial + final count per key; there are at most
-``rows / hot_threshold`` of them, and the set is broadcast only after that
-size is checked (otherwise every key is chunked, which is still correct).
+``rows / hot_threshold`` of them, and the set is broadcast only when it has at
+most ``MAX_HOT_KEYS`` keys (otherwise every key is chunked, still correct).
 """
 
 from __future__ import annotations
@@ -95,10 +95,16 @@ def _hot_chunk(df: DataFrame, keys: list[str], chunk: Column, threshold: int) ->
     """``df`` plus the chunk column, chunked only for keys above ``threshold`` rows."""
     hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tw_n"))
            .where(F.col("_tw_n") > threshold).select(*keys, F.lit(True).alias("_tw_hot")))
-    if hot.limit(MAX_HOT_KEYS + 1).count() > MAX_HOT_KEYS:
+    # At most rows / threshold keys; fetched once with a cap (like a broadcast,
+    # the bounded list passes the driver), then sent to every task.
+    found = hot.limit(MAX_HOT_KEYS + 1).collect()
+    if len(found) > MAX_HOT_KEYS:
         return df.withColumn(_CHUNK, chunk)
+    if not found:  # no hot key: every key is one chunk, no join at all
+        return df.withColumn(_CHUNK, F.lit(0).cast("long"))
+    hot_keys = df.sparkSession.createDataFrame(found, hot.schema)
     # null keys never match and stay one chunk, as a null key is one group
-    marked = df.join(F.broadcast(hot), on=keys, how="left")
+    marked = df.join(F.broadcast(hot_keys), on=keys, how="left")
     out = marked.withColumn(_CHUNK, F.when(F.col("_tw_hot"), chunk).otherwise(F.lit(0).cast("long")))
     return out.select(*df.columns, _CHUNK)
 
