@@ -45,3 +45,24 @@ def test_dashboard_stream_last_tick(spark):
     assert f"总价 : {total}" in last.line or f"总价 : {total:.1f}" in last.line
     for cat, _ in rows[:3]:
         assert f"分类：{cat} " in last.line
+
+
+def test_state_processors_run_without_the_package_on_worker_path(tmp_path):
+    """A plain session started outside the repo: Python workers cannot import
+    the package, so the processors must travel with the query."""
+    import subprocess
+    import sys
+
+    from conftest import ROOT
+    script = tmp_path / "run.py"
+    script.write_text(
+        "import sys\n"
+        f"sys.path.insert(0, {ROOT!r})\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false')"
+        ".config('spark.sql.shuffle.partitions', '2').getOrCreate()\n"
+        "from tidewater.streaming.jobs import running_max_stream\n"
+        f"print('ROWS', running_max_stream(spark, {SF_SMALL!r}).count())\n")
+    out = subprocess.run([sys.executable, str(script)], cwd=str(tmp_path), capture_output=True, text=True,
+                         timeout=600)
+    assert "ROWS 1000" in out.stdout, out.stderr[-2000:]

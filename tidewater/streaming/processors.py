@@ -9,12 +9,19 @@ Money is handled in integer cents so results are exact.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+# The processors are the only library code that runs in Python workers. Ship
+# them with the query (pickled by value), so executors need numpy, pandas and
+# pyspark but not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _frame(rows: Iterator[pd.DataFrame], order: str) -> pd.DataFrame:
     parts = list(rows)
