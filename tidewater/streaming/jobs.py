@@ -16,6 +16,7 @@ from tidewater.functions.money import exact_money
 from tidewater.functions.timefn import clock_text, epoch_micros, from_epoch_micros, to_event_time
 from tidewater.plans.dashboard import DAY_START, dashboard_lines
 from tidewater.operators.windows import duration_micros
+from tidewater.operators.basic import even_odd_tag, union_all
 from tidewater.session import scratch_path
 from tidewater.sources.tables import read_table
 from tidewater.streaming.feed import land_in_order, run_available_now, stream_folder
@@ -73,6 +74,39 @@ def count_sliding_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sink(spark, out, "count_sliding_stream")
 
 
+def count_tumbling_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = _landed_events(spark, sf_dir, ["event_id", "user_id", "value"], "count_tumbling_stream")
+    out = src.groupBy("user_id").transformWithStateInPandas(
+        CountWindowProcessor("user_id", "event_id", "value", COUNT_SIZE, COUNT_SIZE),
+        "user_id long, window_index long, event_count long, sum_value double, last_event_id long",
+        "Append", "None")
+    return _sink(spark, out, "count_tumbling_stream")
+
+
+def split_even_odd_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Side outputs of a stream: each micro-batch is tagged once, kept in
+    memory/disk while both outputs are written, then released."""
+    from pyspark import StorageLevel
+
+    keys = read_table(spark, sf_dir, "orders", ["o_orderkey"]).withColumnRenamed("o_orderkey", "value")
+    landing = scratch_path(spark, "split_stream_landing")
+    land_in_order(keys, "value", PIECES, landing)
+    src = stream_folder(spark, landing, keys.schema, FILES_PER_TRIGGER)
+    outs = {tag: scratch_path(spark, f"split_stream_{tag}") for tag in ("even", "odd")}
+
+    def write_sides(batch: DataFrame, epoch_id: int) -> None:
+        tagged = batch.withColumn("tag", even_odd_tag("value")).persist(StorageLevel.MEMORY_AND_DISK)
+        for tag, path in outs.items():
+            (tagged.where(F.col("tag") == tag).select("value")
+             .withColumn("epoch", F.lit(int(epoch_id)).cast("long"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch")
+             .parquet(path))
+        tagged.unpersist()
+
+    run_available_now(src.writeStream.foreachBatch(write_sides), scratch_path(spark, "split_stream_ckpt"))
+    return union_all(*[spark.read.parquet(p).select("value", F.lit(t).alias("tag")) for t, p in outs.items()])
+
+
 def order_timeout_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases wait one hour for a click of the same user (map state + event-time timers)."""
     src = _landed_events(spark, sf_dir, ["event_id", "user_id", "ts", "event_type"], "order_timeout_stream")
@@ -221,7 +255,18 @@ ORACLE["order_timeout_drain_stream"] = f"""
         FROM o)
   SELECT d.* FROM d, wm WHERE handled_ms <= wm.w"""
 
+ORACLE["count_tumbling_stream"] = f"""WITH r AS (
+          SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events)
+        SELECT user_id, CAST((rn - 1) // {COUNT_SIZE} + 1 AS BIGINT) AS window_index, count(*) AS event_count,
+               CAST(sum({_DEC}) AS DOUBLE) AS sum_value, max(event_id) AS last_event_id
+        FROM r GROUP BY user_id, (rn - 1) // {COUNT_SIZE} HAVING count(*) = {COUNT_SIZE}"""
+
+ORACLE["split_even_odd_stream"] = """SELECT o_orderkey AS value,
+        CASE WHEN o_orderkey % 2 = 0 THEN 'even' ELSE 'odd' END AS tag FROM orders"""
+
 QUERIES = {
+    "count_tumbling_stream": count_tumbling_stream,
+    "split_even_odd_stream": split_even_odd_stream,
     "order_timeout_drain_stream": order_timeout_drain_stream,
     "sales_dashboard_stream": sales_dashboard_stream,
     "retract_changelog_stream": retract_changelog_stream,
