@@ -9,7 +9,7 @@ from conftest import SF_SMALL
 STREAMING = {"word_count_stream", "event_time_tumbling", "resumable_ingest", "running_max_stream",
              "count_sliding_stream", "order_timeout_stream", "retract_changelog_stream", "tumble_sql_stream",
              "sales_dashboard_stream", "order_timeout_drain_stream", "count_tumbling_stream",
-             "split_even_odd_stream"}
+             "split_even_odd_stream", "late_refires_stream"}
 
 
 def _plan(spark, name):

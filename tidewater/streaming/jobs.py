@@ -20,8 +20,8 @@ from tidewater.operators.basic import even_odd_tag, union_all
 from tidewater.session import scratch_path
 from tidewater.sources.tables import read_table
 from tidewater.streaming.feed import land_in_order, run_available_now, stream_folder
-from tidewater.streaming.processors import (ChangelogProcessor, CountWindowProcessor, OrderTimeoutProcessor,
-                                            RunningMaxProcessor)
+from tidewater.streaming.processors import (ChangelogProcessor, CountWindowProcessor, LateWindowProcessor,
+                                            OrderTimeoutProcessor, RunningMaxProcessor)
 
 PIECES = 2                 # arrival slices of the table
 FILES_PER_TRIGGER = 1      # micro-batch size
@@ -29,6 +29,9 @@ TIMER_WATERMARK = "1 minute"
 COUNT_SIZE, COUNT_SLIDE = 5, 3
 TIMEOUT = "1 hour"
 SQL_TUMBLE, SQL_BOUND = "5 hours", "2 hours"   # tumble 5 s with a 2 s bound, scaled
+LATE_WINDOW, LATE_BOUND, LATE_ALLOWED = "1 hour", "10 minutes", "20 minutes"
+ARRIVAL_MULT, ARRIVAL_SPREAD = 7919, 50
+LATE_PIECES = 4            # arrival slices (micro-batches) for the lateness stream
 
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -74,6 +77,35 @@ def count_sliding_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sink(spark, out, "count_sliding_stream")
 
 
+def late_refires_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Allowed lateness on a stream: rows arrive in ``arrival`` order in
+    ``LATE_PIECES`` micro-batches; the watermark is the engine's (per batch).
+    Returns the firings; ``firing = -1`` rows are the late side output."""
+    ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "ts", "value"]).withColumn(
+        "arrival", F.col("event_id") + F.pmod(F.col("event_id") * ARRIVAL_MULT, F.lit(ARRIVAL_SPREAD)))
+    landing = scratch_path(spark, "late_stream_landing")
+    land_in_order(ev, "arrival", LATE_PIECES, landing)
+    src = stream_folder(spark, landing, ev.schema, FILES_PER_TRIGGER)
+    rows = (src.select("user_id", "event_id", "arrival",
+                       F.floor(epoch_micros("ts") / 1000).cast("long").alias("ms"),
+                       F.round(F.col("value") * 100).cast("long").alias("cents"),
+                       F.timestamp_micros(epoch_micros("ts")).alias("et"))
+            .withWatermark("et", LATE_BOUND)
+            # the event-time column stays out of the processor input: the
+            # processor classifies late rows itself instead of the engine dropping them
+            .select("user_id", "event_id", "arrival", "ms", "cents"))
+    out = rows.groupBy("user_id").transformWithStateInPandas(
+        LateWindowProcessor("user_id", duration_micros(LATE_WINDOW) // 1000, duration_micros(LATE_ALLOWED) // 1000),
+        "user_id long, window_end_ms long, firing long, event_count long, sum_cents long, event_id long",
+        "Append", "EventTime")
+    fired = _sink(spark, out, "late_stream").where("firing >= 0")
+    w_us = duration_micros(LATE_WINDOW)
+    return fired.select("user_id",
+                        from_epoch_micros(F.col("window_end_ms") * 1000 - w_us).alias("window_start"),
+                        from_epoch_micros(F.col("window_end_ms") * 1000).alias("window_end"),
+                        "firing", "event_count", (F.col("sum_cents") / 100.0).alias("sum_value"))
+
+
 def count_tumbling_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = _landed_events(spark, sf_dir, ["event_id", "user_id", "value"], "count_tumbling_stream")
     out = src.groupBy("user_id").transformWithStateInPandas(
@@ -264,7 +296,39 @@ ORACLE["count_tumbling_stream"] = f"""WITH r AS (
 ORACLE["split_even_odd_stream"] = """SELECT o_orderkey AS value,
         CASE WHEN o_orderkey % 2 = 0 THEN 'even' ELSE 'odd' END AS tag FROM orders"""
 
+_LB = duration_micros(LATE_BOUND)
+_LA = duration_micros(LATE_ALLOWED)
+ORACLE["late_refires_stream"] = f"""
+  WITH a AS (SELECT event_id, user_id, ts, value, epoch_us(ts) AS us,
+                    event_id + (event_id * {ARRIVAL_MULT}) % {ARRIVAL_SPREAD} AS arrival FROM events),
+  b AS (SELECT min(arrival) AS lo, max(arrival) AS hi FROM a),
+  p AS (SELECT a.*, (arrival - lo) // ((hi - lo) // {LATE_PIECES} + 1) AS piece FROM a, b),
+  pm AS (SELECT piece, max(us) AS mx FROM p GROUP BY piece),
+  wp AS (SELECT piece, max(mx) OVER (ORDER BY piece ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mxprev
+         FROM pm),
+  c AS (SELECT p.*, epoch_us(time_bucket(INTERVAL '{LATE_WINDOW}', ts, TIMESTAMP '1970-01-01 00:00:00'))
+                    + {duration_micros(LATE_WINDOW)} AS e, wp.mxprev
+        FROM p JOIN wp ON p.piece = wp.piece),
+  k AS (SELECT *, CASE WHEN mxprev IS NULL OR mxprev < e + {_LB} THEN 'on_time'
+                       WHEN mxprev < e + {_LB + _LA} THEN 'late_accepted' ELSE 'late_dropped' END AS cls FROM c),
+  fin AS (SELECT max(us) AS mx FROM a),
+  o AS (SELECT user_id, e, count(*) AS n, sum(CAST(round(value * 100) AS BIGINT)) AS s
+        FROM k WHERE cls = 'on_time' GROUP BY user_id, e),
+  l AS (SELECT user_id, e,
+               row_number() OVER (PARTITION BY user_id, e ORDER BY arrival, event_id) AS firing,
+               sum(CAST(round(value * 100) AS BIGINT)) OVER (PARTITION BY user_id, e ORDER BY arrival, event_id
+                                                              ROWS UNBOUNDED PRECEDING) AS ls
+        FROM k WHERE cls = 'late_accepted')
+  SELECT user_id, make_timestamp(e - {duration_micros(LATE_WINDOW)}) AS window_start, make_timestamp(e) AS window_end,
+         CAST(0 AS BIGINT) AS firing, n AS event_count, s / 100.0 AS sum_value
+  FROM o, fin WHERE e + {_LB} <= fin.mx
+  UNION ALL
+  SELECT l.user_id, make_timestamp(l.e - {duration_micros(LATE_WINDOW)}), make_timestamp(l.e), l.firing,
+         coalesce(o.n, 0) + l.firing, (coalesce(o.s, 0) + l.ls) / 100.0
+  FROM l LEFT JOIN o ON l.user_id = o.user_id AND l.e = o.e"""
+
 QUERIES = {
+    "late_refires_stream": late_refires_stream,
     "count_tumbling_stream": count_tumbling_stream,
     "split_even_odd_stream": split_even_odd_stream,
     "order_timeout_drain_stream": order_timeout_drain_stream,

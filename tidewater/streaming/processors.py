@@ -240,3 +240,106 @@ class OrderTimeoutProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class LateWindowProcessor(StatefulProcessor):
+    """Tumbling event-time windows with allowed lateness and a late side output.
+
+    Input rows ``(arrival, event_id, ms, cents)`` of one key; the watermark is the
+    engine's (max event time of earlier micro-batches minus the bound). At the
+    start of a batch, windows the watermark has passed emit their on-time
+    result (``firing = 0``). Rows of open windows accumulate; rows of passed
+    windows within ``lateness_ms`` re-fire the window (``firing = 1, 2, ...``,
+    arrival order); later rows are emitted with ``firing = -1`` (side output).
+    One event-time timer per key stands at the earliest unfired window end.
+    """
+
+    def __init__(self, key: str, window_ms: int, lateness_ms: int):
+        self.key, self.window, self.lateness = key, window_ms, lateness_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.windows = handle.getListState("windows", "end long, n long, cents long, fired boolean, late long")
+        self.timer = handle.getValueState("timer", "at long")
+
+    def _load(self) -> dict:
+        return {int(t[0]): [int(t[1]), int(t[2]), bool(t[3]), int(t[4])] for t in self.windows.get()}
+
+    def _save(self, wins: dict, wm: int) -> None:
+        keep = {e: w for e, w in wins.items() if not (w[2] and e + self.lateness <= wm)}
+        if keep:
+            self.windows.put([(e, *w) for e, w in sorted(keep.items())])
+        else:
+            self.windows.clear()
+        unfired = [e for e, w in keep.items() if not w[2]]
+        at = min(unfired) if unfired else None
+        current = self.timer.get()
+        if current is not None and current[0] != at:
+            self.handle.deleteTimer(current[0])
+        if at is None:
+            self.timer.clear()
+        elif current is None or current[0] != at:
+            self.handle.registerTimer(at)
+            self.timer.update((at,))
+
+    def _fire_passed(self, wins: dict, wm: int, key) -> list:
+        out = []
+        for e in sorted(wins):
+            w = wins[e]
+            if not w[2] and e <= wm:
+                w[2] = True
+                out.append((key[0], e, 0, w[0], w[1], -1))
+        return out
+
+    def _frame_out(self, rows: list) -> pd.DataFrame:
+        cols = [self.key, "window_end_ms", "firing", "event_count", "sum_cents", "event_id"]
+        return pd.DataFrame(rows, columns=cols).astype("int64")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        wm = timerValues.getCurrentWatermarkInMs()
+        wins = self._load()
+        out = self._fire_passed(wins, wm, key)
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["arrival", "event_id"], kind="stable")
+        ms = pdf["ms"].to_numpy(dtype="int64")
+        pdf = pdf.assign(e=ms - ms % self.window + self.window)
+        is_open = pdf["e"].to_numpy() > wm
+        is_late = ~is_open & (wm < pdf["e"].to_numpy() + self.lateness)
+        # rows of open windows: one sum per window
+        for e, g in pdf[is_open].groupby("e"):
+            w = wins.setdefault(int(e), [0, 0, False, 0])
+            w[0] += len(g)
+            w[1] += int(g["cents"].sum())
+        # accepted late rows: running count and sum per window, in arrival order
+        late = pdf[is_late]
+        if len(late):
+            base = pd.DataFrame([(e, *wins.get(e, [0, 0, True, 0])) for e in late["e"].unique().tolist()],
+                                columns=["e", "n0", "c0", "fired", "late0"])
+            late = late.merge(base, on="e", how="left", sort=False)
+            k = late.groupby("e").cumcount().to_numpy() + 1
+            csum = late.groupby("e")["cents"].cumsum().to_numpy()
+            out += list(zip([key[0]] * len(late), late["e"].tolist(), (late["late0"].to_numpy() + k).tolist(),
+                            (late["n0"].to_numpy() + k).tolist(), (late["c0"].to_numpy() + csum).tolist(),
+                            late["event_id"].tolist()))
+            last = late.groupby("e").agg(n=("cents", "size"), c=("cents", "sum"))
+            for e, r in last.iterrows():
+                w = wins.setdefault(int(e), [0, 0, True, 0])
+                w[0] += int(r["n"])
+                w[1] += int(r["c"])
+                w[3] += int(r["n"])
+        # beyond the allowed lateness: side output
+        drop = pdf[~is_open & ~is_late]
+        out += list(zip([key[0]] * len(drop), drop["e"].tolist(), [-1] * len(drop), [1] * len(drop),
+                        drop["cents"].tolist(), drop["event_id"].tolist()))
+        self._save(wins, wm)
+        return iter([self._frame_out(out)]) if out else iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.timer.clear()
+        wm = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        wins = self._load()
+        out = self._fire_passed(wins, wm, key)
+        self._save(wins, wm)
+        return iter([self._frame_out(out)]) if out else iter([])
+
+    def close(self) -> None:
+        pass
