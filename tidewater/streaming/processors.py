@@ -87,21 +87,20 @@ class ChangelogProcessor(StatefulProcessor):
 
 class CountWindowProcessor(StatefulProcessor):
     """Count window per key: at every ``slide``-th row, the sum over the last
-    ``size`` rows (a count trigger with a count evictor). State: the last
-    ``size`` values (list state) and the number of rows seen (value state)."""
+    ``size`` rows (a count trigger with a count evictor). State, one value per
+    key: the last ``size`` values and the number of rows seen."""
 
     def __init__(self, key: str, order: str, value: str, size: int, slide: int):
         self.key, self.order, self.value, self.size, self.slide = key, order, value, size, slide
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.tail = handle.getListState("tail", "cents long")
-        self.seen = handle.getValueState("seen", "n long")
+        self.book = handle.getValueState("book", "tail array<long>, seen long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _frame(rows, self.order)
-        prev = np.array([t[0] for t in self.tail.get()], dtype="int64")
-        seen = self.seen.get()
-        n0 = seen[0] if seen is not None else 0
+        book = self.book.get()
+        prev = np.array(book[0] if book is not None else [], dtype="int64")
+        n0 = book[1] if book is not None else 0
         new = _cents(pdf[self.value])
         arr = np.concatenate([prev, new])
         csum = np.concatenate([[0], np.cumsum(arr)])
@@ -116,126 +115,115 @@ class CountWindowProcessor(StatefulProcessor):
             "sum_value": (csum[end] - csum[start]) / 100.0,
             f"last_{self.order}": pdf[self.order].to_numpy()[fire],
         })
-        self.tail.put([(int(x),) for x in arr[-self.size:]])
-        self.seen.update((int(n0 + len(new)),))
+        self.book.update((arr[-self.size:].tolist(), int(n0 + len(new))))
         yield out
 
     def close(self) -> None:
         pass
 
 
+class _Book:
+    """Helpers for a key's state kept as one value row of arrays plus the time
+    of the one armed timer (one read and one write per key and batch)."""
+
+    @staticmethod
+    def arm(handle: StatefulProcessorHandle, armed: int | None, want: int | None) -> int | None:
+        if armed == want:
+            return armed
+        if armed is not None:
+            handle.deleteTimer(int(armed))
+        if want is not None:
+            handle.registerTimer(int(want))
+        return want
+
+
 class OrderTimeoutProcessor(StatefulProcessor):
     """Orders wait ``interval_ms`` for a review of the same key.
 
     Input rows: ``(kind, order_id, ms)`` with kind ``order`` or ``review``.
-    Pending orders are kept in list state (rewritten once per batch and key);
-    reviews of a micro-batch mark the pending orders they fall in
-    ``(ts, due]`` in one vectorized pass. One event-time timer per key stands
-    at the earliest due time; when it fires, every order whose due time the
-    watermark has passed is emitted (``reviewed`` / ``auto_good_review``) and
-    the timer moves to the next due time. State work per key and batch is
-    therefore a constant number of state calls, not one per order.
+    Pending orders are kept in one value per key (arrays); reviews of a
+    micro-batch mark the pending orders they fall in ``(ts, due]`` in one
+    vectorized pass. One event-time timer per key stands at the earliest due
+    time; when it fires, every order whose due time the watermark has passed
+    is emitted (``reviewed`` / ``auto_good_review``) and the timer moves to the
+    next due time. State work per key and batch is a constant number of state
+    calls, not one per order.
 
     ``drain_all=True`` is the literal variant: each order sets a timer, and a
     timer hands *all* pending orders of the key that arrived before it (a
     timer fires before an order of the same instant). The future timer times
-    are kept in list state behind the same single armed timer; when it fires,
-    each pending order is handled by the first passed timer time after it.
+    are kept with the orders behind the same single armed timer; when it
+    fires, each pending order is handled by the first passed timer time after it.
     """
 
+    SCHEMA = "order_id array<long>, ms array<long>, reviewed array<boolean>, due array<long>, armed long"
+
     def __init__(self, key: str, interval_ms: int, drain_all: bool = False):
         self.key, self.interval, self.drain_all = key, interval_ms, drain_all
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", "order_id long, ms long, reviewed boolean")
-        self.timer = handle.getValueState("timer", "at long")
-        self.due = handle.getListState("due", "at long")  # drain_all: timer times not yet passed
-
-    def _load(self) -> pd.DataFrame:
-        items = list(self.pending.get())
-        return pd.DataFrame({"order_id": np.array([t[0] for t in items], dtype="int64"),
-                             "ms": np.array([t[1] for t in items], dtype="int64"),
-                             "reviewed": np.array([bool(t[2]) for t in items], dtype=bool)})
-
-    def _store(self, state: pd.DataFrame) -> None:
-        if len(state):
-            self.pending.put(list(zip(state["order_id"].tolist(), state["ms"].tolist(),
-                                      state["reviewed"].tolist())))
-        else:
-            self.pending.clear()
-
-    def _arm(self, at: int | None) -> None:
-        """Keep exactly one timer, at ``at`` (None: no timer)."""
-        current = self.timer.get()
-        if current is not None and current[0] == at:
-            return
-        if current is not None:
-            self.handle.deleteTimer(current[0])
-        if at is None:
-            self.timer.clear()
+        self.book = handle.getValueState("book", self.SCHEMA)
+
+    def _load(self):
+        b = self.book.get()
+        if b is None:
+            return (np.zeros(0, "int64"), np.zeros(0, "int64"), np.zeros(0, bool), np.zeros(0, "int64"), None)
+        return (np.array(b[0], dtype="int64"), np.array(b[1], dtype="int64"), np.array(b[2], dtype=bool),
+                np.array(b[3], dtype="int64"), b[4])
+
+    def _store(self, oid, ms, rev, due, armed) -> None:
+        if len(oid) or len(due):
+            self.book.update((oid.tolist(), ms.tolist(), rev.tolist(), due.tolist(), armed))
         else:
-            self.handle.registerTimer(int(at))
-            self.timer.update((int(at),))
-
-    def _due_times(self) -> np.ndarray:
-        return np.sort(np.array([t[0] for t in self.due.get()], dtype="int64"))
+            self.book.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _frame(rows, "ms")
         is_order = (pdf["kind"] == "order").to_numpy()
-        new = pd.DataFrame({"order_id": pdf["order_id"].to_numpy(dtype="int64")[is_order],
-                            "ms": pdf["ms"].to_numpy(dtype="int64")[is_order],
-                            "reviewed": np.zeros(int(is_order.sum()), dtype=bool)})
-        state = pd.concat([self._load(), new], ignore_index=True)
+        oid, ms, rev, due, armed = self._load()
+        new_ms = pdf["ms"].to_numpy(dtype="int64")[is_order]
+        oid = np.concatenate([oid, pdf["order_id"].to_numpy(dtype="int64")[is_order]])
+        ms = np.concatenate([ms, new_ms])
+        rev = np.concatenate([rev, np.zeros(len(new_ms), dtype=bool)])
         if self.drain_all:
-            due = np.concatenate([self._due_times(), new["ms"].to_numpy(dtype="int64") + self.interval])
-            if len(new):
-                self.due.put([(int(x),) for x in due])
-            self._store(state)
-            self._arm(int(due.min()) if len(due) else None)
-            return iter([])
-        reviews = np.sort(pdf["ms"].to_numpy(dtype="int64")[~is_order])
-        if len(reviews) and len(state):
-            ms = state["ms"].to_numpy(dtype="int64")
-            nxt = np.searchsorted(reviews, ms, side="right")   # first review strictly after the order
-            has = nxt < len(reviews)
-            hit = np.zeros(len(ms), dtype=bool)
-            hit[has] = reviews[nxt[has]] <= ms[has] + self.interval
-            state["reviewed"] = state["reviewed"].to_numpy(dtype=bool) | hit
-        self._store(state)
-        self._arm(int(state["ms"].min()) + self.interval if len(state) else None)
+            due = np.concatenate([due, new_ms + self.interval])
+            want = int(due.min()) if len(due) else None
+        else:
+            reviews = np.sort(pdf["ms"].to_numpy(dtype="int64")[~is_order])
+            if len(reviews) and len(ms):
+                nxt = np.searchsorted(reviews, ms, side="right")   # first review strictly after the order
+                has = nxt < len(reviews)
+                hit = np.zeros(len(ms), dtype=bool)
+                hit[has] = reviews[nxt[has]] <= ms[has] + self.interval
+                rev = rev | hit
+            want = int(ms.min()) + self.interval if len(ms) else None
+        armed = _Book.arm(self.handle, armed, want)
+        self._store(oid, ms, rev, due, armed)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.timer.clear()
         limit = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
-        state = self._load()
-        ms = state["ms"].to_numpy(dtype="int64")
+        oid, ms, rev, due, _ = self._load()
+        armed = None                                   # the armed timer has just fired
         if self.drain_all:
-            due = self._due_times()
-            passed, later = due[due <= limit], due[due > limit]
-            idx = np.searchsorted(passed, ms, side="right")    # first passed timer after the order
+            passed, due = due[due <= limit], due[due > limit]
+            idx = np.searchsorted(np.sort(passed), ms, side="right")   # first passed timer after the order
             take = idx < len(passed)
-            handled = passed[idx[take]]
-            if len(later):
-                self.due.put([(int(x),) for x in later])
-            else:
-                self.due.clear()
-            rest = state[~take]
-            self._arm(int(later.min()) if len(later) else None)
+            handled = np.sort(passed)[idx[take]]
+            want = int(due.min()) if len(due) else None
         else:
             take = ms + self.interval <= limit
             handled = ms[take] + self.interval
-            rest = state[~take]
-            self._arm(int(rest["ms"].min()) + self.interval if len(rest) else None)
-        done = state[take]
-        self._store(rest)
-        if not len(done):
+            rest = ms[~take]
+            want = int(rest.min()) + self.interval if len(rest) else None
+        done = (oid[take], ms[take], rev[take])
+        armed = _Book.arm(self.handle, armed, want)
+        self._store(oid[~take], ms[~take], rev[~take], due, armed)
+        if not len(done[0]):
             return iter([])
-        status = np.where(done["reviewed"].to_numpy(dtype=bool), "reviewed", "auto_good_review")
-        return iter([pd.DataFrame({"order_id": done["order_id"].to_numpy(dtype="int64"), self.key: key[0],
-                                   "order_ms": done["ms"].to_numpy(dtype="int64"),
+        status = np.where(done[2], "reviewed", "auto_good_review")
+        return iter([pd.DataFrame({"order_id": done[0], self.key: key[0], "order_ms": done[1],
                                    "handled_ms": handled.astype("int64"), "status": status})])
 
     def close(self) -> None:
@@ -251,36 +239,36 @@ class LateWindowProcessor(StatefulProcessor):
     result (``firing = 0``). Rows of open windows accumulate; rows of passed
     windows within ``lateness_ms`` re-fire the window (``firing = 1, 2, ...``,
     arrival order); later rows are emitted with ``firing = -1`` (side output).
-    One event-time timer per key stands at the earliest unfired window end.
+    State, one value per key: the open windows as arrays and the one armed
+    event-time timer (at the earliest unfired window end).
     """
 
+    SCHEMA = ("ends array<long>, n array<long>, cents array<long>, fired array<boolean>, "
+              "late array<long>, armed long")
+
     def __init__(self, key: str, window_ms: int, lateness_ms: int):
         self.key, self.window, self.lateness = key, window_ms, lateness_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.windows = handle.getListState("windows", "end long, n long, cents long, fired boolean, late long")
-        self.timer = handle.getValueState("timer", "at long")
+        self.book = handle.getValueState("book", self.SCHEMA)
 
-    def _load(self) -> dict:
-        return {int(t[0]): [int(t[1]), int(t[2]), bool(t[3]), int(t[4])] for t in self.windows.get()}
+    def _load(self) -> tuple[dict, int | None]:
+        b = self.book.get()
+        if b is None:
+            return {}, None
+        return {int(e): [int(n), int(c), bool(f), int(l)] for e, n, c, f, l in zip(*b[:5])}, b[5]
 
-    def _save(self, wins: dict, wm: int) -> None:
+    def _save(self, wins: dict, wm: int, armed: int | None) -> None:
         keep = {e: w for e, w in wins.items() if not (w[2] and e + self.lateness <= wm)}
-        if keep:
-            self.windows.put([(e, *w) for e, w in sorted(keep.items())])
-        else:
-            self.windows.clear()
         unfired = [e for e, w in keep.items() if not w[2]]
-        at = min(unfired) if unfired else None
-        current = self.timer.get()
-        if current is not None and current[0] != at:
-            self.handle.deleteTimer(current[0])
-        if at is None:
-            self.timer.clear()
-        elif current is None or current[0] != at:
-            self.handle.registerTimer(at)
-            self.timer.update((at,))
+        armed = _Book.arm(self.handle, armed, min(unfired) if unfired else None)
+        if not keep:
+            self.book.clear()
+            return
+        ends = sorted(keep)
+        self.book.update((ends, [keep[e][0] for e in ends], [keep[e][1] for e in ends],
+                          [keep[e][2] for e in ends], [keep[e][3] for e in ends], armed))
 
     def _fire_passed(self, wins: dict, wm: int, key) -> list:
         out = []
@@ -297,48 +285,51 @@ class LateWindowProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         wm = timerValues.getCurrentWatermarkInMs()
-        wins = self._load()
+        wins, armed = self._load()
         out = self._fire_passed(wins, wm, key)
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values(["arrival", "event_id"], kind="stable")
-        ms = pdf["ms"].to_numpy(dtype="int64")
-        pdf = pdf.assign(e=ms - ms % self.window + self.window)
-        is_open = pdf["e"].to_numpy() > wm
-        is_late = ~is_open & (wm < pdf["e"].to_numpy() + self.lateness)
-        # rows of open windows: one sum per window
-        for e, g in pdf[is_open].groupby("e"):
-            w = wins.setdefault(int(e), [0, 0, False, 0])
-            w[0] += len(g)
-            w[1] += int(g["cents"].sum())
-        # accepted late rows: running count and sum per window, in arrival order
-        late = pdf[is_late]
-        if len(late):
-            base = pd.DataFrame([(e, *wins.get(e, [0, 0, True, 0])) for e in late["e"].unique().tolist()],
-                                columns=["e", "n0", "c0", "fired", "late0"])
-            late = late.merge(base, on="e", how="left", sort=False)
-            k = late.groupby("e").cumcount().to_numpy() + 1
-            csum = late.groupby("e")["cents"].cumsum().to_numpy()
-            out += list(zip([key[0]] * len(late), late["e"].tolist(), (late["late0"].to_numpy() + k).tolist(),
-                            (late["n0"].to_numpy() + k).tolist(), (late["c0"].to_numpy() + csum).tolist(),
-                            late["event_id"].tolist()))
-            last = late.groupby("e").agg(n=("cents", "size"), c=("cents", "sum"))
-            for e, r in last.iterrows():
-                w = wins.setdefault(int(e), [0, 0, True, 0])
-                w[0] += int(r["n"])
-                w[1] += int(r["c"])
-                w[3] += int(r["n"])
+        parts = list(rows)
+        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        arrival = pdf["arrival"].to_numpy(dtype="int64")
+        ids = pdf["event_id"].to_numpy(dtype="int64")
+        idx = np.lexsort((ids, arrival))                    # arrival order, ties by id
+        ids = ids[idx]
+        ms = pdf["ms"].to_numpy(dtype="int64")[idx]
+        cents = pdf["cents"].to_numpy(dtype="int64")[idx]
+        ends = ms - ms % self.window + self.window
+        is_open = ends > wm
+        is_late = ~is_open & (wm < ends + self.lateness)
+        # rows of open windows: one count and sum per window
+        if is_open.any():
+            ue, inv = np.unique(ends[is_open], return_inverse=True)
+            cnt = np.bincount(inv)
+            tot = np.zeros(len(ue), dtype="int64")
+            np.add.at(tot, inv, cents[is_open])
+            for e, c, t in zip(ue.tolist(), cnt.tolist(), tot.tolist()):
+                w = wins.setdefault(e, [0, 0, False, 0])
+                w[0] += c
+                w[1] += t
+        # accepted late rows (rare): each re-fires its window, in arrival order
+        for e, c, i in zip(ends[is_late].tolist(), cents[is_late].tolist(), ids[is_late].tolist()):
+            w = wins.setdefault(e, [0, 0, True, 0])
+            w[0] += 1
+            w[1] += c
+            w[3] += 1
+            out.append((key[0], e, w[3], w[0], w[1], i))
         # beyond the allowed lateness: side output
-        drop = pdf[~is_open & ~is_late]
-        out += list(zip([key[0]] * len(drop), drop["e"].tolist(), [-1] * len(drop), [1] * len(drop),
-                        drop["cents"].tolist(), drop["event_id"].tolist()))
-        self._save(wins, wm)
-        return iter([self._frame_out(out)]) if out else iter([])
+        drop = ~is_open & ~is_late
+        frames = [self._frame_out(out)] if out else []
+        if drop.any():
+            frames.append(pd.DataFrame({self.key: key[0], "window_end_ms": ends[drop], "firing": -1,
+                                        "event_count": 1, "sum_cents": cents[drop], "event_id": ids[drop]}
+                                       ).astype("int64"))
+        self._save(wins, wm, armed)
+        return iter(frames)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.timer.clear()
         wm = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
-        wins = self._load()
+        wins, _ = self._load()
         out = self._fire_passed(wins, wm, key)
-        self._save(wins, wm)
+        self._save(wins, wm, None)                     # the armed timer has just fired
         return iter([self._frame_out(out)]) if out else iter([])
 
     def close(self) -> None:
