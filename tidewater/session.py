@@ -28,7 +28,7 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "tidew
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("TIDEWATER_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("TIDEWATER_DRIVER_MEMORY", "4g"))
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     )
