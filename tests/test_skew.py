@@ -22,7 +22,8 @@ def _skewed(spark):
 
 def test_hot_key_is_split_and_cold_keys_stay_whole(spark):
     df = _skewed(spark)
-    chunks = with_chunks(df, ["k"], row_chunk("seq", WIDTH), THRESHOLD)
+    chunks, split = with_chunks(df, ["k"], row_chunk("seq", WIDTH), THRESHOLD)
+    assert split
     per = chunks.groupBy("k", CHUNK_COLUMN).count()
     hot = per.where("k = 0").collect()
     assert len(hot) >= N // 3 // WIDTH               # the hot key is cut into many chunks

@@ -82,16 +82,18 @@ MAX_HOT_KEYS = 1_000_000
 CHUNK_COLUMN = _CHUNK
 
 
-def with_chunks(df: DataFrame, keys: list[str], chunk: Column, threshold: int | None) -> DataFrame:
+def with_chunks(df: DataFrame, keys: list[str], chunk: Column, threshold: int | None) -> tuple[DataFrame, bool]:
     """``df`` plus the chunk column ``_tw_chunk``; with a ``threshold`` only keys
-    above it are chunked. Reuse the column for several running passes with
-    ``running_aggregate(..., chunk=F.col(CHUNK_COLUMN))``."""
+    above it are chunked. Returns ``(frame, chunked)``; ``chunked`` is False
+    when no key was split (every key is one chunk). Reuse the column for
+    several running passes with ``running_aggregate(..., chunk=F.col(CHUNK_COLUMN),
+    chunked=chunked)``."""
     if threshold is None or not keys:
-        return df.withColumn(_CHUNK, chunk)
+        return df.withColumn(_CHUNK, chunk), True
     return _hot_chunk(df, keys, chunk, threshold)
 
 
-def _hot_chunk(df: DataFrame, keys: list[str], chunk: Column, threshold: int) -> DataFrame:
+def _hot_chunk(df: DataFrame, keys: list[str], chunk: Column, threshold: int) -> tuple[DataFrame, bool]:
     """``df`` plus the chunk column, chunked only for keys above ``threshold`` rows."""
     hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tw_n"))
            .where(F.col("_tw_n") > threshold).select(*keys, F.lit(True).alias("_tw_hot")))
@@ -99,14 +101,14 @@ def _hot_chunk(df: DataFrame, keys: list[str], chunk: Column, threshold: int) ->
     # the bounded list passes the driver), then sent to every task.
     found = hot.limit(MAX_HOT_KEYS + 1).collect()
     if len(found) > MAX_HOT_KEYS:
-        return df.withColumn(_CHUNK, chunk)
+        return df.withColumn(_CHUNK, chunk), True
     if not found:  # no hot key: every key is one chunk, no join at all
-        return df.withColumn(_CHUNK, F.lit(0).cast("long"))
+        return df.withColumn(_CHUNK, F.lit(0).cast("long")), False
     hot_keys = df.sparkSession.createDataFrame(found, hot.schema)
     # null keys never match and stay one chunk, as a null key is one group
     marked = df.join(F.broadcast(hot_keys), on=keys, how="left")
     out = marked.withColumn(_CHUNK, F.when(F.col("_tw_hot"), chunk).otherwise(F.lit(0).cast("long")))
-    return out.select(*df.columns, _CHUNK)
+    return out.select(*df.columns, _CHUNK), True
 
 
 def running_aggregate(
@@ -117,16 +119,19 @@ def running_aggregate(
     chunk: Column,
     specs: list[RunningSpec],
     hot_threshold: int | None = None,
+    chunked: bool = True,
 ) -> DataFrame:
     """Add one column per spec with the running aggregate along ``order``.
 
     ``order`` must be a total order within a key (add a unique tie breaker);
     ``chunk`` must be non-decreasing along ``order`` within a key. Rows with
     the same ``(key, chunk)`` are processed by one task, so the chunk width
-    bounds the work per task.
+    bounds the work per task. ``chunked=False`` declares every key to be one
+    chunk (the chunk offsets are then empty and are skipped).
     """
     order_cols = [_col(o) for o in order]
-    base = with_chunks(df, keys, chunk, hot_threshold)
+    base, split = with_chunks(df, keys, chunk, hot_threshold)
+    split = split and chunked
     d = base
 
     # 1. running value inside each (key, chunk)
@@ -141,6 +146,10 @@ def running_aggregate(
             expr = _agg(s.how, value).over(frame)
         locals_.append(expr.alias(f"_tw_loc{i}"))
     d = d.select("*", *locals_)
+    if not split:
+        # every key is a single chunk: the running value inside it is the answer
+        return d.select(*df.columns, *[
+            _combine(s.how, F.lit(None), F.col(f"_tw_loc{i}")).alias(s.out) for i, s in enumerate(specs)])
 
     # 2. chunk totals -> exclusive prefix over the chunks of each key. Totals
     #    are aggregated from the source with partial aggregation (one row per

@@ -86,15 +86,15 @@ def session_windows(
     d = df.withColumn(us, epoch_micros(ts))
     order = [F.col(us), F.col(tie)]
     # hot keys are found once; both passes share the chunk column
-    d = with_chunks(d, keys, row_chunk(us, duration_micros(chunk)), hot_threshold)
+    d, split = with_chunks(d, keys, row_chunk(us, duration_micros(chunk)), hot_threshold)
     chunk_col = F.col(CHUNK_COLUMN)
-    d = running_aggregate(d, keys=keys, order=order, chunk=chunk_col,
+    d = running_aggregate(d, keys=keys, order=order, chunk=chunk_col, chunked=split,
                           specs=[RunningSpec("_tw_prev", "max", us, exclusive=True)])
     d = d.withColumn("_tw_new", F.when(F.col("_tw_prev").isNull() | (F.col(us) - F.col("_tw_prev") > gap_us), 1)
                      .otherwise(0))
     # the second pass reads this frame in two branches: compute it once
     d = materialize(d.select(*keys, us, tie, value, CHUNK_COLUMN, "_tw_new"))
-    d = running_aggregate(d, keys=keys, order=order, chunk=chunk_col,
+    d = running_aggregate(d, keys=keys, order=order, chunk=chunk_col, chunked=split,
                           specs=[RunningSpec("_tw_sid", "sum", "_tw_new")])
     g = d.groupBy(*keys, "_tw_sid").agg(
         F.min(us).alias("_s"), F.max(us).alias("_e"), *_money_aggs(value))
