@@ -35,7 +35,10 @@ def _docs(spark: SparkSession, sf_dir: str, cols=("doc_id", "text")) -> DataFram
 
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _docs(spark, sf_dir, ("text",)).select(F.explode(tokens_of("text")).alias("word"))
+    """One row per token: lines are exploded first, then each line is split
+    (plain code-generated expressions, no per-element lambda)."""
+    lines = _docs(spark, sf_dir, ("text",)).select(F.explode(text_lines_of("text")).alias("line"))
+    return lines.select(F.explode(java_split("line")).alias("word"))
 
 
 def word_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -120,7 +123,8 @@ def kv_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     current state is the last write per word.
     """
     d = _docs(spark, sf_dir).withColumn("epoch", F.floor(F.col("doc_id") / DOCS_PER_BATCH).cast("long"))
-    per_epoch = d.select("epoch", F.explode(tokens_of("text")).alias("word")) \
+    lines = d.select("epoch", F.explode(text_lines_of("text")).alias("line"))
+    per_epoch = lines.select("epoch", F.explode(java_split("line")).alias("word")) \
         .groupBy("word", "epoch").agg(F.count(F.lit(1)).alias("n"))
     running = per_epoch.withColumn(
         "frequency", F.sum("n").over(Window.partitionBy("word").orderBy("epoch")
