@@ -31,6 +31,7 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "tidew
         .config("spark.driver.memory", os.environ.get("TIDEWATER_DRIVER_MEMORY", "4g"))
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
@@ -59,6 +60,8 @@ def cluster_conf(shuffle_partitions: int = 20_000) -> dict[str, str]:
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # reliable checkpoints of materialized intermediates are removed once unreferenced
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
 
 
@@ -79,7 +82,11 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared checkpoint folder."""
+    """A fresh, unique path below the shared checkpoint folder.
+
+    Queries that write intermediates (landed files, sinks, upsert logs) return
+    frames that read from here lazily; the caller removes the folder after use.
+    """
     return f"{checkpoint_root(spark)}/tidewater/{name}-{uuid.uuid4().hex[:12]}"
 
 
