@@ -18,11 +18,6 @@ def exact_money(col: Column | str) -> Column:
     return c.cast(MONEY)
 
 
-def money_sum_double(col: Column | str) -> Column:
-    """Exact sum of a money column, returned as double."""
-    return F.sum(exact_money(col)).cast("double")
-
-
 def round_half_up(col: Column | str, scale: int = 2) -> Column:
     """HALF_UP rounding on the decimal value (``round`` on decimals is HALF_UP)."""
     c = F.col(col) if isinstance(col, str) else col

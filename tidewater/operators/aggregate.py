@@ -17,12 +17,6 @@ def count_by_key(df: DataFrame, key: str, out: str = "frequency") -> DataFrame:
     return df.groupBy(key).agg(F.count(F.lit(1)).alias(out))
 
 
-def sum_by_key(df: DataFrame, key: str | list[str], value: Column | str, out: str) -> DataFrame:
-    keys = [key] if isinstance(key, str) else key
-    v = F.col(value) if isinstance(value, str) else value
-    return df.groupBy(*keys).agg(F.sum(v).alias(out))
-
-
 _FOLDS = {"sum": F.sum, "max": F.max, "min": F.min, "count": F.count}
 
 

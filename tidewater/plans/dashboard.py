@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.functions.money import exact_money
+from tidewater.functions.money import exact_money, round_half_up
 from tidewater.functions.timefn import clock_text
 from tidewater.operators.topk import top_k
 from tidewater.sources.tables import read_table
@@ -61,7 +61,7 @@ def category_ticks(sales: DataFrame, day_start: str = DAY_START, tick: str = TIC
     w = Window.partitionBy("category", "day_start").orderBy("tick").rowsBetween(Window.unboundedPreceding, 0)
     running = F.sum(F.coalesce(F.col("amount"), F.lit(0).cast("decimal(18,2)"))).over(w)
     return filled.select("category", "tick", clock_text("tick").alias("date_time"),
-                         F.round(running, 2).cast("double").alias("total_price"))
+                         round_half_up(running, 2).cast("double").alias("total_price"))
 
 
 def tick_totals(stage1: DataFrame) -> DataFrame:
@@ -69,7 +69,7 @@ def tick_totals(stage1: DataFrame) -> DataFrame:
     totals are summed, then rounded again."""
     return stage1.groupBy("date_time").agg(
         F.count(F.lit(1)).alias("category_count"),
-        F.round(F.sum(exact_money("total_price")), 2).cast("double").alias("total_price"))
+        round_half_up(F.sum(exact_money("total_price")), 2).cast("double").alias("total_price"))
 
 
 def tick_top(stage1: DataFrame, n: int = TOP_N) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions.hashing import char_code_parity
-from tidewater.functions.money import exact_money
+from tidewater.functions.money import exact_money, round_half_up
 from tidewater.functions.timefn import clock_text, epoch_micros, from_epoch_micros, to_event_time
 from tidewater.plans.dashboard import DAY_START, dashboard_lines
 from tidewater.operators.windows import duration_micros
@@ -88,7 +88,7 @@ def late_refires_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     src = stream_folder(spark, landing, ev.schema, FILES_PER_TRIGGER)
     rows = (src.select("user_id", "event_id", "arrival",
                        F.floor(epoch_micros("ts") / 1000).cast("long").alias("ms"),
-                       F.round(F.col("value") * 100).cast("long").alias("cents"),
+                       (exact_money("value") * 100).cast("long").alias("cents"),
                        F.timestamp_micros(epoch_micros("ts")).alias("et"))
             .withWatermark("et", LATE_BOUND)
             # the event-time column stays out of the processor input: the
@@ -221,7 +221,7 @@ def sales_dashboard_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         open_day = batch.where((F.unix_micros("day.start") <= now) & (F.unix_micros("day.end") > now))
         clock = clock_text(from_epoch_micros(now))
         stage1 = open_day.select("category", clock.alias("date_time"),
-                                 F.round(F.col("amount"), 2).cast("double").alias("total_price"))
+                                 round_half_up(F.col("amount"), 2).cast("double").alias("total_price"))
         lines = dashboard_lines(stage1)
         (lines.withColumn("epoch", F.lit(int(epoch_id)).cast("long"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch")
