@@ -21,12 +21,8 @@ def test_query_matches_oracle(spark, con, name):
     assert res["status"] in ("match", "rows-only"), res
 
 
-# Queries checked on rows only: the stream dashboard's ticks are micro-batches.
-ROWS_ONLY = {"sales_dashboard_stream"}
-
-
 def test_every_query_has_an_oracle():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
+    assert set(queries()) == set(oracle_sql())
 
 
 def test_entry_runs(spark):

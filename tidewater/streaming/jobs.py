@@ -229,7 +229,7 @@ def sales_dashboard_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     run_available_now(totals.writeStream.outputMode("complete").foreachBatch(tick),
                       scratch_path(spark, "dashboard_stream_ckpt"))
-    return spark.read.parquet(out_path).select("epoch", "date_time", "line")
+    return spark.read.parquet(out_path).select(F.col("epoch").cast("long").alias("epoch"), "date_time", "line")
 
 
 _DEC = "CAST(value AS DECIMAL(18,2))"
@@ -287,6 +287,31 @@ ORACLE["order_timeout_drain_stream"] = f"""
         FROM o)
   SELECT d.* FROM d, wm WHERE handled_ms <= wm.w"""
 
+from tidewater.plans.dashboard import (ITEM_CLOSE, ITEM_OPEN, ITEM_TOTAL, LINE_TIME,  # noqa: E402
+                                       LINE_TOTAL)
+
+# Each arrival slice is one landed file and so one micro-batch (epoch).
+ORACLE["sales_dashboard_stream"] = f"""
+  WITH a AS (SELECT event_id, event_type AS category, ts, value FROM events),
+  b AS (SELECT min(event_id) AS lo, max(event_id) AS hi FROM a),
+  p AS (SELECT a.*, (event_id - lo) // ((hi - lo) // {PIECES} + 1) AS piece FROM a, b),
+  ep AS (SELECT DISTINCT piece AS epoch FROM p),
+  clk AS (SELECT ep.epoch, max(p.ts) AS mx FROM ep JOIN p ON p.piece <= ep.epoch GROUP BY ep.epoch),
+  dy AS (SELECT epoch, mx, time_bucket(INTERVAL '1 day', mx, TIMESTAMP '1970-01-01 16:00:00') AS ds FROM clk),
+  s1 AS (SELECT d.epoch, strftime(d.mx, '%Y-%m-%d %H:%M:%S') AS date_time, p.category,
+                CAST(round(sum(CAST(p.value AS DECIMAL(18,2))), 2) AS DOUBLE) AS total_price
+         FROM dy d JOIN p ON p.piece <= d.epoch AND p.ts >= d.ds AND p.ts < d.ds + INTERVAL '1 day'
+         GROUP BY d.epoch, d.mx, p.category),
+  t AS (SELECT epoch, date_time, CAST(round(sum(CAST(total_price AS DECIMAL(18,2))), 2) AS DOUBLE) AS total_price
+        FROM s1 GROUP BY epoch, date_time),
+  k AS (SELECT *, row_number() OVER (PARTITION BY epoch ORDER BY total_price DESC, category) AS rank FROM s1),
+  items AS (SELECT epoch, string_agg('{ITEM_OPEN}' || category || '{ITEM_TOTAL}' || CAST(total_price AS VARCHAR)
+                                     || '{ITEM_CLOSE}', ',' || chr(10) ORDER BY rank) AS txt
+            FROM k WHERE rank <= 3 GROUP BY epoch)
+  SELECT t.epoch, t.date_time, '{LINE_TIME}' || t.date_time || '{LINE_TOTAL}' || CAST(t.total_price AS VARCHAR)
+         || ' top3:' || chr(10) || items.txt AS line
+  FROM t JOIN items ON t.epoch = items.epoch"""
+
 ORACLE["count_tumbling_stream"] = f"""WITH r AS (
           SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS rn FROM events)
         SELECT user_id, CAST((rn - 1) // {COUNT_SIZE} + 1 AS BIGINT) AS window_index, count(*) AS event_count,
