@@ -205,7 +205,9 @@ def sales_dashboard_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     (complete mode: its state is categories x days rows); stage 2 runs per
     micro-batch in ``foreachBatch`` on the open day (the day of the newest sale):
     rounded category totals, their rounded sum and the top 3, stamped with the
-    newest sale time. Each batch writes its own ``epoch`` partition (idempotent)."""
+    newest sale time. Each batch writes its own ``epoch`` partition (idempotent).
+    (The oracle rebuilds each epoch from its arrival slice; that holds while a
+    landed slice is one file, as for the single-row-group test tables.)"""
     src = _landed_events(spark, sf_dir, ["event_id", "event_type", "ts", "value"], "dashboard_stream")
     totals = (src.select(F.col("event_type").alias("category"), to_event_time("ts").alias("et"),
                          F.col("value").alias("price"))
