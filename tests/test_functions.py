@@ -59,3 +59,11 @@ def test_epoch_roundtrip_is_zone_free(spark):
         assert str(r.back) == "2024-01-01 00:00:07.500000"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_integral_parity_fast_path_equals_general(spark):
+    ids = [0, 1, 7, 10, 99, 12345, -3, -40, 9876543210, -9223372036854775808]
+    df = spark.createDataFrame([(i,) for i in ids], "id long")
+    fast = [r[0] for r in df.select(char_code_parity("id", integral=True)).collect()]
+    slow = [r[0] for r in df.select(char_code_parity(F.col("id").cast("string"))).collect()]
+    assert fast == slow

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewater.functions.hashing import char_code_parity
 from tidewater.functions.timefn import epoch_micros, from_epoch_micros
@@ -105,7 +106,8 @@ def order_timeout_drain(
     ev = o.select(key, F.col("order_ms").alias("_tw_ev_ms"))
     nxt = next_event_after(q, ev, key, "_tw_q", "_tw_ev_ms", duration_micros(chunk) // 1000, out="_tw_first",
                            hot_threshold=hot_threshold)
-    status = F.when(char_code_parity(F.col(order_id).cast("string")) == 0, F.lit(REVIEWED)) \
+    integral = isinstance(orders.schema[order_id].dataType, T.IntegralType)
+    status = F.when(char_code_parity(F.col(order_id), integral=integral) == 0, F.lit(REVIEWED)) \
         .otherwise(F.lit(AUTO_GOOD_REVIEW))
     return nxt.select(order_id, key, "order_ms",
                       (F.col("_tw_first") + F.lit(i_ms)).alias("handled_ms"), status.alias("status"))

@@ -175,7 +175,7 @@ def order_timeout_drain_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         "order_id long, user_id long, order_ms long, handled_ms long, status string",
         "Append", "EventTime")
     done = _sink(spark, out, "drain_stream")
-    status = F.when(char_code_parity(F.col("order_id").cast("string")) == 0, F.lit("reviewed")) \
+    status = F.when(char_code_parity(F.col("order_id"), integral=True) == 0, F.lit("reviewed")) \
         .otherwise(F.lit("auto_good_review"))
     return done.select("order_id", "user_id", "order_ms", "handled_ms", status.alias("status"))
 
