@@ -19,7 +19,7 @@ from tidewater.operators.timers import order_timeout as _order_timeout
 from tidewater.operators.timers import order_timeout_drain as _drain
 from tidewater.operators.windows import count_windows, day_windows, session_windows, sliding, tumbling
 from tidewater.session import scratch_path
-from tidewater.sources.tables import read_table, stream_table
+from tidewater.sources.tables import read_table
 
 # Fixed parameters of the reference programs, scaled from seconds to hours.
 TUMBLE = "5 hours"          # tumbling window (5 s)
@@ -78,8 +78,15 @@ def session_sum(spark, sf_dir):
 
 def event_time_tumbling(spark, sf_dir):
     """Structured Streaming: bounded-out-of-order watermark + tumbling window,
-    append mode (a window is emitted once, when the watermark passes its end)."""
-    stream = stream_table(spark, sf_dir, "events", max_files_per_trigger=1)
+    append mode (a window is emitted once, when the watermark passes its end;
+    the input arrives in two micro-batches, the last windows close in the
+    final watermark batch)."""
+    from tidewater.streaming.feed import land_in_order, stream_folder
+
+    ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "ts", "value"])
+    landing = scratch_path(spark, "event_time_landing")
+    land_in_order(ev, "event_id", 2, landing)     # two arrival slices = two micro-batches
+    stream = stream_folder(spark, landing, ev.schema, 1)
     agg = (stream.select("user_id", to_event_time("ts").alias("et"), "value")
            .withWatermark("et", OUT_OF_ORDER)
            .groupBy("user_id", F.window("et", TUMBLE).alias("w"))
