@@ -37,15 +37,13 @@ def retract_changelog(
         v = F.col(value) if isinstance(value, str) else value
         old = F.col("_tw_new") - v
         has_old = F.col("_tw_new") != v  # not the first row of the key
-    changes = F.filter(
-        F.array(
-            F.struct(F.lit(0).alias("change_seq"), F.lit(False).alias("op"), old.alias("v"), has_old.alias("keep")),
-            F.struct(F.lit(1).alias("change_seq"), F.lit(True).alias("op"), F.col("_tw_new").alias("v"),
-                     F.lit(True).alias("keep")),
-        ),
-        lambda s: s["keep"],
+    changes = F.array(
+        F.struct(F.lit(0).alias("change_seq"), F.lit(False).alias("op"), old.alias("v"), has_old.alias("keep")),
+        F.struct(F.lit(1).alias("change_seq"), F.lit(True).alias("op"), F.col("_tw_new").alias("v"),
+                 F.lit(True).alias("keep")),
     )
-    e = d.select(key, order, F.inline(changes))
+    # explode + where (code-generated) rather than a per-row lambda filter
+    e = d.select(key, order, F.inline(changes)).where(F.col("keep"))
     return e.select(order, F.col("change_seq").cast("int").alias("change_seq"), "op", key,
                     F.col("v").cast("long").alias(out))
 
