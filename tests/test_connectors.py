@@ -11,6 +11,7 @@ from tidewater.sinks.kafka import to_kafka_records
 from tidewater.sinks.text import write_text
 from tidewater.sources.jdbc import tag_poll
 from tidewater.sources.kafka import decode_json_values
+from tidewater.sources.tables import stream_table
 from tidewater.sources.text import read_text_lines
 
 
@@ -57,3 +58,14 @@ def test_poll_tags_every_row(spark):
     polls = tag_poll(snap, 0).unionByName(tag_poll(snap, 1))
     assert polls.groupBy("poll_id").count().orderBy("poll_id").collect()[1]["count"] == 3
     assert polls.count() == 6
+
+
+def test_one_table_as_a_file_stream(spark, tmp_path):
+    from conftest import SF_SMALL
+    stream = stream_table(spark, SF_SMALL, "events")
+    q = (stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "ckpt"))
+         .trigger(availableNow=True).start(str(tmp_path / "out")))
+    q.awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.count() == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+    assert set(out.columns) == {"event_id", "ts", "user_id", "event_type", "value", "props"}
