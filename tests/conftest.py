@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -16,10 +15,5 @@ def spark():
     from tidewater.session import local_session
 
     s = local_session(cores=4, shuffle_partitions=4, app="tidewater-tests")
-    # tests own their checkpoint folder only when the session has none
-    if not s.conf.get("spark.checkpoint.dir", None) and not s.sparkContext.getCheckpointDir():
-        d = tempfile.mkdtemp(prefix="tidewater-test-ckpt-")
-        s.sparkContext.setCheckpointDir(d)
-        s.conf.set("spark.checkpoint.dir", d)
     yield s
     s.stop()

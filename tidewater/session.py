@@ -1,13 +1,14 @@
 """Session construction and the shared scratch folder.
 
 On a cluster the scratch folder is the one named by ``spark.checkpoint.dir``
-(a shared file system). Only when that setting is missing, as in local tests,
-do we create a folder ourselves and register it as the checkpoint dir.
+(a shared file system). Only when that setting is missing on a ``local``
+master, as in tests, do we make a folder ourselves.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -68,19 +69,27 @@ def cluster_conf(shuffle_partitions: int = 20_000) -> dict[str, str]:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    Read from ``spark.checkpoint.dir``; when unset (local tests) create one
-    and register it, so ``DataFrame.checkpoint()`` and our own writes agree.
+    Read from ``spark.checkpoint.dir`` of the session (a core setting, never
+    set here). When it is unset, a single-process ``local`` session gets a
+    folder of its own; any other master must name a shared folder, because a
+    machine-local one cannot be read by the other executors.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tidewater-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove one folder made by :func:`scratch_path`, on whatever file system it is."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder.
 
