@@ -43,12 +43,13 @@ class Ids(dict):
         return i
 
 
-def encode(texts, lower: bool = False) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+def encode(texts, lower: bool = False, ids: Ids | None = None) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """(ids of all words one after the other, words per text, the words by id).
 
-    Words are split at ASCII white space, as :data:`WORD` does; ``lower`` folds A-Z.
+    Words are split at ASCII white space, as :data:`WORD` does; ``lower`` folds A-Z;
+    ``ids`` continues an earlier numbering.
     """
-    ids, parts, lens = Ids(), [], []
+    ids, parts, lens = Ids() if ids is None else ids, [], []
     get = ids.__getitem__
     for t in texts:
         raw = (t or "").encode("utf-8", "surrogatepass")
