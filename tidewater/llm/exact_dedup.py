@@ -30,7 +30,9 @@ LEN, PRE, SHA, RID = "_xd_len", "_xd_prefix", "_xd_sha", "_xd_row"
 def _suspects(docs: DataFrame, text: str, prefix_chars: int) -> DataFrame:
     """(length, prefix hash) of which there are two or more, as a written table."""
     length = F.octet_length(whole(text))
-    again = docs.select(length.alias(LEN)).groupBy(LEN).count().where("count > 1").select(LEN)
+    again = saved(docs.select(length.alias(LEN)).groupBy(LEN).count().where("count > 1").select(LEN), "lengths")
+    if again.count() <= BROADCAST_KEYS:      # one row per length in use: few, however many documents
+        again = F.broadcast(again)
     some = docs.select(length.alias(LEN), F.xxhash64(F.left(whole(text), F.lit(prefix_chars))).alias(PRE))
     some = some.join(again, LEN, "left_semi")
     return saved(some.groupBy(LEN, PRE).count().where("count > 1").select(LEN, PRE), "suspects")
