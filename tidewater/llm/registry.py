@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from tidewater.llm import chat, exact_dedup, mixing
+from tidewater.llm import chat, exact_dedup, language, mixing, packing, pii, quality_model, quality_rules
 
 QUERIES = {
+    "op2_language_id": language.op2_language_id,
     "op3_chat_format": chat.op3_chat_format,
+    "op4_pii": pii.op4_pii,
+    "op6_quality_model": quality_model.op6_quality_model,
     "op7_mix_sources": mixing.op7_mix_sources,
+    "op8_pack": packing.op8_pack,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+    "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
 ORACLE = {
