@@ -87,3 +87,12 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     import xxhash
 
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def released(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of steps whose results are written: its cleaner acts when the
+    driver's JVM collects garbage, which a quiet driver puts off for long."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
