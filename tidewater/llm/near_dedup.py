@@ -14,8 +14,9 @@ about ln(components) + 6 mean waiting times; texts with an open component are fo
 
 *Candidates.* ``BANDS`` bands of ``ROWS`` components; at similarity 0.8 a pair shares a band with
 probability above 0.9999. Texts with the same words are one node before banding. In each band bucket
-all nodes are held against one hub (a star, linear in the bucket), verified links are contracted to
-components, and this repeats with other hubs for what is still outside. Then only pairs of one bucket
+all nodes are held against one hub, the node with the most bucket mates over all its bands, which in a
+group of edited copies is the text they come from (a star, linear in the bucket); verified links are
+contracted to components, and this repeats with the most central node of what is still outside. Then only pairs of one bucket
 that lie in different components are left; they are verified too, so no candidate goes untested. That
 last step is quadratic only in nodes of one bucket that are *not* near copies of its hubs.
 
@@ -207,6 +208,9 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, least: float = LEAST, bands
     keys = nodes.select("node", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").count().where("count > 1").select("key")
     members = saved(keys.join(shared, "key"), "members")
+    sizes = members.groupBy("key").count()
+    central = members.join(sizes, "key").groupBy("node").agg(F.sum("count").alias("central"))
+    members = saved(members.join(central, "node").select("key", "node", "central"), "central")
 
     wanted = nodes.join(members.select("node").distinct(), "node", "left_semi")
     wanted = saved(wanted.select("node", "shingles", F.col("w.doc_id").alias("_w_id"), F.col("w._nd_hash").alias("_nd_hash")), "wanted")
@@ -217,18 +221,17 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, least: float = LEAST, bands
     links = None
     root = members.select(F.col("node"), F.col("node").alias("root")).where("false")
     for turn in range(STARS + 1):
-        at = members.join(root, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+        at = members.join(root, "node", "left").select("key", "central", "node", F.coalesce("root", "node").alias("root"))
         at = saved(at, "labelled")
-        hub = at.groupBy("key").agg(F.min(F.struct("node", "root")).alias("hub"))
+        hub = at.groupBy("key").agg(F.max(F.struct("central", "node", "root")).alias("hub"))
         if turn == 0:
             pairs = at.join(hub, "key").where(F.col("node") != F.col("hub.node")).select(F.col("hub.node").alias("a"), F.col("node").alias("b"))
         else:
             outside = saved(at.join(hub, "key").where(F.col("root") != F.col("hub.root")), "outside")
             if outside.isEmpty():
                 break
-            if turn < STARS:    # another hub among those outside, and the links between it and the rest of the bucket
-                other = (outside.groupBy("key")
-                         .agg(F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "root")).alias("o")))
+            if turn < STARS:    # the most central node outside, against the rest of the bucket
+                other = outside.groupBy("key").agg(F.max(F.struct("central", "node", "root")).alias("o"))
                 pairs = (at.join(other, "key").where(F.col("root") != F.col("o.root"))
                          .select(F.col("o.node").alias("a"), F.col("node").alias("b")))
             else:               # what is left: pairs of one bucket in different components
