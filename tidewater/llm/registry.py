@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tidewater.llm import chat, exact_dedup, language, mixing, packing, pii, quality_model, quality_rules
+from tidewater.llm import chat, exact_dedup, language, mixing, near_dedup, packing, pii, quality_model, quality_rules, word_model
 
 QUERIES = {
+    "op1_near_dedup": near_dedup.op1_near_dedup,
     "op2_language_id": language.op2_language_id,
     "op3_chat_format": chat.op3_chat_format,
     "op4_pii": pii.op4_pii,
+    "op5_word_model": word_model.op5_word_model,
     "op6_quality_model": quality_model.op6_quality_model,
     "op7_mix_sources": mixing.op7_mix_sources,
     "op8_pack": packing.op8_pack,
