@@ -34,7 +34,7 @@ THRESHOLD, NEAR = 0.5, 48
 #: character classes and patterns of the contract (fixed values)
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+){3,}")
+DOTTED = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3,}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
