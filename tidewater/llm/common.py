@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.session import scratch_path
+from tidewater.session import drop_scratch, scratch_path
 
 #: Fixed values of the contracts: a word is a run of characters outside space, tab..carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -26,15 +26,33 @@ def crc_mod(key: str, m: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % m
 
 
+#: shuffle files of a write are of no use once its result is on the shared disk
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write a frame below the shared checkpoint folder and read it back: cuts the
-    lineage, is computed once, and survives the loss of any executor."""
+    lineage, is computed once, and survives the loss of any executor. Spark removes the
+    shuffle files of the write when it is done."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN, "false")
+    spark.conf.set(CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the folder of a frame that :func:`saved` gave and that nothing reads any more."""
+    folders = {f.rpartition("/")[0] for f in df.inputFiles()}
+    for folder in folders:
+        if "/tidewater/llm-" in folder:
+            drop_scratch(df.sparkSession, folder)
+
+
 class Ids(dict):
     """Words (bytes) to dense local ids, in order of first use."""
 
@@ -88,11 +106,3 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
 
     return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
-
-def released(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of steps whose results are written: its cleaner acts when the
-    driver's JVM collects garbage, which a quiet driver puts off for long."""
-    import gc
-
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
