@@ -69,3 +69,12 @@ def test_one_table_as_a_file_stream(spark, tmp_path):
     out = spark.read.parquet(str(tmp_path / "out"))
     assert out.count() == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
     assert set(out.columns) == {"event_id", "ts", "user_id", "event_type", "value", "props"}
+
+
+def test_lines_end_with_newline_only(spark, tmp_path):
+    (tmp_path / "a.txt").write_bytes(b"a\rb\r\nc\n\r\n")
+    from tidewater.functions.text import text_lines_of
+    from tidewater.sources.text import read_text_lines
+    assert [r.value for r in read_text_lines(spark, str(tmp_path)).collect()] == ["a\rb", "c", ""]
+    df = spark.createDataFrame([("a\rb\r\nc\n\r",)], "t string")
+    assert df.select(text_lines_of("t").alias("l")).first().l == ["a\rb", "c", ""]

@@ -2,12 +2,12 @@
 
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
 from tidewater.plans.check import compare, duck_connection
+from tidewater.plans.registry import ORACLE, QUERIES
 
 from conftest import SF_SMALL
 
-NAMES = sorted(queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -17,12 +17,12 @@ def con():
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    res = compare(spark, SF_SMALL, name, queries()[name], oracle_sql().get(name), con)
+    res = compare(spark, SF_SMALL, name, QUERIES[name], ORACLE.get(name), con)
     assert res["status"] in ("match", "rows-only"), res
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry_runs(spark):
@@ -40,7 +40,7 @@ def test_results_do_not_depend_on_session_zone(spark, con, name):
     old = spark.conf.get("spark.sql.session.timeZone")
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
-        res = compare(spark, SF_SMALL, name, queries()[name], oracle_sql().get(name), con)
+        res = compare(spark, SF_SMALL, name, QUERIES[name], ORACLE.get(name), con)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert res["status"] == "match", res

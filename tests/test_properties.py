@@ -10,10 +10,42 @@ from pyspark.sql import functions as F
 from tidewater.operators.lateness import classify_lateness, window_firings
 from tidewater.operators.running import RunningSpec, row_chunk, running_aggregate
 from tidewater.operators.timers import order_timeout_drain
-from tidewater.operators.windows import count_windows, session_windows
+from tidewater.operators.changelog import retract_changelog
+from tidewater.operators.windows import count_windows, session_windows, tumbling
 
 SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
+null_rows = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 2)), st.one_of(st.none(), st.integers(-50, 50))),
+                     min_size=1, max_size=60)
+
+
+@SETTINGS
+@given(rows=null_rows, width=st.integers(1, 7), hot=st.sampled_from([None, 0, 5]))
+def test_null_keys_and_null_values_equal_the_plain_window(spark, rows, width, hot):
+    df = spark.createDataFrame([(i, k, v) for i, (k, v) in enumerate(rows)], "seq long, k long, v long")
+    got = running_aggregate(df, keys=["k"], order=["seq"], chunk=row_chunk("seq", width), hot_threshold=hot, specs=[
+        RunningSpec("s", "sum", "v"), RunningSpec("c", "count"), RunningSpec("mx", "max", "v"),
+        RunningSpec("ps", "sum", "v", exclusive=True)])
+    w = Window.partitionBy("k").orderBy("seq")
+    ref = df.select("seq", F.sum("v").over(w).alias("s"), F.row_number().over(w).alias("c"), F.max("v").over(w).alias("mx"),
+                    F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("ps"))
+    assert sorted(map(str, got.select("seq", "s", "c", "mx", "ps").collect())) == sorted(map(str, ref.collect()))
+
+
+def test_sums_keep_places_beyond_cents(spark):
+    df = spark.range(1000).select("id", F.lit(1).alias("k"), F.lit(0.004).alias("v"),
+                                  F.timestamp_seconds(F.col("id")).alias("ts"))
+    assert tumbling(df, ["k"], "ts", "1 hour", "v").first().sum_value == 4.0
+    assert session_windows(df, ["k"], "ts", "1 hour", "v", tie="id").first().sum_value == 4.0
+    assert count_windows(df, ["k"], "id", 1000, 1000, "v").first().sum_value == 4.0
+
+
+def test_changelog_of_a_sum_keeps_retractions_of_cancelling_values(spark):
+    df = spark.createDataFrame([(1, 7, 1), (2, 7, -1), (3, 7, 5), (4, 8, 0)], "seq long, k long, v long")
+    got = [(r.seq, r.op, r.total) for r in retract_changelog(df, "k", "seq", "v", out="total").orderBy("seq", "change_seq").collect()]
+    assert got == [(1, True, 1), (2, False, 1), (2, True, 0), (3, False, 0), (3, True, 5), (4, True, 0)]
+
+
 rows_st = st.lists(st.tuples(st.integers(0, 3), st.integers(-50, 50)), min_size=1, max_size=60)
 
 

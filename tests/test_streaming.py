@@ -1,9 +1,11 @@
 """Streaming guarantees: restart without loss or duplicates, idempotent epochs,
 the live dashboard's last tick equal to a direct computation."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from tidewater.plans.check import duck_connection
+from tidewater.plans.check import compare, duck_connection
+from tidewater.plans.registry import ORACLE, QUERIES
 from tidewater.plans.relational import resumable_ingest
 from tidewater.session import scratch_path
 from tidewater.sinks.upsert import UpsertLog
@@ -66,3 +68,39 @@ def test_state_processors_run_without_the_package_on_worker_path(tmp_path):
     out = subprocess.run([sys.executable, str(script)], cwd=str(tmp_path), capture_output=True, text=True,
                          timeout=600)
     assert "ROWS 1000" in out.stdout, out.stderr[-2000:]
+
+
+STREAMS = ["event_time_tumbling", "tumble_sql_stream", "order_timeout_stream", "order_timeout_drain_stream", "running_max_stream",
+           "count_tumbling_stream", "count_sliding_stream", "retract_changelog_stream", "sales_dashboard_stream",
+           "late_refires_stream", "sliding_sum_stream", "session_sum_stream"]
+
+
+@pytest.fixture(scope="module")
+def many_files(spark, tmp_path_factory):
+    """The same events in eight files, in no particular order among them."""
+    folder = tmp_path_factory.mktemp("many")
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(8, "event_id").write.parquet(f"{folder}/events.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("name", STREAMS)
+def test_streams_do_not_depend_on_the_number_of_files(spark, many_files, name):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        assert spark.read.parquet(f"{many_files}/events.parquet").rdd.getNumPartitions() >= 8
+        res = compare(spark, many_files, name, QUERIES[name], ORACLE[name], duck_connection(SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert res["status"] == "match", res
+
+
+def test_review_that_reaches_the_stream_before_its_order(spark, tmp_path):
+    """The review's row arrives in an earlier slice than the order it answers."""
+    rows = [(1, 7, 100.0, "click"), (2, 8, 0.0, "view"), (3, 7, 90.0, "purchase"), (4, 8, 95.0, "purchase")]
+    ev = spark.createDataFrame(rows, "event_id long, user_id long, s double, event_type string")
+    ev = ev.select("event_id", "user_id", F.expr("timestamp_ntz '2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, s)").alias("ts"), "event_type")
+    ev.write.parquet(f"{tmp_path}/events.parquet")
+    got = {r.order_id: r.status for r in QUERIES["order_timeout_stream"](spark, str(tmp_path)).collect()}
+    assert got == {3: "reviewed", 4: "auto_good_review"}

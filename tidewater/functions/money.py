@@ -1,8 +1,9 @@
 """Money arithmetic.
 
 Sums of doubles depend on the order of addition, which a distributed
-aggregate does not fix. Prices are therefore summed as ``decimal(18,2)``
-(exact, order free) and turned back into ``double`` at the end.
+aggregate does not fix. Values are therefore summed as decimals with
+``SCALE`` places (exact for values of that many places, order free) and turned
+back into ``double`` at the end; nothing is rounded to cents before a sum.
 """
 
 from __future__ import annotations
@@ -10,12 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+SCALE = 9
 
 
-def exact_money(col: Column | str) -> Column:
+def exact_money(col: Column | str, scale: int = SCALE) -> Column:
     c = F.col(col) if isinstance(col, str) else col
-    return c.cast(MONEY)
+    return c.cast(f"decimal({18 + scale},{scale})")
 
 
 def round_half_up(col: Column | str, scale: int = 2) -> Column:

@@ -27,10 +27,15 @@ def java_split(col: Column | str, sep: str = " ") -> Column:
     )
 
 
+def without_cr(c: Column) -> Column:
+    """The text without one final carriage return."""
+    return F.when(c.endswith("\r"), F.left(c, F.char_length(c) - 1)).otherwise(c)
+
+
 def text_lines_of(col: Column | str) -> Column:
-    """Lines of a text value, as a line reader would return them (``\\n`` separated)."""
+    """Lines of a text value, as a line reader would return them (``\\n`` or ``\\r\\n`` ends a line)."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.split(c, "\n")
+    return F.split(without_cr(F.replace(c, F.lit("\r\n"), F.lit("\n"))), "\n")
 
 
 def tokens_of(col: Column | str, sep: str = " ") -> Column:

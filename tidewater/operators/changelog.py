@@ -26,17 +26,16 @@ def retract_changelog(
     """``(order, change_seq, op, key, out)`` rows; ``change_seq`` orders the retraction
     (0) before the insertion (1) produced by the same input row. Without
     ``value`` the aggregate is a count (``sum`` of ones)."""
-    spec = RunningSpec("_tw_new", "count") if value is None else RunningSpec("_tw_new", "sum", value)
+    specs = [RunningSpec("_tw_n", "count")]
+    if value is not None:
+        specs += [RunningSpec("_tw_new", "sum", value), RunningSpec("_tw_old", "sum", value, exclusive=True)]
     d = running_aggregate(df.select(key, order, *([value] if isinstance(value, str) else [])),
-                          keys=[key], order=[order], chunk=row_chunk(order, chunk_width), specs=[spec],
+                          keys=[key], order=[order], chunk=row_chunk(order, chunk_width), specs=specs,
                           hot_threshold=hot_threshold)
+    has_old = F.col("_tw_n") > 1  # by rows, not by value: sums may return to an earlier value
     if value is None:
-        old = F.col("_tw_new") - F.lit(1)
-        has_old = F.col("_tw_new") > 1
-    else:
-        v = F.col(value) if isinstance(value, str) else value
-        old = F.col("_tw_new") - v
-        has_old = F.col("_tw_new") != v  # not the first row of the key
+        d = d.withColumn("_tw_new", F.col("_tw_n")).withColumn("_tw_old", F.col("_tw_n") - 1)
+    old = F.col("_tw_old")
     changes = F.array(
         F.struct(F.lit(0).alias("change_seq"), F.lit(False).alias("op"), old.alias("v"), has_old.alias("keep")),
         F.struct(F.lit(1).alias("change_seq"), F.lit(True).alias("op"), F.col("_tw_new").alias("v"),
@@ -45,7 +44,7 @@ def retract_changelog(
     # explode + where (code-generated) rather than a per-row lambda filter
     e = d.select(key, order, F.inline(changes)).where(F.col("keep"))
     return e.select(order, F.col("change_seq").cast("int").alias("change_seq"), "op", key,
-                    F.col("v").cast("long").alias(out))
+                    (F.col("v").cast("long") if value is None else F.col("v")).alias(out))
 
 
 def filter_changelog(changelog: DataFrame, column: str, equals) -> DataFrame:

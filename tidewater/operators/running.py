@@ -18,9 +18,9 @@ broadcast join at run time when the measured chunk table is small.
 Skew-adaptive chunking (``hot_threshold``): only keys with more rows than the
 threshold are cut into chunks; every other key is one chunk, so the chunk
 table stays far smaller than the data when most keys are small. Hot keys are
-found with one partial + final count per key; there are at most
-``rows / hot_threshold`` of them, and the set is broadcast only when it has at
-most ``MAX_HOT_KEYS`` keys (otherwise every key is chunked, still correct).
+found with one partial + final count per key and stay a frame (at most
+``rows / hot_threshold`` keys, written once); a null key is a key like any
+other, so a hot null key is cut too. All joins back are null-safe.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.session import materialize
+
 _CHUNK = "_tw_chunk"
 
 
@@ -66,17 +68,29 @@ def _agg(how: str, value: Column) -> Column:
 
 
 def _combine(how: str, offset: Column, local: Column) -> Column:
-    if how in ("sum", "count"):
+    if how == "count":
         return F.coalesce(offset, F.lit(0)) + F.coalesce(local, F.lit(0))
+    if how == "sum":  # null only while every value so far is null, as in a plain window
+        return F.coalesce(offset + local, offset, local)
     if how == "max":
         return F.greatest(offset, local)  # greatest/least skip nulls
     return F.least(offset, local)
 
 
+def _null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on ``keys`` where null equals null; the right side's keys are dropped."""
+    renamed = right.select(*[F.col(c).alias(f"_tw_r_{c}") if c in keys else F.col(c) for c in right.columns])
+    on = [F.col(k).eqNullSafe(F.col(f"_tw_r_{k}")) for k in keys]
+    condition = on[0]
+    for c in on[1:]:
+        condition = condition & c
+    return left.join(renamed, condition, how).drop(*[f"_tw_r_{k}" for k in keys])
+
+
 # Keys with more rows than this are split into chunks (see module doc).
 DEFAULT_HOT_THRESHOLD = 1 << 20
-# Most hot keys whose names we copy to every task (bounded by rows / threshold).
-MAX_HOT_KEYS = 1_000_000
+# The set of hot keys is broadcast up to this many keys; beyond it the join shuffles.
+BROADCAST_KEYS = 100_000
 
 
 CHUNK_COLUMN = _CHUNK
@@ -95,18 +109,12 @@ def with_chunks(df: DataFrame, keys: list[str], chunk: Column, threshold: int |
 
 def _hot_chunk(df: DataFrame, keys: list[str], chunk: Column, threshold: int) -> tuple[DataFrame, bool]:
     """``df`` plus the chunk column, chunked only for keys above ``threshold`` rows."""
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tw_n"))
-           .where(F.col("_tw_n") > threshold).select(*keys, F.lit(True).alias("_tw_hot")))
-    # At most rows / threshold keys; fetched once with a cap (like a broadcast,
-    # the bounded list passes the driver), then sent to every task.
-    found = hot.limit(MAX_HOT_KEYS + 1).collect()
-    if len(found) > MAX_HOT_KEYS:
-        return df.withColumn(_CHUNK, chunk), True
-    if not found:  # no hot key: every key is one chunk, no join at all
+    hot = materialize(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_tw_n"))
+                      .where(F.col("_tw_n") > threshold).select(*keys, F.lit(True).alias("_tw_hot")))
+    n = hot.count()
+    if n == 0:  # no hot key: every key is one chunk, no join at all
         return df.withColumn(_CHUNK, F.lit(0).cast("long")), False
-    hot_keys = df.sparkSession.createDataFrame(found, hot.schema)
-    # null keys never match and stay one chunk, as a null key is one group
-    marked = df.join(F.broadcast(hot_keys), on=keys, how="left")
+    marked = _null_safe(df, F.broadcast(hot) if n <= BROADCAST_KEYS else hot, keys, "left")
     out = marked.withColumn(_CHUNK, F.when(F.col("_tw_hot"), chunk).otherwise(F.lit(0).cast("long")))
     return out.select(*df.columns, _CHUNK), True
 
@@ -169,7 +177,7 @@ def running_aggregate(
         ],
     )
 
-    joined = d.join(offsets, on=[*keys, _CHUNK], how="left")
+    joined = _null_safe(d, offsets, [*keys, _CHUNK], "left")
     out_cols = [
         _combine(s.how, F.col(f"_tw_off{i}"), F.col(f"_tw_loc{i}")).alias(s.out)
         for i, s in enumerate(specs)

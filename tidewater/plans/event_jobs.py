@@ -20,7 +20,7 @@ from tidewater.operators.timers import order_timeout_drain as _drain
 from tidewater.operators.windows import count_windows, day_windows, session_windows, sliding, tumbling
 from tidewater.session import scratch_path
 from tidewater.sources.tables import read_table
-from tidewater.streaming.feed import land_in_order, stream_folder
+from tidewater.streaming.feed import SliceFeed
 
 # Fixed parameters of the reference programs, scaled from seconds to hours.
 TUMBLE = "5 hours"          # tumbling window (5 s)
@@ -59,6 +59,14 @@ def retract_changelog_q(spark, sf_dir):
     return retract_changelog(ev, "user_id", "event_id")
 
 
+def retract_sum_changelog(spark, sf_dir):
+    """The changelog of a running sum: the first row of a key is known by its row count, so sums that
+    return to an earlier value keep their retractions."""
+    ev = _events(spark, sf_dir, ["event_id", "user_id", "value"]).withColumn("amount", exact_money("value"))
+    out = retract_changelog(ev, "user_id", "event_id", "amount", out="total")
+    return out.withColumn("total", F.col("total").cast("double"))
+
+
 def retract_having(spark, sf_dir):
     return filter_changelog(retract_changelog_q(spark, sf_dir), "frequency", 2)
 
@@ -80,13 +88,10 @@ def session_sum(spark, sf_dir):
 def event_time_tumbling(spark, sf_dir):
     """Structured Streaming: bounded-out-of-order watermark + tumbling window,
     append mode (a window is emitted once, when the watermark passes its end;
-    the input arrives in two micro-batches, the last windows close in the
-    final watermark batch)."""
+    the input arrives in two slices, the closing row ends the last windows)."""
     ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "ts", "value"])
-    landing = scratch_path(spark, "event_time_landing")
-    land_in_order(ev, "event_id", 2, landing)     # two arrival slices = two micro-batches
-    stream = stream_folder(spark, landing, ev.schema, 1)
-    agg = (stream.select("user_id", to_event_time("ts").alias("et"), "value")
+    feed = SliceFeed(ev, "event_id", 2, scratch_path(spark, "event_time_landing"), ("ts", "30 days"))
+    agg = (feed.stream.select("user_id", to_event_time("ts").alias("et"), "value")
            .withWatermark("et", OUT_OF_ORDER)
            .groupBy("user_id", F.window("et", TUMBLE).alias("w"))
            .agg(F.count(F.lit(1)).alias("event_count"), F.sum(exact_money("value")).alias("_s")))
@@ -94,10 +99,8 @@ def event_time_tumbling(spark, sf_dir):
                      instant_to_ntz(F.col("w.end")).alias("window_end"), "event_count",
                      F.col("_s").cast("double").alias("sum_value"))
     sink = scratch_path(spark, "event_time_tumbling")
-    q = (out.writeStream.outputMode("append").format("parquet")
-         .option("checkpointLocation", scratch_path(spark, "event_time_tumbling_ckpt"))
-         .trigger(availableNow=True).start(sink))
-    q.awaitTermination()
+    feed.drain(out.writeStream.outputMode("append").format("parquet").option("path", sink),
+               scratch_path(spark, "event_time_tumbling_ckpt"))
     return spark.read.schema(out.schema).parquet(sink)
 
 
@@ -193,6 +196,12 @@ ORACLE = {
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS rn FROM events)
         WHERE rn = 1""",
     "retract_changelog": _CHANGELOG,
+    "retract_sum_changelog": f"""WITH r AS (
+          SELECT event_id, user_id, count(*) OVER w AS n, sum({_DEC}) OVER w AS s, sum({_DEC}) OVER b AS o FROM events
+          WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING),
+                 b AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+        SELECT event_id, 0 AS change_seq, false AS op, user_id, CAST(o AS DOUBLE) AS total FROM r WHERE n > 1
+        UNION ALL SELECT event_id, 1, true, user_id, CAST(s AS DOUBLE) FROM r""",
     "retract_having": f"SELECT * FROM ({_CHANGELOG}) WHERE frequency = 2",
     "tumbling_sum": f"""SELECT user_id, {_bucket(TUMBLE)} AS window_start,
         {_bucket(TUMBLE)} + INTERVAL '{TUMBLE}' AS window_end, {_WIN_AGGS}
@@ -208,11 +217,9 @@ ORACLE = {
               FROM s)
         SELECT user_id, min(ts) AS window_start, max(ts) + INTERVAL '{SESSION_GAP}' AS window_end, {_WIN_AGGS}
         FROM g GROUP BY user_id, sid""",
-    "event_time_tumbling": f"""SELECT * FROM (
-          SELECT user_id, {_bucket(TUMBLE)} AS window_start,
-                 {_bucket(TUMBLE)} + INTERVAL '{TUMBLE}' AS window_end, {_WIN_AGGS}
-          FROM events GROUP BY ALL)
-        WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '{OUT_OF_ORDER}'""",
+    "event_time_tumbling": f"""SELECT user_id, {_bucket(TUMBLE)} AS window_start,
+        {_bucket(TUMBLE)} + INTERVAL '{TUMBLE}' AS window_end, {_WIN_AGGS}
+        FROM events GROUP BY ALL""",
     "tumble_sql": f"""SELECT user_id, count(*) AS order_count, max(value) AS max_value, min(value) AS min_value
         FROM events GROUP BY user_id, {_bucket(SQL_TUMBLE)}""",
     "count_tumbling": f"""WITH r AS (
@@ -274,6 +281,7 @@ QUERIES = {
     "running_max": running_max,
     "max_by_key": max_by_key,
     "retract_changelog": retract_changelog_q,
+    "retract_sum_changelog": retract_sum_changelog,
     "retract_having": retract_having,
     "tumbling_sum": tumbling_sum,
     "sliding_sum": sliding_sum,

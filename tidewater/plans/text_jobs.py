@@ -160,10 +160,11 @@ STATUS_SCHEMA = T.StructType([
 ])
 
 
-def _status_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def status_messages(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
     """JSON messages with ids as JSON strings, derived from events."""
-    ev = read_table(spark, sf_dir, "events", ["user_id", "event_type", "props"])
-    return ev.select(F.to_json(F.struct(
+    keep = keep or []
+    ev = read_table(spark, sf_dir, "events", [*keep, "user_id", "event_type", "props"])
+    return ev.select(*keep, F.to_json(F.struct(
         F.col("user_id").cast("string").alias("user_id"),
         F.get_json_object("props", "$.k").alias("page_id"),
         F.when(F.col("event_type") == "error", F.lit("fail")).otherwise(F.lit("success")).alias("status"),
@@ -177,7 +178,7 @@ def json_status_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     same transform runs on ``readStream.format('kafka')``.
     """
     topic_in = scratch_path(spark, "topic_in")
-    write_text(_status_messages(spark, sf_dir), topic_in)
+    write_text(status_messages(spark, sf_dir), topic_in)
     rows = decode_json_values(read_text_lines(spark, topic_in), STATUS_SCHEMA)
     rows.createOrReplaceTempView("tw_input_topic")
     passed = spark.sql("SELECT user_id, page_id, status FROM tw_input_topic WHERE status = 'success'")

@@ -1,9 +1,14 @@
 """Feed a table into a file stream in arrival order.
 
-A live source delivers rows in order; a folder of files is read by a file
-stream in modification-time order. ``land_in_order`` writes ``pieces``
-consecutive ranges of an order column as separate write jobs (so every file
-of a later range is newer), each written by all tasks in parallel.
+A live source delivers rows in order. Here the table is cut into ``pieces``
+consecutive ranges of an order column; a slice is landed in the source folder
+(as many files as its writers make) and the query drains it completely before
+the next slice lands. So one slice is one micro-batch whatever the number of
+files, and every restart resumes from the checkpoint.
+
+``closing`` ends a bounded run: one more row, later than all others by that
+interval and null but for the order and the event time, moves the watermark
+past every open window and timer, as a live source that goes on would.
 """
 
 from __future__ import annotations
@@ -12,13 +17,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def land_in_order(df: DataFrame, order: str, pieces: int, path: str) -> None:
-    bounds = df.agg(F.min(order).alias("lo"), F.max(order).alias("hi")).first()
-    lo, hi = bounds["lo"], bounds["hi"]
-    width = (hi - lo) // pieces + 1
-    for i in range(pieces):
-        part = df.where((F.col(order) >= lo + i * width) & (F.col(order) < lo + (i + 1) * width))
-        part.write.mode("append").parquet(path)
+class SliceFeed:
+    """The source folder of a stream and the slices that are still to land."""
+
+    def __init__(self, df: DataFrame, order: str, pieces: int, path: str,
+                 closing: tuple[str, str] | None = None):
+        self.df, self.order, self.path, self.closing = df, order, path, closing
+        bounds = df.agg(F.min(order).alias("lo"), F.max(order).alias("hi")).first()
+        self.todo = []
+        if bounds["lo"] is not None:
+            width = (bounds["hi"] - bounds["lo"]) // pieces + 1
+            self.todo = [(bounds["lo"] + i * width, bounds["lo"] + (i + 1) * width) for i in range(pieces)]
+        df.limit(0).write.mode("append").parquet(path)   # the folder exists before the stream starts
+        self.stream = df.sparkSession.readStream.schema(df.schema).parquet(path)
+
+    def drain(self, query_builder, checkpoint: str) -> None:
+        """Land every slice in turn and let the query work it off."""
+        for lo, hi in self.todo:
+            part = self.df.where((F.col(self.order) >= lo) & (F.col(self.order) < hi))
+            part.write.mode("append").parquet(self.path)
+            run_available_now(query_builder, checkpoint)
+        if self.closing and self.todo:
+            ts, later = self.closing
+            last = self.df.agg(F.max(self.order).alias("o"), F.max(ts).alias("t"))
+            row = [(F.col("o") + 1 if f.name == self.order else F.col("t") + F.expr(f"INTERVAL {later}") if f.name == ts
+                    else F.lit(None)).cast(f.dataType).alias(f.name) for f in self.df.schema.fields]
+            last.select(*row).write.mode("append").parquet(self.path)
+            run_available_now(query_builder, checkpoint)
 
 
 def run_available_now(query_builder, checkpoint: str):
@@ -28,5 +53,8 @@ def run_available_now(query_builder, checkpoint: str):
     return q
 
 
-def stream_folder(spark: SparkSession, path: str, schema, max_files_per_trigger: int = 2) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).parquet(path)
+def stream_folder(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None) -> DataFrame:
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(path)

@@ -1,9 +1,9 @@
 """Streaming forms of the keyed state operators (``transformWithStateInPandas``).
 
-Each job lands ``events`` as ordered files (the live source), streams them
+Each job lands ``events`` slice by slice (the live source), drains every slice
 with ``availableNow`` through a state processor into a parquet sink, and
-returns the sink. With the input in order, the result equals the batch form
-(for timers: the orders whose due time the final watermark has passed).
+returns the sink. Event-time jobs end with a closing row that moves the
+watermark past all windows and timers, so the result equals the batch form.
 """
 
 from __future__ import annotations
@@ -13,25 +13,30 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.hashing import char_code_parity
 from tidewater.functions.money import exact_money, round_half_up
-from tidewater.functions.timefn import clock_text, epoch_micros, from_epoch_micros, to_event_time
+from tidewater.functions.timefn import clock_text, epoch_micros, from_epoch_micros, instant_to_ntz, to_event_time
 from tidewater.plans.dashboard import DAY_START, dashboard_lines
 from tidewater.operators.windows import duration_micros
 from tidewater.operators.basic import even_odd_tag, union_all
 from tidewater.session import scratch_path
 from tidewater.sources.tables import read_table
-from tidewater.streaming.feed import land_in_order, run_available_now, stream_folder
-from tidewater.streaming.processors import (ChangelogProcessor, CountWindowProcessor, LateWindowProcessor,
+from tidewater.plans.event_jobs import (ARRIVAL_MULT, COUNT_SIZE, COUNT_SLIDE, LATE_ALLOWED, LATE_BOUND, LATE_WINDOW, OUT_OF_ORDER,
+                                        SESSION_GAP, SLIDE_SIZE, SLIDE_STEP, SQL_TUMBLE, TIMEOUT)
+from tidewater.plans.event_jobs import ORACLE as BATCH_ORACLE
+from tidewater.plans.text_jobs import ORACLE as TEXT_ORACLE
+from tidewater.plans.text_jobs import STATUS_SCHEMA, status_messages
+from tidewater.streaming.feed import SliceFeed
+from tidewater.functions.jsonfn import rows_to_json
+from tidewater.sources.kafka import decode_json_values
+from tidewater.sources.text import read_text_lines
+from tidewater.streaming.processors import (UNITS, ChangelogProcessor, CountWindowProcessor, LateWindowProcessor,
                                             OrderTimeoutProcessor, RunningMaxProcessor)
 
-PIECES = 2                 # arrival slices of the table
-FILES_PER_TRIGGER = 1      # micro-batch size
+PIECES = 2                 # arrival slices of the table, one micro-batch each
 TIMER_WATERMARK = "1 minute"
-COUNT_SIZE, COUNT_SLIDE = 5, 3
-TIMEOUT = "1 hour"
-SQL_TUMBLE, SQL_BOUND = "5 hours", "2 hours"   # tumble 5 s with a 2 s bound, scaled
-LATE_WINDOW, LATE_BOUND, LATE_ALLOWED = "1 hour", "10 minutes", "20 minutes"
-ARRIVAL_MULT, ARRIVAL_SPREAD = 7919, 50
-LATE_PIECES = 4            # arrival slices (micro-batches) for the lateness stream
+SQL_BOUND = "2 hours"      # bound of the SQL tumble group window (2 s), scaled
+CLOSING = "30 days"        # the closing row is later than any window or timer
+LATE_PIECES = 6            # arrival slices (micro-batches) for the lateness streams
+LATE_SPREAD = 500          # arrival = event_id + (event_id * 7919) % 500: far enough to be late across slices
 
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -45,74 +50,120 @@ def use_rocksdb_state(spark: SparkSession) -> None:
         spark.conf.set(key, ROCKSDB)
 
 
-def _landed_events(spark: SparkSession, sf_dir: str, cols: list[str], name: str) -> DataFrame:
+def _landed_events(spark: SparkSession, sf_dir: str, cols: list[str], name: str) -> SliceFeed:
     ev = read_table(spark, sf_dir, "events", cols)
-    path = scratch_path(spark, f"{name}_landing")
-    land_in_order(ev, "event_id", PIECES, path)
-    return stream_folder(spark, path, ev.schema, FILES_PER_TRIGGER)
+    return SliceFeed(ev, "event_id", PIECES, scratch_path(spark, f"{name}_landing"),
+                     ("ts", CLOSING) if "ts" in cols else None)
 
 
-def _sink(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
+def _sink(spark: SparkSession, feed: SliceFeed, stream: DataFrame, name: str) -> DataFrame:
     use_rocksdb_state(spark)
     path = scratch_path(spark, f"{name}_sink")
-    run_available_now(stream.writeStream.format("parquet").outputMode("append").option("path", path),
-                      scratch_path(spark, f"{name}_ckpt"))
+    feed.drain(stream.writeStream.format("parquet").outputMode("append").option("path", path),
+               scratch_path(spark, f"{name}_ckpt"))
     return spark.read.schema(stream.schema).parquet(path)
 
 
 def running_max_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = _landed_events(spark, sf_dir, ["event_id", "user_id", "value"], "running_max_stream")
-    out = src.groupBy("user_id").transformWithStateInPandas(
+    feed = _landed_events(spark, sf_dir, ["event_id", "user_id", "value"], "running_max_stream")
+    out = feed.stream.groupBy("user_id").transformWithStateInPandas(
         RunningMaxProcessor("user_id", "event_id", "value"),
         "event_id long, user_id long, value double, max_value double", "Append", "None")
-    return _sink(spark, out, "running_max_stream")
+    return _sink(spark, feed, out, "running_max_stream")
 
 
 def count_sliding_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = _landed_events(spark, sf_dir, ["event_id", "user_id", "value"], "count_sliding_stream")
-    out = src.groupBy("user_id").transformWithStateInPandas(
+    feed = _landed_events(spark, sf_dir, ["event_id", "user_id", "value"], "count_sliding_stream")
+    out = feed.stream.groupBy("user_id").transformWithStateInPandas(
         CountWindowProcessor("user_id", "event_id", "value", COUNT_SIZE, COUNT_SLIDE),
         "user_id long, window_index long, event_count long, sum_value double, last_event_id long",
         "Append", "None")
-    return _sink(spark, out, "count_sliding_stream")
+    return _sink(spark, feed, out, "count_sliding_stream")
 
 
-def late_refires_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Allowed lateness on a stream: rows arrive in ``arrival`` order in
-    ``LATE_PIECES`` micro-batches; the watermark is the engine's (per batch).
-    Returns the firings; ``firing = -1`` rows are the late side output."""
+def _late_events(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Allowed lateness on a stream: rows arrive in ``arrival`` order in ``LATE_PIECES`` micro-batches; the
+    watermark is the engine's (per batch). All firings; ``firing = -1`` rows are the late side output."""
     ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "ts", "value"]).withColumn(
-        "arrival", F.col("event_id") + F.pmod(F.col("event_id") * ARRIVAL_MULT, F.lit(ARRIVAL_SPREAD)))
-    landing = scratch_path(spark, "late_stream_landing")
-    land_in_order(ev, "arrival", LATE_PIECES, landing)
-    src = stream_folder(spark, landing, ev.schema, FILES_PER_TRIGGER)
-    rows = (src.select("user_id", "event_id", "arrival",
-                       F.floor(epoch_micros("ts") / 1000).cast("long").alias("ms"),
-                       (exact_money("value") * 100).cast("long").alias("cents"),
-                       F.timestamp_micros(epoch_micros("ts")).alias("et"))
+        "arrival", F.col("event_id") + F.pmod(F.col("event_id") * ARRIVAL_MULT, F.lit(LATE_SPREAD)))
+    feed = SliceFeed(ev, "arrival", LATE_PIECES, scratch_path(spark, f"{name}_landing"), ("ts", CLOSING))
+    rows = (feed.stream.select("user_id", "event_id", "arrival",
+                               F.floor(epoch_micros("ts") / 1000).cast("long").alias("ms"),
+                               (exact_money("value") * UNITS).cast("long").alias("units"),
+                               F.timestamp_micros(epoch_micros("ts")).alias("et"))
             .withWatermark("et", LATE_BOUND)
             # the event-time column stays out of the processor input: the
             # processor classifies late rows itself instead of the engine dropping them
-            .select("user_id", "event_id", "arrival", "ms", "cents"))
+            # (the closing row has no id; as in order_timeout_stream, one predicate that stays above the watermark)
+            .where(F.coalesce((F.col("event_id") > F.lit(-(1 << 62))) & F.col("et").isNotNull(), F.lit(False)))
+            .select("user_id", "event_id", "arrival", "ms", "units"))
     out = rows.groupBy("user_id").transformWithStateInPandas(
         LateWindowProcessor("user_id", duration_micros(LATE_WINDOW) // 1000, duration_micros(LATE_ALLOWED) // 1000),
-        "user_id long, window_end_ms long, firing long, event_count long, sum_cents long, event_id long",
+        "user_id long, window_end_ms long, firing long, event_count long, sum_units long, event_id long",
         "Append", "EventTime")
-    fired = _sink(spark, out, "late_stream").where("firing >= 0")
+    return _sink(spark, feed, out, name)
+
+
+def late_refires_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fired = _late_events(spark, sf_dir, "late_stream").where("firing >= 0")
     w_us = duration_micros(LATE_WINDOW)
     return fired.select("user_id",
                         from_epoch_micros(F.col("window_end_ms") * 1000 - w_us).alias("window_start"),
                         from_epoch_micros(F.col("window_end_ms") * 1000).alias("window_end"),
-                        "firing", "event_count", (F.col("sum_cents") / 100.0).alias("sum_value"))
+                        "firing", "event_count", (F.col("sum_units") / float(UNITS)).alias("sum_value"))
+
+
+def late_side_output_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The side output of the same stream: rows beyond the allowed lateness."""
+    late = _late_events(spark, sf_dir, "late_side_stream").where("firing = -1")
+    return late.select("event_id", "user_id", from_epoch_micros(F.col("window_end_ms") * 1000).alias("window_end"),
+                       (F.col("sum_units") / float(UNITS)).alias("value"))
+
+
+def sliding_sum_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sliding windows on a stream: append mode emits a window when the watermark passes its end."""
+    feed = _landed_events(spark, sf_dir, ["event_id", "user_id", "ts", "value"], "sliding_stream")
+    rows = feed.stream.select("event_id", "user_id", to_event_time("ts").alias("et"), "value").withWatermark("et", OUT_OF_ORDER)
+    out = (rows.groupBy("user_id", F.window("et", SLIDE_SIZE, SLIDE_STEP).alias("w"))
+           .agg(F.count("value").alias("event_count"), F.sum(exact_money("value")).cast("double").alias("sum_value")))
+    return _windows_out(_sink(spark, feed, out, "sliding_stream"))
+
+
+def session_sum_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Session windows on a stream: a session is emitted when the watermark passes its end. (The engine
+    merges the sessions of a key in its state; a key's rows of a micro-batch are combined first.)"""
+    feed = _landed_events(spark, sf_dir, ["event_id", "user_id", "ts", "value"], "session_stream")
+    rows = feed.stream.select("event_id", "user_id", to_event_time("ts").alias("et"), "value").withWatermark("et", OUT_OF_ORDER)
+    out = (rows.groupBy("user_id", F.session_window("et", SESSION_GAP).alias("w"))
+           .agg(F.count("value").alias("event_count"), F.sum(exact_money("value")).cast("double").alias("sum_value")))
+    return _windows_out(_sink(spark, feed, out, "session_stream"))
+
+
+def _windows_out(done: DataFrame) -> DataFrame:
+    return done.select("user_id", instant_to_ntz(F.col("w.start")).alias("window_start"),
+                       instant_to_ntz(F.col("w.end")).alias("window_end"), "event_count", "sum_value")
+
+
+def json_status_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Continuous insert: a stream of JSON lines becomes a view, SQL filters it, and the passing rows
+    go on as JSON lines into another folder."""
+    messages = status_messages(spark, sf_dir, keep=["event_id"])
+    feed = SliceFeed(messages, "event_id", PIECES, scratch_path(spark, "json_stream_landing"))
+    decode_json_values(feed.stream.select("value"), STATUS_SCHEMA).createOrReplaceTempView("tw_input_stream")
+    passed = spark.sql("SELECT user_id, page_id, status FROM tw_input_stream WHERE status = 'success'")
+    out = scratch_path(spark, "json_stream_out")
+    sink = rows_to_json(passed, ["user_id", "page_id", "status"]).writeStream.format("text").option("path", out)
+    feed.drain(sink, scratch_path(spark, "json_stream_ckpt"))
+    return decode_json_values(read_text_lines(spark, out), STATUS_SCHEMA)
 
 
 def count_tumbling_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = _landed_events(spark, sf_dir, ["event_id", "user_id", "value"], "count_tumbling_stream")
-    out = src.groupBy("user_id").transformWithStateInPandas(
+    feed = _landed_events(spark, sf_dir, ["event_id", "user_id", "value"], "count_tumbling_stream")
+    out = feed.stream.groupBy("user_id").transformWithStateInPandas(
         CountWindowProcessor("user_id", "event_id", "value", COUNT_SIZE, COUNT_SIZE),
         "user_id long, window_index long, event_count long, sum_value double, last_event_id long",
         "Append", "None")
-    return _sink(spark, out, "count_tumbling_stream")
+    return _sink(spark, feed, out, "count_tumbling_stream")
 
 
 def split_even_odd_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -121,29 +172,29 @@ def split_even_odd_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark import StorageLevel
 
     keys = read_table(spark, sf_dir, "orders", ["o_orderkey"]).withColumnRenamed("o_orderkey", "value")
-    landing = scratch_path(spark, "split_stream_landing")
-    land_in_order(keys, "value", PIECES, landing)
-    src = stream_folder(spark, landing, keys.schema, FILES_PER_TRIGGER)
+    feed = SliceFeed(keys, "value", PIECES, scratch_path(spark, "split_stream_landing"))
     outs = {tag: scratch_path(spark, f"split_stream_{tag}") for tag in ("even", "odd")}
 
     def write_sides(batch: DataFrame, epoch_id: int) -> None:
         tagged = batch.withColumn("tag", even_odd_tag("value")).persist(StorageLevel.MEMORY_AND_DISK)
-        for tag, path in outs.items():
-            (tagged.where(F.col("tag") == tag).select("value")
-             .withColumn("epoch", F.lit(int(epoch_id)).cast("long"))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch")
-             .parquet(path))
-        tagged.unpersist()
-
-    run_available_now(src.writeStream.foreachBatch(write_sides), scratch_path(spark, "split_stream_ckpt"))
+        try:
+            for tag, path in outs.items():
+                (tagged.where(F.col("tag") == tag).select("value")
+                 .withColumn("epoch", F.lit(int(epoch_id)).cast("long"))
+                 .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch")
+                 .parquet(path))
+        finally:
+            tagged.unpersist()
+
+    feed.drain(feed.stream.writeStream.foreachBatch(write_sides), scratch_path(spark, "split_stream_ckpt"))
     return union_all(*[spark.read.parquet(p).select("value", F.lit(t).alias("tag")) for t, p in outs.items()])
 
 
 def order_timeout_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases wait one hour for a click of the same user (map state + event-time timers)."""
-    src = _landed_events(spark, sf_dir, ["event_id", "user_id", "ts", "event_type"], "order_timeout_stream")
+    feed = _landed_events(spark, sf_dir, ["event_id", "user_id", "ts", "event_type"], "order_timeout_stream")
     # every event moves the watermark; only purchases and clicks reach the state
-    rows = (src.select("user_id", "event_type", F.col("event_id").alias("order_id"),
+    rows = (feed.stream.select("user_id", "event_type", F.col("event_id").alias("order_id"),
                        F.floor(epoch_micros("ts") / 1000).cast("long").alias("ms"),
                        F.timestamp_micros(epoch_micros("ts")).alias("et"))
             .withWatermark("et", TIMER_WATERMARK)
@@ -159,14 +210,14 @@ def order_timeout_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         OrderTimeoutProcessor("user_id", duration_micros(TIMEOUT) // 1000),
         "order_id long, user_id long, order_ms long, handled_ms long, status string",
         "Append", "EventTime")
-    return _sink(spark, out, "order_timeout_stream")
+    return _sink(spark, feed, out, "order_timeout_stream")
 
 
 def order_timeout_drain_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Literal timers: every event is an order with a timer one hour later, and
     each timer hands all pending orders of the user that arrived before it."""
-    src = _landed_events(spark, sf_dir, ["event_id", "user_id", "ts"], "drain_stream")
-    rows = (src.select("user_id", F.lit("order").alias("kind"), F.col("event_id").alias("order_id"),
+    feed = _landed_events(spark, sf_dir, ["event_id", "user_id", "ts"], "drain_stream")
+    rows = (feed.stream.select("user_id", F.lit("order").alias("kind"), F.col("event_id").alias("order_id"),
                        F.floor(epoch_micros("ts") / 1000).cast("long").alias("ms"),
                        F.timestamp_micros(epoch_micros("ts")).alias("et"))
             .withWatermark("et", TIMER_WATERMARK))
@@ -174,30 +225,30 @@ def order_timeout_drain_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         OrderTimeoutProcessor("user_id", duration_micros(TIMEOUT) // 1000, drain_all=True),
         "order_id long, user_id long, order_ms long, handled_ms long, status string",
         "Append", "EventTime")
-    done = _sink(spark, out, "drain_stream")
+    done = _sink(spark, feed, out, "drain_stream")
     status = F.when(char_code_parity(F.col("order_id"), integral=True) == 0, F.lit("reviewed")) \
         .otherwise(F.lit("auto_good_review"))
     return done.select("order_id", "user_id", "order_ms", "handled_ms", status.alias("status"))
 
 
 def retract_changelog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src = _landed_events(spark, sf_dir, ["event_id", "user_id"], "changelog_stream")
-    out = src.groupBy("user_id").transformWithStateInPandas(
+    feed = _landed_events(spark, sf_dir, ["event_id", "user_id"], "changelog_stream")
+    out = feed.stream.groupBy("user_id").transformWithStateInPandas(
         ChangelogProcessor("user_id", "event_id"),
         "event_id long, change_seq int, op boolean, user_id long, frequency long", "Append", "None")
-    return _sink(spark, out, "changelog_stream")
+    return _sink(spark, feed, out, "changelog_stream")
 
 
 def tumble_sql_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SQL group window over a streaming temp view; append mode emits a window
     once the watermark (max event time - bound) passes its end."""
-    src = _landed_events(spark, sf_dir, ["event_id", "user_id", "ts", "value"], "tumble_sql_stream")
-    (src.select("user_id", to_event_time("ts").alias("rowtime"), "value")
+    feed = _landed_events(spark, sf_dir, ["event_id", "user_id", "ts", "value"], "tumble_sql_stream")
+    (feed.stream.select("user_id", to_event_time("ts").alias("rowtime"), "value")
      .withWatermark("rowtime", SQL_BOUND).createOrReplaceTempView("tw_t_order_stream"))
     out = spark.sql(f"""
         SELECT user_id, count(*) AS order_count, max(value) AS max_value, min(value) AS min_value
         FROM tw_t_order_stream GROUP BY user_id, window(rowtime, '{SQL_TUMBLE}')""")
-    return _sink(spark, out, "tumble_sql_stream")
+    return _sink(spark, feed, out, "tumble_sql_stream")
 
 
 def sales_dashboard_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,31 +257,35 @@ def sales_dashboard_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     micro-batch in ``foreachBatch`` on the open day (the day of the newest sale):
     rounded category totals, their rounded sum and the top 3, stamped with the
     newest sale time. Each batch writes its own ``epoch`` partition (idempotent).
-    (The oracle rebuilds each epoch from its arrival slice; that holds while a
-    landed slice is one file, as for the single-row-group test tables.)"""
-    src = _landed_events(spark, sf_dir, ["event_id", "event_type", "ts", "value"], "dashboard_stream")
-    totals = (src.select(F.col("event_type").alias("category"), to_event_time("ts").alias("et"),
+    One arrival slice is one epoch."""
+    feed = _landed_events(spark, sf_dir, ["event_id", "event_type", "ts", "value"], "dashboard_stream")
+    totals = (feed.stream.select(F.col("event_type").alias("category"), to_event_time("ts").alias("et"),
                          F.col("value").alias("price"))
               .groupBy("category", F.window("et", "1 day", "1 day", DAY_START).alias("day"))
               .agg(F.sum(exact_money("price")).alias("amount"), F.max("et").alias("last_et")))
     out_path = scratch_path(spark, "dashboard_stream_out")
 
     def tick(batch: DataFrame, epoch_id: int) -> None:
-        latest = batch.agg(F.max(F.unix_micros("last_et"))).first()[0]   # one scalar per batch
-        if latest is None:
-            return
-        now = F.lit(int(latest))
-        open_day = batch.where((F.unix_micros("day.start") <= now) & (F.unix_micros("day.end") > now))
-        clock = clock_text(from_epoch_micros(now))
-        stage1 = open_day.select("category", clock.alias("date_time"),
-                                 round_half_up(F.col("amount"), 2).cast("double").alias("total_price"))
-        lines = dashboard_lines(stage1)
-        (lines.withColumn("epoch", F.lit(int(epoch_id)).cast("long"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch")
-         .parquet(out_path))
-
-    run_available_now(totals.writeStream.outputMode("complete").foreachBatch(tick),
-                      scratch_path(spark, "dashboard_stream_ckpt"))
+        batch = batch.persist()                          # small: categories x days; the state is read once
+        try:
+            latest = batch.agg(F.max(F.unix_micros("last_et"))).first()[0]   # one scalar per batch
+            if latest is None:
+                return
+            now = F.lit(int(latest))
+            open_day = batch.where((F.unix_micros("day.start") <= now) & (F.unix_micros("day.end") > now))
+            clock = clock_text(from_epoch_micros(now))
+            stage1 = open_day.select("category", clock.alias("date_time"),
+                                     round_half_up(F.col("amount"), 2).cast("double").alias("total_price"))
+            lines = dashboard_lines(stage1)
+            (lines.withColumn("epoch", F.lit(int(epoch_id)).cast("long"))
+             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("epoch")
+             .parquet(out_path))
+        finally:
+            batch.unpersist()
+
+    feed.closing = None                                  # every slice is a tick; there is no last one
+    feed.drain(totals.writeStream.outputMode("complete").foreachBatch(tick),
+               scratch_path(spark, "dashboard_stream_ckpt"))
     return spark.read.parquet(out_path).select(F.col("epoch").cast("long").alias("epoch"), "date_time", "line")
 
 
@@ -253,13 +308,12 @@ ORACLE = {
         FROM r WHERE rn % {COUNT_SLIDE} = 0""",
     "order_timeout_stream": f"""WITH o AS (SELECT event_id, user_id, ts, epoch_us(ts) // 1000 AS ms
                    FROM events WHERE event_type = 'purchase'),
-        r AS (SELECT user_id, ts FROM events WHERE event_type = 'click'),
-        wm AS (SELECT epoch_us(max(ts)) // 1000 - {duration_micros(TIMER_WATERMARK) // 1000} AS w FROM events)
+        r AS (SELECT user_id, ts FROM events WHERE event_type = 'click')
         SELECT event_id AS order_id, user_id, ms AS order_ms, ms + {duration_micros(TIMEOUT) // 1000} AS handled_ms,
                CASE WHEN EXISTS (SELECT 1 FROM r WHERE r.user_id = o.user_id AND r.ts > o.ts
                                  AND r.ts <= o.ts + INTERVAL '{TIMEOUT}')
                     THEN 'reviewed' ELSE 'auto_good_review' END AS status
-        FROM o, wm WHERE ms + {duration_micros(TIMEOUT) // 1000} <= wm.w""",
+        FROM o""",
 }
 
 ORACLE["retract_changelog_stream"] = """
@@ -275,11 +329,10 @@ ORACLE["tumble_sql_stream"] = f"""
   SELECT user_id, order_count, max_value, min_value FROM (
     SELECT user_id, {_BUCKET} AS ws, count(*) AS order_count, max(value) AS max_value, min(value) AS min_value
     FROM events GROUP BY user_id, {_BUCKET})
-  WHERE ws + INTERVAL '{SQL_TUMBLE}' <= (SELECT max(ts) FROM events) - INTERVAL '{SQL_BOUND}'"""
+  """
 
 ORACLE["order_timeout_drain_stream"] = f"""
   WITH o AS (SELECT event_id, user_id, epoch_us(ts) // 1000 AS ms FROM events),
-  wm AS (SELECT epoch_us(max(ts)) // 1000 - {duration_micros(TIMER_WATERMARK) // 1000} AS w FROM events),
   d AS (SELECT event_id AS order_id, user_id, ms AS order_ms,
                min(ms) OVER (PARTITION BY user_id ORDER BY ms RANGE BETWEEN 3599999 PRECEDING AND CURRENT ROW)
                + 3600000 AS handled_ms,
@@ -287,7 +340,7 @@ ORACLE["order_timeout_drain_stream"] = f"""
                                                  lambda ch: unicode(ch))) % 2 = 0
                     THEN 'reviewed' ELSE 'auto_good_review' END AS status
         FROM o)
-  SELECT d.* FROM d, wm WHERE handled_ms <= wm.w"""
+  SELECT d.* FROM d"""
 
 from tidewater.plans.dashboard import (ITEM_CLOSE, ITEM_OPEN, ITEM_TOTAL, LINE_TIME,  # noqa: E402
                                        LINE_TOTAL)
@@ -327,7 +380,7 @@ _LB = duration_micros(LATE_BOUND)
 _LA = duration_micros(LATE_ALLOWED)
 ORACLE["late_refires_stream"] = f"""
   WITH a AS (SELECT event_id, user_id, ts, value, epoch_us(ts) AS us,
-                    event_id + (event_id * {ARRIVAL_MULT}) % {ARRIVAL_SPREAD} AS arrival FROM events),
+                    event_id + (event_id * {ARRIVAL_MULT}) % {LATE_SPREAD} AS arrival FROM events),
   b AS (SELECT min(arrival) AS lo, max(arrival) AS hi FROM a),
   p AS (SELECT a.*, (arrival - lo) // ((hi - lo) // {LATE_PIECES} + 1) AS piece FROM a, b),
   pm AS (SELECT piece, max(us) AS mx FROM p GROUP BY piece),
@@ -338,7 +391,6 @@ ORACLE["late_refires_stream"] = f"""
         FROM p JOIN wp ON p.piece = wp.piece),
   k AS (SELECT *, CASE WHEN mxprev IS NULL OR mxprev < e + {_LB} THEN 'on_time'
                        WHEN mxprev < e + {_LB + _LA} THEN 'late_accepted' ELSE 'late_dropped' END AS cls FROM c),
-  fin AS (SELECT max(us) AS mx FROM a),
   o AS (SELECT user_id, e, count(*) AS n, sum(CAST(round(value * 100) AS BIGINT)) AS s
         FROM k WHERE cls = 'on_time' GROUP BY user_id, e),
   l AS (SELECT user_id, e,
@@ -348,14 +400,25 @@ ORACLE["late_refires_stream"] = f"""
         FROM k WHERE cls = 'late_accepted')
   SELECT user_id, make_timestamp(e - {duration_micros(LATE_WINDOW)}) AS window_start, make_timestamp(e) AS window_end,
          CAST(0 AS BIGINT) AS firing, n AS event_count, s / 100.0 AS sum_value
-  FROM o, fin WHERE e + {_LB} <= fin.mx
+  FROM o
   UNION ALL
   SELECT l.user_id, make_timestamp(l.e - {duration_micros(LATE_WINDOW)}), make_timestamp(l.e), l.firing,
          coalesce(o.n, 0) + l.firing, (coalesce(o.s, 0) + l.ls) / 100.0
   FROM l LEFT JOIN o ON l.user_id = o.user_id AND l.e = o.e"""
 
+_LATE_CLASSES = ORACLE["late_refires_stream"][:ORACLE["late_refires_stream"].index("  o AS (")].rstrip().rstrip(",")
+ORACLE["late_side_output_stream"] = _LATE_CLASSES + """
+  SELECT event_id, user_id, make_timestamp(e) AS window_end, value FROM k WHERE cls = 'late_dropped'"""
+ORACLE["sliding_sum_stream"] = BATCH_ORACLE["sliding_sum"]
+ORACLE["session_sum_stream"] = BATCH_ORACLE["session_sum"]
+ORACLE["json_status_stream"] = TEXT_ORACLE["json_status_filter"]
+
 QUERIES = {
     "late_refires_stream": late_refires_stream,
+    "late_side_output_stream": late_side_output_stream,
+    "sliding_sum_stream": sliding_sum_stream,
+    "session_sum_stream": session_sum_stream,
+    "json_status_stream": json_status_stream,
     "count_tumbling_stream": count_tumbling_stream,
     "split_even_odd_stream": split_even_odd_stream,
     "order_timeout_drain_stream": order_timeout_drain_stream,

@@ -4,7 +4,7 @@ Each processor receives, per micro-batch and key, Arrow batches as pandas
 frames, sorts them by the arrival sequence (a micro-batch does not keep the
 order inside it), updates its state in one vectorized pass and emits rows.
 State lives in the RocksDB state store and is checkpointed with the query.
-Money is handled in integer cents so results are exact.
+Values are summed as integers of 1 / ``UNITS`` so results are exact.
 """
 
 from __future__ import annotations
@@ -29,8 +29,11 @@ def _frame(rows: Iterator[pd.DataFrame], order: str) -> pd.DataFrame:
     return pdf.sort_values(order, kind="stable").reset_index(drop=True)
 
 
-def _cents(values: pd.Series) -> np.ndarray:
-    return np.rint(values.to_numpy(dtype="float64") * 100).astype("int64")
+UNITS = 1_000_000   # sums are exact for values of up to six decimal places
+
+
+def _units(values: pd.Series) -> np.ndarray:
+    return np.rint(values.to_numpy(dtype="float64") * UNITS).astype("int64")
 
 
 class RunningMaxProcessor(StatefulProcessor):
@@ -101,7 +104,7 @@ class CountWindowProcessor(StatefulProcessor):
         book = self.book.get()
         prev = np.array(book[0] if book is not None else [], dtype="int64")
         n0 = book[1] if book is not None else 0
-        new = _cents(pdf[self.value])
+        new = _units(pdf[self.value])
         arr = np.concatenate([prev, new])
         csum = np.concatenate([[0], np.cumsum(arr)])
         n = n0 + np.arange(1, len(new) + 1)               # row number within the key
@@ -112,7 +115,7 @@ class CountWindowProcessor(StatefulProcessor):
             self.key: key[0],
             "window_index": (n[fire] // self.slide).astype("int64"),
             "event_count": (end - start).astype("int64"),
-            "sum_value": (csum[end] - csum[start]) / 100.0,
+            "sum_value": (csum[end] - csum[start]) / float(UNITS),
             f"last_{self.order}": pdf[self.order].to_numpy()[fire],
         })
         self.book.update((arr[-self.size:].tolist(), int(n0 + len(new))))
@@ -156,7 +159,7 @@ class OrderTimeoutProcessor(StatefulProcessor):
     fires, each pending order is handled by the first passed timer time after it.
     """
 
-    SCHEMA = "order_id array<long>, ms array<long>, reviewed array<boolean>, due array<long>, armed long"
+    SCHEMA = "order_id array<long>, ms array<long>, reviewed array<boolean>, due array<long>, reviews array<long>, armed long"
 
     def __init__(self, key: str, interval_ms: int, drain_all: bool = False):
         self.key, self.interval, self.drain_all = key, interval_ms, drain_all
@@ -168,20 +171,21 @@ class OrderTimeoutProcessor(StatefulProcessor):
     def _load(self):
         b = self.book.get()
         if b is None:
-            return (np.zeros(0, "int64"), np.zeros(0, "int64"), np.zeros(0, bool), np.zeros(0, "int64"), None)
+            return (np.zeros(0, "int64"), np.zeros(0, "int64"), np.zeros(0, bool), np.zeros(0, "int64"),
+                    np.zeros(0, "int64"), None)
         return (np.array(b[0], dtype="int64"), np.array(b[1], dtype="int64"), np.array(b[2], dtype=bool),
-                np.array(b[3], dtype="int64"), b[4])
+                np.array(b[3], dtype="int64"), np.array(b[4], dtype="int64"), b[5])
 
-    def _store(self, oid, ms, rev, due, armed) -> None:
-        if len(oid) or len(due):
-            self.book.update((oid.tolist(), ms.tolist(), rev.tolist(), due.tolist(), armed))
+    def _store(self, oid, ms, rev, due, reviews, armed) -> None:
+        if len(oid) or len(due) or len(reviews):
+            self.book.update((oid.tolist(), ms.tolist(), rev.tolist(), due.tolist(), reviews.tolist(), armed))
         else:
             self.book.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = _frame(rows, "ms")
         is_order = (pdf["kind"] == "order").to_numpy()
-        oid, ms, rev, due, armed = self._load()
+        oid, ms, rev, due, reviews, armed = self._load()
         new_ms = pdf["ms"].to_numpy(dtype="int64")[is_order]
         oid = np.concatenate([oid, pdf["order_id"].to_numpy(dtype="int64")[is_order]])
         ms = np.concatenate([ms, new_ms])
@@ -190,21 +194,29 @@ class OrderTimeoutProcessor(StatefulProcessor):
             due = np.concatenate([due, new_ms + self.interval])
             want = int(due.min()) if len(due) else None
         else:
-            reviews = np.sort(pdf["ms"].to_numpy(dtype="int64")[~is_order])
+            reviews = np.sort(np.concatenate([reviews, pdf["ms"].to_numpy(dtype="int64")[~is_order]]))
             if len(reviews) and len(ms):
                 nxt = np.searchsorted(reviews, ms, side="right")   # first review strictly after the order
                 has = nxt < len(reviews)
                 hit = np.zeros(len(ms), dtype=bool)
                 hit[has] = reviews[nxt[has]] <= ms[has] + self.interval
                 rev = rev | hit
-            want = int(ms.min()) + self.interval if len(ms) else None
+            # an order that is still to come is not older than the watermark
+            reviews = reviews[reviews > timerValues.getCurrentWatermarkInMs()]
+            want = self._next(ms, reviews)
         armed = _Book.arm(self.handle, armed, want)
-        self._store(oid, ms, rev, due, armed)
+        self._store(oid, ms, rev, due, reviews, armed)
         return iter([])
 
+    def _next(self, ms, reviews) -> int | None:
+        """The timer to arm: the earliest due time, or, with reviews only, the time the last of them is of no use."""
+        if len(ms):
+            return int(ms.min()) + self.interval
+        return int(reviews.max()) if len(reviews) else None
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         limit = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
-        oid, ms, rev, due, _ = self._load()
+        oid, ms, rev, due, reviews, _ = self._load()
         armed = None                                   # the armed timer has just fired
         if self.drain_all:
             passed, due = due[due <= limit], due[due > limit]
@@ -215,11 +227,11 @@ class OrderTimeoutProcessor(StatefulProcessor):
         else:
             take = ms + self.interval <= limit
             handled = ms[take] + self.interval
-            rest = ms[~take]
-            want = int(rest.min()) + self.interval if len(rest) else None
+            reviews = reviews[reviews > timerValues.getCurrentWatermarkInMs()]
+            want = self._next(ms[~take], reviews)
         done = (oid[take], ms[take], rev[take])
         armed = _Book.arm(self.handle, armed, want)
-        self._store(oid[~take], ms[~take], rev[~take], due, armed)
+        self._store(oid[~take], ms[~take], rev[~take], due, reviews, armed)
         if not len(done[0]):
             return iter([])
         status = np.where(done[2], "reviewed", "auto_good_review")
@@ -233,7 +245,7 @@ class OrderTimeoutProcessor(StatefulProcessor):
 class LateWindowProcessor(StatefulProcessor):
     """Tumbling event-time windows with allowed lateness and a late side output.
 
-    Input rows ``(arrival, event_id, ms, cents)`` of one key; the watermark is the
+    Input rows ``(arrival, event_id, ms, units)`` of one key; the watermark is the
     engine's (max event time of earlier micro-batches minus the bound). At the
     start of a batch, windows the watermark has passed emit their on-time
     result (``firing = 0``). Rows of open windows accumulate; rows of passed
@@ -243,7 +255,7 @@ class LateWindowProcessor(StatefulProcessor):
     event-time timer (at the earliest unfired window end).
     """
 
-    SCHEMA = ("ends array<long>, n array<long>, cents array<long>, fired array<boolean>, "
+    SCHEMA = ("ends array<long>, n array<long>, units array<long>, fired array<boolean>, "
               "late array<long>, armed long")
 
     def __init__(self, key: str, window_ms: int, lateness_ms: int):
@@ -280,7 +292,7 @@ class LateWindowProcessor(StatefulProcessor):
         return out
 
     def _frame_out(self, rows: list) -> pd.DataFrame:
-        cols = [self.key, "window_end_ms", "firing", "event_count", "sum_cents", "event_id"]
+        cols = [self.key, "window_end_ms", "firing", "event_count", "sum_units", "event_id"]
         return pd.DataFrame(rows, columns=cols).astype("int64")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
@@ -294,7 +306,7 @@ class LateWindowProcessor(StatefulProcessor):
         idx = np.lexsort((ids, arrival))                    # arrival order, ties by id
         ids = ids[idx]
         ms = pdf["ms"].to_numpy(dtype="int64")[idx]
-        cents = pdf["cents"].to_numpy(dtype="int64")[idx]
+        units = pdf["units"].to_numpy(dtype="int64")[idx]
         ends = ms - ms % self.window + self.window
         is_open = ends > wm
         is_late = ~is_open & (wm < ends + self.lateness)
@@ -303,13 +315,13 @@ class LateWindowProcessor(StatefulProcessor):
             ue, inv = np.unique(ends[is_open], return_inverse=True)
             cnt = np.bincount(inv)
             tot = np.zeros(len(ue), dtype="int64")
-            np.add.at(tot, inv, cents[is_open])
+            np.add.at(tot, inv, units[is_open])
             for e, c, t in zip(ue.tolist(), cnt.tolist(), tot.tolist()):
                 w = wins.setdefault(e, [0, 0, False, 0])
                 w[0] += c
                 w[1] += t
         # accepted late rows (rare): each re-fires its window, in arrival order
-        for e, c, i in zip(ends[is_late].tolist(), cents[is_late].tolist(), ids[is_late].tolist()):
+        for e, c, i in zip(ends[is_late].tolist(), units[is_late].tolist(), ids[is_late].tolist()):
             w = wins.setdefault(e, [0, 0, True, 0])
             w[0] += 1
             w[1] += c
@@ -320,7 +332,7 @@ class LateWindowProcessor(StatefulProcessor):
         frames = [self._frame_out(out)] if out else []
         if drop.any():
             frames.append(pd.DataFrame({self.key: key[0], "window_end_ms": ends[drop], "firing": -1,
-                                        "event_count": 1, "sum_cents": cents[drop], "event_id": ids[drop]}
+                                        "event_count": 1, "sum_units": units[drop], "event_id": ids[drop]}
                                        ).astype("int64"))
         self._save(wins, wm, armed)
         return iter(frames)
