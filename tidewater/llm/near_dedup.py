@@ -18,10 +18,9 @@ all nodes are held against one hub, the node with the most bucket mates over all
 group of edited copies is the text they come from (a star, linear in the bucket); verified links are
 contracted to components. Buckets that still hold several components are mostly texts that share passages
 without being near copies. Their nodes get a second, sharper signature of ``SHARP_BANDS`` bands of
-``SHARP_ROWS`` components (above 0.9998 at similarity 0.8, about 0.01 at 0.5), with stars again. What is left are pairs
-of one sharp bucket in different components. One minus the similarity is a metric, so two near copies have nearly the
-same distance to the hub (within 0.2) and nearly the same size; pairs that differ more are ruled out inside the
-join, the others are verified, so no candidate goes untested.
+``SHARP_ROWS`` components (above 0.9998 at similarity 0.8, about 0.01 at 0.5), with stars again. Nodes that then still
+share a bucket with another component are joined exactly with all nodes of those buckets: near copies must share one
+of their rarest elements (prefix filtering by frequency), and every pair that does is verified.
 
 *Verification.* Exact multiset overlap of the candidates' texts, with 64-bit shingle hashes.
 
@@ -39,6 +38,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidewater.llm.common import documents, encode, mix64, saved, starts_of, unit, whole, word_hashes
 from tidewater.llm.components import components
@@ -47,7 +47,6 @@ from tidewater.llm.quality_rules import blocks
 SHINGLE, LEAST = 5, 0.8
 BANDS, ROWS = 32, 6
 SHARP_BANDS, SHARP_ROWS = 192, 14
-STARS = 1
 #: sets of (doc_id, hash, node) keys up to this many rows (about 60 bytes each) may be broadcast
 BROADCAST_KEYS = 300_000
 GOLDEN, STEP2, STEP3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
@@ -247,6 +246,33 @@ def _outside(at: DataFrame, root: DataFrame) -> tuple[DataFrame, DataFrame]:
     return now, saved(now.join(hubs, "key").where("root <> hub_root"), "outside")
 
 
+def _by_rare_elements(nodes: DataFrame, bags: DataFrame, least: float) -> DataFrame:
+    """Pairs (a, b) of an outside node and any other node of another component that may be near copies: prefix filtering.
+
+    Two sets of x and y elements with similarity ``least`` share at least ``need`` = least / (1 + least) * (x + y) elements. With the
+    elements of each in one common order, the first one shared is among the first x - need + 1 and y - need + 1.
+    The order is by frequency, rarest first, so passages that many texts share come last and form no pairs.
+    """
+    @F.pandas_udf("array<long>")
+    def elements(bag: pd.Series) -> pd.Series:
+        return bag.map(lambda b: np.frombuffer(b, np.int64))
+
+    every = bags.select("node", "bag").join(nodes, "node").select("node", "root", "shingles", "_out", F.explode(elements("bag")).alias("e"))
+    every = saved(every, "elements")
+    often = every.groupBy("e").count()
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("count", "e")) - 1
+    first = every.join(often.where("count > 1"), "e", "left").withColumn("count", F.coalesce("count", F.lit(1))).withColumn("p", rank)
+    # nothing shares an element that occurs once; a partner has between least and 1 / least times the size
+    first = saved(first.where((F.col("count") > 1) & (F.col("p") <= (1 - least) * F.col("shingles") + 1)), "prefixes")
+    a = first.where("_out").select("e", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("shingles").alias("na"), F.col("p").alias("pa"))
+    b = first.select("e", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("shingles").alias("nb"), F.col("p").alias("pb"), F.col("_out").alias("ob"))
+    need = F.lit(least / (1 + least)) * (F.col("na") + F.col("nb")) - 1e-6
+    hit = (F.col("ra") != F.col("rb")) & (~F.col("ob") | (F.col("a") < F.col("b")))
+    hit &= (F.least("na", "nb") >= F.lit(least) * F.greatest("na", "nb")) & (F.col("pa") <= F.col("na") - need) & (F.col("pb") <= F.col("nb") - need)
+    pairs = a.join(b, "e").where(hit)
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def classes(docs: DataFrame, shingle: int = SHINGLE, least: float = LEAST, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per row of ``docs``: doc_id, _nd_hash (of the text), node, class (its root node, null for texts
     without a word)."""
@@ -273,35 +299,27 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, least: float = LEAST, bands
 
     # buckets that hold more than one component: their nodes again, in sharper bands
     crowd = now.join(outside.select("key").distinct(), "key", "left_semi").select("node").distinct()
-    sharp = bags.join(crowd, "node", "left_semi").select("node", _sharp_udf(SHARP_BANDS, SHARP_ROWS)(F.col("bag")).alias("bands"))
+    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    sharp = bags.join(crowd, "node", "left_semi").repartition(tasks, "node").select("node", _sharp_udf(SHARP_BANDS, SHARP_ROWS)(F.col("bag")).alias("bands"))
     members = _members(saved(sharp, "sharp")).join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = members.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key")
     members = saved(members.join(mixed, "key", "left_semi").select("key", "node", "central"), "mixed")
     at, more = _stars(members, bags)
     links = saved(links.unionAll(_links(more, least)), "verified")
     root = components(links)
-    # two near copies are at most 1 - least apart, so their distances to a hub differ by no more
-    near = lambda x, y: F.abs(F.col(x) - F.col(y)) <= 1 - least + 1e-9
-    sized = lambda x, y: F.least(x, y) >= F.lit(least) * F.greatest(x, y)
-    for turn in range(STARS + 1):
-        now, outside = _outside(at, root)
-        if outside.isEmpty():
-            break
-        if turn < STARS:        # the most central node outside, against the rest of the bucket
-            other = outside.groupBy("key").agg(F.max(F.struct("central", "node", "root", "far", "shingles")).alias("o"))
-            pairs = (now.join(other, "key").where(F.col("root") != F.col("o.root"))
-                     .where(near("far", "o.far") & sized("shingles", "o.shingles"))
-                     .select(F.col("o.node").alias("a"), F.col("node").alias("b")))
-        else:                   # what is left: pairs of one bucket in different components
-            m = outside.select("key", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("hub_root").alias("rh"),
-                               F.col("far").alias("fa"), F.col("shingles").alias("na"))
-            y = now.where("node <> hub").select("key", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("far").alias("fb"),
-                                                F.col("shingles").alias("nb"))
-            pairs = m.join(y, "key").where(F.expr("ra <> rb and (rb = rh or a < b)") & near("fa", "fb") & sized("na", "nb"))
-        pairs = saved(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-        if not pairs.isEmpty():
-            links = saved(links.unionAll(_links(_similar(pairs, bags, least), least)), "verified")
-            root = components(links)
+    now, outside = _outside(at, root)
+    if outside.isEmpty():
+        return _classed(found, root)
+
+    # what is left lies in one sharp bucket with others, but not in their component: an exact join of those nodes with
+    # all nodes of these buckets, by their rarest elements
+    left = outside.select("node").distinct().withColumn("_out", F.lit(True))
+    nodes = now.join(outside.select("key").distinct(), "key", "left_semi").select("node", "root", "shingles").distinct()
+    nodes = saved(nodes.join(left, "node", "left").withColumn("_out", F.coalesce("_out", F.lit(False))), "left")
+    pairs = saved(_by_rare_elements(nodes, bags, least), "pairs")
+    if not pairs.isEmpty():
+        links = saved(links.unionAll(_links(_similar(pairs, bags, least), least)), "verified")
+        root = components(links)
     return _classed(found, root)
 
 
