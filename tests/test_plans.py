@@ -2,18 +2,19 @@
 
 import pytest
 
-from __spark_entry__ import queries
+from tidewater.plans.registry import QUERIES
 
 from conftest import SF_SMALL
 
 STREAMING = {"word_count_stream", "event_time_tumbling", "resumable_ingest", "running_max_stream",
              "count_sliding_stream", "order_timeout_stream", "retract_changelog_stream", "tumble_sql_stream",
              "sales_dashboard_stream", "order_timeout_drain_stream", "count_tumbling_stream",
-             "split_even_odd_stream", "late_refires_stream"}
+             "split_even_odd_stream", "late_refires_stream", "late_side_output_stream", "sliding_sum_stream",
+             "session_sum_stream", "json_status_stream"}
 
 
 def _plan(spark, name):
-    df = queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     return df._jdf.queryExecution().executedPlan().toString()
 
 
@@ -43,7 +44,7 @@ def test_word_count_combines_on_the_map_side(spark):
     assert "partial_count(1)" in _plan(spark, "word_count")
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - STREAMING))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - STREAMING))
 def test_no_cartesian_product_and_no_python_udf(spark, name):
     plan = _plan(spark, name)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

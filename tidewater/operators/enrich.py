@@ -1,8 +1,8 @@
 """Lookup enrichment against a dimension (the broadcast-set pattern).
 
-The dimension is sent to every task only after its size is checked; above
-the bound the same left join runs as a shuffle join (and AQE may still pick
-a broadcast at run time from measured sizes).
+A plain left join: Spark broadcasts the dimension when its size in bytes, as
+estimated or as measured at run time (AQE), is below
+``spark.sql.autoBroadcastJoinThreshold``, and shuffles it otherwise.
 """
 
 from __future__ import annotations
@@ -10,9 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows of a lookup table we accept to copy to every executor.
-MAX_BROADCAST_ROWS = 2_000_000
-
 
 def dedupe_last(dim: DataFrame, key: str, order: str) -> DataFrame:
     """One row per key; on duplicate keys the last one by ``order`` wins (map put)."""
@@ -20,25 +17,17 @@ def dedupe_last(dim: DataFrame, key: str, order: str) -> DataFrame:
     return dim.withColumn("_tw_rn", F.row_number().over(w)).where("_tw_rn = 1").drop("_tw_rn")
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (counts at most max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def lookup_join(
     fact: DataFrame,
     dim: DataFrame,
     key: str,
     fields: dict[str, object],
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Left lookup of ``fields`` (name -> default for a missing key) from ``dim``.
 
     ``dim`` must already have one row per key (see :func:`dedupe_last`).
     """
-    small = dim.select(key, *fields.keys())
-    side = F.broadcast(small) if fits_broadcast(small, max_broadcast_rows) else small
-    joined = fact.join(side, on=key, how="left")
+    joined = fact.join(dim.select(key, *fields.keys()), on=key, how="left")
     for name, default in fields.items():
         joined = joined.withColumn(name, F.coalesce(F.col(name), F.lit(default)))
     return joined

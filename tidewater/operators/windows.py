@@ -92,8 +92,9 @@ def session_windows(
                           specs=[RunningSpec("_tw_prev", "max", us, exclusive=True)])
     d = d.withColumn("_tw_new", F.when(F.col("_tw_prev").isNull() | (F.col(us) - F.col("_tw_prev") > gap_us), 1)
                      .otherwise(0))
-    # the second pass reads this frame in two branches: compute it once
-    d = materialize(d.select(*keys, us, tie, value, CHUNK_COLUMN, "_tw_new"))
+    d = d.select(*keys, us, tie, value, CHUNK_COLUMN, "_tw_new")
+    if split:       # the second pass reads this frame in two branches: compute it once
+        d = materialize(d)
     d = running_aggregate(d, keys=keys, order=order, chunk=chunk_col, chunked=split,
                           specs=[RunningSpec("_tw_sid", "sum", "_tw_new")])
     g = d.groupBy(*keys, "_tw_sid").agg(

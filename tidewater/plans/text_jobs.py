@@ -20,14 +20,13 @@ from tidewater.sinks.upsert import UpsertLog
 from tidewater.sources.kafka import decode_json_values
 from tidewater.sources.tables import read_table
 from tidewater.sources.text import read_text_lines, stream_text_lines
+from tidewater.streaming.feed import run_available_now
 
 # Fixed value from the reference program: the token its filter removes.
 FILTERED_WORD = "haha"
 
-# Documents per micro-batch when the corpus is fed through the upsert sink.
-DOCS_PER_BATCH = 256
-# Files (of DOCS_PER_BATCH documents each) a streaming trigger takes.
-STREAM_FILES_PER_TRIGGER = 10
+# Micro-batches in which the corpus is fed through the upsert sink, however many documents there are.
+EPOCHS, STREAM_SLICES = 8, 4
 
 
 def _docs(spark: SparkSession, sf_dir: str, cols=("doc_id", "text")) -> DataFrame:
@@ -118,11 +117,15 @@ def kafka_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kv_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running word counts written batch by batch into a keyed upsert table.
 
-    Batch ``e`` holds the documents ``e * DOCS_PER_BATCH ...``; it writes the new
-    running totals of the words it touched (update-mode output). The table's
+    The corpus is cut into ``EPOCHS`` ranges of doc_id; each writes the new running
+    totals of the words it touched (update-mode output). A word has at most one row per
+    epoch, so the running window of the commonest word stays that short. The table's
     current state is the last write per word.
     """
-    d = _docs(spark, sf_dir).withColumn("epoch", F.floor(F.col("doc_id") / DOCS_PER_BATCH).cast("long"))
+    d = _docs(spark, sf_dir)
+    lo, hi = d.agg(F.min("doc_id"), F.max("doc_id")).first()
+    width = ((hi or 0) - (lo or 0)) // EPOCHS + 1
+    d = d.withColumn("epoch", F.floor((F.col("doc_id") - F.lit(lo or 0)) / F.lit(width)).cast("long"))
     lines = d.select("epoch", F.explode(text_lines_of("text")).alias("line"))
     per_epoch = lines.select("epoch", F.explode(java_split("line")).alias("word")) \
         .groupBy("word", "epoch").agg(F.count(F.lit(1)).alias("n"))
@@ -140,16 +143,17 @@ def word_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live word count: a folder of text files is the line source, update-mode
     counts go through ``foreachBatch`` into the upsert table."""
     src = scratch_path(spark, "wc_stream_src")
-    docs = _docs(spark, sf_dir).withColumn("part", F.floor(F.col("doc_id") / DOCS_PER_BATCH))
-    docs.repartition("part").select("text").write.mode("overwrite").text(src)
-    lines = stream_text_lines(spark, src, max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
+    docs = _docs(spark, sf_dir)
+    docs.limit(0).select("text").write.mode("append").text(src)      # the folder exists before the stream starts
+    lines = stream_text_lines(spark, src)
     counts = lines.select(F.explode(java_split("value")).alias("word")).groupBy("word") \
         .agg(F.count(F.lit(1)).alias("frequency"))
     table = UpsertLog(spark, scratch_path(spark, "wc_stream_table"), "word", "frequency")
-    q = (counts.writeStream.outputMode("update").foreachBatch(table.write_batch)
-         .option("checkpointLocation", scratch_path(spark, "wc_stream_ckpt"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+    query = counts.writeStream.outputMode("update").foreachBatch(table.write_batch)
+    checkpoint = scratch_path(spark, "wc_stream_ckpt")
+    for i in range(STREAM_SLICES):                                   # a slice lands, the stream drains it
+        docs.where(F.pmod("doc_id", F.lit(STREAM_SLICES)) == i).select("text").write.mode("append").text(src)
+        run_available_now(query, checkpoint)
     return table.current()
 
 

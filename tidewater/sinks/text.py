@@ -1,7 +1,7 @@
 """Text sink: one line per row, overwrite.
 
 Each task writes its own file (a folder of part files). ``single_file``
-coalesces to one task and is only for results known to be small.
+gathers the rows in one task and is only for results known to be small.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ def write_text(df: DataFrame, path: str, column: str = "value", single_file: boo
                compression: str | None = None) -> None:
     out = df.select(df[column].cast("string").alias("value"))
     if single_file:
-        out = out.coalesce(1)
+        out = out.repartition(1)      # one writer; the work above keeps its tasks
     writer = out.write.mode("overwrite")
     if compression:
         writer = writer.option("compression", compression)
