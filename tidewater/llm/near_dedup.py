@@ -47,6 +47,8 @@ from tidewater.llm.quality_rules import blocks
 SHINGLE, LEAST = 5, 0.8
 BANDS, ROWS = 32, 6
 SHARP_BANDS, SHARP_ROWS = 192, 14
+#: characters of text worked on at once (or one text): about 20 arrays of 8 bytes a shingle are alive
+BLOCK = 2 << 20
 #: sets of (doc_id, hash, node) keys up to this many rows (about 60 bytes each) may be broadcast
 BROADCAST_KEYS = 300_000
 GOLDEN, STEP2, STEP3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
@@ -154,7 +156,7 @@ def _nodes_udf(size: int, bands: int, rows: int):
     def node(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for s in parts:
             out = []
-            for texts in blocks(s):
+            for texts in blocks(s, BLOCK):
                 h, doc, lens = shingles(texts, size)
                 distinct, weight, owner = weighted(h, doc)
                 keys = band_keys(bag_minhash(distinct, weight, owner, len(texts), bands * rows), bands, rows)
@@ -170,7 +172,7 @@ def _bag_udf(size: int):
     def bag(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in parts:
             out = []
-            for texts in blocks(s):
+            for texts in blocks(s, BLOCK):
                 h, doc, _ = shingles(texts, size)
                 order = np.argsort(doc, kind="stable")
                 cut = np.searchsorted(doc[order], np.arange(len(texts) + 1))
