@@ -69,6 +69,7 @@ def copy_report(docs: DataFrame, key: str = "doc_id", text: str = "text", prefix
     rows = saved(rows, "hashed")
     groups = (rows.where("_xd_again").groupBy(SHA, LEN)
               .agg(F.max(F.struct("doc_id", RID)).alias("_xd_keep"), F.count(F.lit(1)).alias("_xd_n")))
+    groups = saved(groups, "groups")        # a plain join of two tables: the rows of a hot group are split
     survivors = rows.where("_xd_again").join(groups, [SHA, LEN])
     rest = rows.where("_xd_again is null")
     out = survivors.select("doc_id", F.col("_xd_keep.doc_id").alias("keep_id"), F.col("_xd_n").alias("group_size"),
