@@ -335,7 +335,7 @@ def near_copy_report(docs: DataFrame, **how) -> DataFrame:
     rows = saved(classes(docs, **how), "classes")
     sizes = (rows.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
              .where("class_size > 1"))
-    out = rows.join(sizes, "class", "left")
+    out = rows.join(saved(sizes, "sizes"), "class", "left")     # a plain join: the rows of a large class are split
     return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"),
                       F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"),
                       (F.col("class_id").isNull() | F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("kept"))
@@ -347,7 +347,7 @@ def drop_near_copies(docs: DataFrame, **how) -> DataFrame:
     names = docs.columns
     rows = saved(classes(docs, **how), "classes")
     crowd = rows.where("class is not null").groupBy("class").agg(F.count(F.lit(1)).alias("_nd_n")).where("_nd_n > 1")
-    crowd = saved(rows.join(crowd, "class").select(F.col("doc_id").alias("_nd_id"), "_nd_hash", "class").distinct(), "crowd")
+    crowd = saved(rows.join(saved(crowd, "sizes"), "class").select(F.col("doc_id").alias("_nd_id"), "_nd_hash", "class").distinct(), "crowd")
     side = F.broadcast(crowd) if crowd.count() <= BROADCAST_KEYS else crowd
     at = docs.withColumn("_nd_hash", F.xxhash64(whole("text"))).join(
         side.withColumnRenamed("_nd_hash", "_nd_h2").withColumnRenamed("class", "_nd_class"),
