@@ -38,6 +38,13 @@ def test_long_runs_stay_linear():
     assert [s[:3] for s in pii.spans(text) if s[0] in pii.BASE] == want
 
 
+def test_address_parts_of_any_length():
+    for zeros in (5_000, 200_000):
+        text = "0" * zeros + ".1.2.3 " + "1.2.3." + "0" * zeros + "255 1.2.3." + "0" * zeros + "256 1.2.3." + "9" * zeros
+        want = [("ip", 0, zeros + 6), ("ip", zeros + 7, 2 * zeros + 16)]
+        assert [s[:3] for s in pii.spans(text) if s[0] == "ip"] == want
+
+
 def test_checksums_and_context_decide_added_spans():
     assert pii.luhn("4041894974608795") and not pii.luhn("4041894974608796")
     assert pii.mod97("GB82WEST12345698765432") and not pii.mod97("GB82WEST12345698765433")
