@@ -9,12 +9,15 @@ what is left. Reruns agree: nothing depends on partitions or on the time.
 
 The quality weight comes from the text alone (``1 - 0.9 * share of symbols``), so neither sampling
 nor :func:`mixed` has to move a text: a source's selection is a prefix in key order, described by
-one cut, and the cut is found from sums over about sqrt(n) key ranges of the source plus one sorted
-range. No window sees more than about sqrt(n) rows of a source of n rows.
+one cut, and the cut is found from sums over about sqrt(n) key ranges of the source plus the sorted
+values of one range. No window sees more than about sqrt(n) rows of a source of n rows.
 
-Null texts have size 0 and weight 1; null doc_ids hash as the empty text; rows that share doc_id
-and size in a source are taken together or not at all; empty tables give empty results; columns
-beside doc_id, text and source are not looked at.
+Rows that tie in key, doc_id and size are one value of a range. If the cut falls into one, as many of
+its rows are taken as fit, in the order of a hash of the row; only then are the rows of that value
+written once more and cut by ranges of that order. Among equal rows it does not matter which are taken.
+
+Null texts have size 0 and weight 1; null doc_ids hash as the empty text; repeated rows are cut row by
+row; empty tables give empty results; columns beside doc_id, text and source only order rows that tie.
 """
 
 from __future__ import annotations
@@ -72,9 +75,19 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, budget: float = 1.5, most:
                     F.when(F.col("full"), F.col("cap")).otherwise(F.least(F.col("rate") * F.col("w"), F.col("cap"))).alias("target"))
 
 
+def _fitting() -> Column:
+    """How many of _mx_tied equal rows fit after _mx_base: row i does if its middle is not past _mx_rest."""
+    base, size, tied, rest = (F.col(c) for c in ("_mx_base", "_mx_size", "_mx_tied", "_mx_rest"))
+    near = F.floor((rest - base) / size + F.lit(0.5))
+    fits = lambda n: base + n * size - size / 2 <= rest
+    near = F.when(fits(near + 1), near + 1).when(fits(near), near).otherwise(near - 1)
+    return F.when(size > 0, F.greatest(F.lit(0), F.least(near, tied))).when(base <= rest, tied).otherwise(F.lit(0)).cast("long")
+
+
 def plan(sized: DataFrame, **how) -> DataFrame:
     """One row per source: _mx_source, _mx_n, source_size, target, _mx_epochs (whole ones), and
-    where the fractional selection ends: _mx_cut_range, _mx_cut (key, doc_id, size)."""
+    where the fractional selection ends: _mx_cut_range, _mx_cut (key, doc_id, size), the rows of that
+    value (_mx_tied) and how many of them are taken (_mx_fit)."""
     t = saved(source_targets(sized, **how), "targets")
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     t = t.withColumnRenamed("source", "_mx_source").withColumn("_mx_epochs", epochs)
@@ -89,11 +102,15 @@ def plan(sized: DataFrame, **how) -> DataFrame:
     end = saved(end.select(F.col("_mx_source").alias("_mx_s"), F.col("e._mx_range").alias("_mx_cut_range"),
                            F.col("e._mx_base").alias("_mx_base")), "ends")
     last = rows.join(end, F.col("_mx_source").eqNullSafe(F.col("_mx_s")) & (F.col("_mx_range") == F.col("_mx_cut_range")))
-    upto = (Window.partitionBy("_mx_source").orderBy("_mx_key", "doc_id", "_mx_size")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    last = last.withColumn("_mx_cum", F.col("_mx_base") + F.sum("_mx_size").over(upto))
-    cut = (last.where(F.col("_mx_cum") - F.col("_mx_size") / 2 <= F.col("_mx_rest")).groupBy("_mx_source")
-           .agg(F.max(F.struct("_mx_key", "doc_id", "_mx_size")).alias("_mx_cut")).withColumnRenamed("_mx_source", "_mx_s2"))
+    last = last.groupBy("_mx_source", "_mx_rest", "_mx_base", "_mx_key", "doc_id", "_mx_size").agg(F.count(F.lit(1)).alias("_mx_tied"))
+    before = (Window.partitionBy("_mx_source").orderBy("_mx_key", "doc_id", "_mx_size")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    words = F.sum(F.col("_mx_size") * F.col("_mx_tied")).over(before)
+    last = last.withColumn("_mx_base", F.col("_mx_base") + F.coalesce(words, F.lit(0))).withColumn("_mx_fit", _fitting())
+    cut = (last.where("_mx_fit > 0").groupBy("_mx_source")
+           .agg(F.max(F.struct("_mx_key", "doc_id", "_mx_size", "_mx_tied", "_mx_fit")).alias("c")))
+    cut = cut.select(F.col("_mx_source").alias("_mx_s2"), F.struct("c._mx_key", "c.doc_id", "c._mx_size").alias("_mx_cut"),
+                     "c._mx_tied", "c._mx_fit")
     out = t.join(end.drop("_mx_base"), F.col("_mx_source").eqNullSafe(F.col("_mx_s")), "left")
     out = out.join(cut, F.col("_mx_source").eqNullSafe(F.col("_mx_s2")), "left")
     return saved(out.drop("_mx_s", "_mx_s2", "_mx_rest"), "mix-plan")
@@ -101,12 +118,50 @@ def plan(sized: DataFrame, **how) -> DataFrame:
 
 def _copies(rows: DataFrame, how: DataFrame) -> DataFrame:
     """rows (with _mx_size, _mx_key) and the plan's columns, plus _mx_copies."""
+    names = rows.columns
     rows = rows.join(how, F.col("source").eqNullSafe(F.col("_mx_source")))
     here = F.struct("_mx_key", "doc_id", "_mx_size")
-    in_cut = F.col("_mx_cut").isNotNull() & (here <= F.col("_mx_cut"))
     at = _range_of(F.col("_mx_n"))
-    picked = F.coalesce((at < F.col("_mx_cut_range")) | ((at == F.col("_mx_cut_range")) & in_cut), F.lit(False))
-    return rows.withColumn("_mx_copies", F.col("_mx_epochs") + picked.cast("long"))
+    in_cut = (at == F.col("_mx_cut_range")) & F.col("_mx_cut").isNotNull()
+    picked = F.coalesce((at < F.col("_mx_cut_range")) | (in_cut & (here <= F.col("_mx_cut"))), F.lit(False))
+    copies = lambda df, taken: df.withColumn("_mx_copies", F.col("_mx_epochs") + taken.cast("long"))
+    if how.where("_mx_fit < _mx_tied").isEmpty():
+        return copies(rows, picked)
+    split = F.coalesce(in_cut & (here == F.col("_mx_cut")) & (F.col("_mx_fit") < F.col("_mx_tied")), F.lit(False))
+    return copies(rows.where(~split), picked).unionByName(copies(*_first_fitting(rows.where(split), names)).drop("_mx_first"))
+
+
+def _first_fitting(tied: DataFrame, names: list[str]) -> tuple[DataFrame, Column]:
+    """(the rows of values that the cut falls into, whether a row is among the first _mx_fit of its source).
+
+    Their order is a range of the row's hash, the hash, a range of the row's place, the place; the last row
+    taken is found from counts, so no window sees more than about sqrt(_mx_tied) rows and no text moves.
+    """
+    columns = tied.columns
+    parts = F.ceil(F.sqrt("_mx_tied"))
+    plain = [f.name for f in tied.select(*names).schema.fields if "map<" not in f.dataType.simpleString()]
+    tied = saved(tied.withColumn("_mx_hash", F.xxhash64(*plain)).withColumn("_mx_place", F.monotonically_increasing_id())
+                 .withColumn("_mx_part", F.pmod("_mx_hash", parts)).withColumn("_mx_salt", F.pmod(F.xxhash64("_mx_place"), parts)), "tied")
+    group = ["_mx_source", "_mx_part", "_mx_hash", "_mx_salt"]
+    groups = saved(tied.groupBy(*group, "_mx_fit").agg(F.count(F.lit(1)).alias("_mx_rows")), "tied-groups")
+    earlier = lambda *by: Window.partitionBy(*by[0]).orderBy(*by[1]).rowsBetween(Window.unboundedPreceding, -1)
+    ends = groups.groupBy("_mx_source", "_mx_part", "_mx_fit").agg(F.sum("_mx_rows").alias("_mx_rows"))
+    ends = ends.withColumn("_mx_done", F.coalesce(F.sum("_mx_rows").over(earlier(["_mx_source"], ["_mx_part"])), F.lit(0)))
+    here = (F.col("_mx_done") < F.col("_mx_fit")) & (F.col("_mx_done") + F.col("_mx_rows") >= F.col("_mx_fit"))
+    ends = ends.where(here).select(F.col("_mx_source").alias("_mx_s3"), F.col("_mx_part").alias("_mx_p3"), "_mx_done")
+    inside = groups.join(ends, F.col("_mx_source").eqNullSafe(F.col("_mx_s3")) & (F.col("_mx_part") == F.col("_mx_p3")))
+    run = F.coalesce(F.sum("_mx_rows").over(earlier(["_mx_source"], ["_mx_hash", "_mx_salt"])), F.lit(0))
+    inside = inside.withColumn("_mx_done", F.col("_mx_done") + run).where(here)
+    last = F.struct(*group[1:], "_mx_place")
+    inside = inside.select(F.col("_mx_source").alias("_mx_s4"), F.struct(*group[1:]).alias("_mx_g4"),
+                           (F.col("_mx_fit") - F.col("_mx_done")).alias("_mx_need"))
+    row = F.row_number().over(Window.partitionBy("_mx_source").orderBy("_mx_place"))
+    ends = (tied.select(*group, "_mx_place")
+            .join(inside, F.col("_mx_source").eqNullSafe(F.col("_mx_s4")) & (F.struct(*group[1:]) == F.col("_mx_g4")))
+            .withColumn("_mx_row", row).where("_mx_row = _mx_need")
+            .select(F.col("_mx_source").alias("_mx_s5"), last.alias("_mx_last")))
+    tied = tied.join(saved(ends, "tied-ends"), F.col("_mx_source").eqNullSafe(F.col("_mx_s5")))
+    return tied.select(*columns, (last <= F.col("_mx_last")).alias("_mx_first")), F.col("_mx_first")
 
 
 def mix_report(docs: DataFrame, **how) -> DataFrame:
