@@ -104,3 +104,13 @@ def test_review_that_reaches_the_stream_before_its_order(spark, tmp_path):
     ev.write.parquet(f"{tmp_path}/events.parquet")
     got = {r.order_id: r.status for r in QUERIES["order_timeout_stream"](spark, str(tmp_path)).collect()}
     assert got == {3: "reviewed", 4: "auto_good_review"}
+
+
+@pytest.mark.parametrize("name", ["sliding_sum_stream", "session_sum_stream"])
+def test_streams_count_events_with_a_null_value(spark, tmp_path, name):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    ev.withColumn("value", F.when(F.col("event_id") % 5 != 0, F.col("value"))).write.parquet(f"{tmp_path}/events.parquet")
+    con = duck_connection(SF_SMALL)
+    con.execute(f"CREATE OR REPLACE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    res = compare(spark, str(tmp_path), name, QUERIES[name], ORACLE[name], con)
+    assert res["status"] == "match", res

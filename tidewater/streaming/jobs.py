@@ -125,7 +125,7 @@ def sliding_sum_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = _landed_events(spark, sf_dir, ["event_id", "user_id", "ts", "value"], "sliding_stream")
     rows = feed.stream.select("event_id", "user_id", to_event_time("ts").alias("et"), "value").withWatermark("et", OUT_OF_ORDER)
     out = (rows.groupBy("user_id", F.window("et", SLIDE_SIZE, SLIDE_STEP).alias("w"))
-           .agg(F.count("value").alias("event_count"), F.sum(exact_money("value")).cast("double").alias("sum_value")))
+           .agg(F.count(F.lit(1)).alias("event_count"), F.sum(exact_money("value")).cast("double").alias("sum_value")))
     return _windows_out(_sink(spark, feed, out, "sliding_stream"))
 
 
@@ -135,7 +135,7 @@ def session_sum_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = _landed_events(spark, sf_dir, ["event_id", "user_id", "ts", "value"], "session_stream")
     rows = feed.stream.select("event_id", "user_id", to_event_time("ts").alias("et"), "value").withWatermark("et", OUT_OF_ORDER)
     out = (rows.groupBy("user_id", F.session_window("et", SESSION_GAP).alias("w"))
-           .agg(F.count("value").alias("event_count"), F.sum(exact_money("value")).cast("double").alias("sum_value")))
+           .agg(F.count(F.lit(1)).alias("event_count"), F.sum(exact_money("value")).cast("double").alias("sum_value")))
     return _windows_out(_sink(spark, feed, out, "session_stream"))
 
 
