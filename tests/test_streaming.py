@@ -114,3 +114,10 @@ def test_streams_count_events_with_a_null_value(spark, tmp_path, name):
     con.execute(f"CREATE OR REPLACE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
     res = compare(spark, str(tmp_path), name, QUERIES[name], ORACLE[name], con)
     assert res["status"] == "match", res
+
+
+def test_word_stream_holds_documents_without_an_id(spark, tmp_path):
+    rows = [(1, "a b"), (2, "a"), (None, "a c"), (None, "c"), (-3, "b")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.word: r.frequency for r in QUERIES["word_count_stream"](spark, str(tmp_path)).collect()}
+    assert got == {"a": 3, "b": 2, "c": 2}

@@ -152,7 +152,7 @@ def word_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     query = counts.writeStream.outputMode("update").foreachBatch(table.write_batch)
     checkpoint = scratch_path(spark, "wc_stream_ckpt")
     for i in range(STREAM_SLICES):                                   # a slice lands, the stream drains it
-        docs.where(F.pmod("doc_id", F.lit(STREAM_SLICES)) == i).select("text").write.mode("append").text(src)
+        docs.where(F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(STREAM_SLICES)) == i).select("text").write.mode("append").text(src)
         run_available_now(query, checkpoint)
     return table.current()
 
