@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +29,15 @@ def crc_mod(key: str, m: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % m
 
 
+def per_worker(key, make):
+    """What ``make()`` gives, made once in a Python worker process and kept over its tasks. (The modules here are
+    pickled by value, so their own globals are new in every task.)"""
+    box = sys.modules.setdefault("_tidewater_per_worker", types.ModuleType("_tidewater_per_worker")).__dict__
+    if key not in box:
+        box[key] = make()
+    return box[key]
+
+
 #: shuffle files of a write are of no use once its result is on the shared disk
 CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

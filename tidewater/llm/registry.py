@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tidewater.llm import chat, exact_dedup, language, mixing, near_dedup, packing, pii, quality_model, quality_rules, word_model
+from tidewater.llm import (chat, exact_dedup, filter_audit, language, mixing, near_dedup, packing, pii, prefix_trie, quality_model, quality_rules,
+                           token_files, word_model)
 
 QUERIES = {
     "op1_near_dedup": near_dedup.op1_near_dedup,
@@ -15,10 +16,15 @@ QUERIES = {
     "op8_pack": packing.op8_pack,
     "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     "op10_quality_rules": quality_rules.op10_quality_rules,
+    "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op12_prefix_trie": prefix_trie.op12_prefix_trie,
+    "op13_token_files": token_files.op13_token_files,
 }
 
 ORACLE = {
     "op3_chat_format": chat.SQL,
     "op7_mix_sources": mixing.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
+    "op11_filter_audit": filter_audit.SQL,
+    "op12_prefix_trie": prefix_trie.SQL,
 }
