@@ -65,6 +65,14 @@ def discard(df: DataFrame) -> None:
             drop_scratch(df.sparkSession, folder)
 
 
+def whole_row(df: DataFrame, first: str) -> tuple[Column, Column]:
+    """(the row as one struct, what to order rows by: ``first``, then the other columns that have an order). Maps have
+    none, so rows that differ only there are in no order. As a struct a row keeps its columns, whatever names are added."""
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    ordered = [f.name for f in df.schema.fields if f.name != first and not any(x in f.dataType.simpleString() for x in ("map<", "variant"))]
+    return row, F.struct(*[F.col(f"`{c}`") for c in (first, *ordered)])
+
+
 class Ids(dict):
     """Words (bytes) to dense local ids, in order of first use."""
 

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import saved, whole
+from tidewater.llm.common import saved, whole, whole_row
 
 #: code points hashed in the second round
 PREFIX = 256
@@ -38,17 +38,6 @@ def _suspects(docs: DataFrame, text: str, prefix_chars: int) -> DataFrame:
     return saved(some.groupBy(LEN, PRE).count().where("count > 1").select(LEN, PRE), "suspects")
 
 
-def _flagged(docs: DataFrame, text: str, prefix_chars: int) -> DataFrame:
-    """docs with length, prefix hash and the column ``_xd_again`` (true where both occur again)."""
-    suspects = _suspects(docs, text, prefix_chars)
-    keyed = docs.withColumns({LEN: F.octet_length(whole(text)),
-                              PRE: F.xxhash64(F.left(whole(text), F.lit(prefix_chars)))})
-    right = suspects.withColumn("_xd_again", F.lit(True))
-    if suspects.count() <= BROADCAST_KEYS:
-        right = F.broadcast(right)
-    return keyed.join(right, [LEN, PRE], "left")
-
-
 def copy_report(docs: DataFrame, key: str = "doc_id", text: str = "text", prefix_chars: int = PREFIX,
                 digest_all: bool = True) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
@@ -84,13 +73,16 @@ def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", prefix
     Rows whose (length, prefix hash) is unique pass without a shuffle; the others are
     grouped by full hash and the largest (doc_id, remaining columns) stays.
     """
-    names = docs.columns
-    flagged = _flagged(docs, text, prefix_chars)
-    alone = flagged.where("_xd_again is null").select(*names)
-    order = [key, *[c for c in names if c != key]]
-    kept = (flagged.where("_xd_again").withColumn(SHA, F.sha2(whole(text), 256))
-            .groupBy(SHA, LEN).agg(F.max(F.struct(*order)).alias("_xd_row")))
-    return alone.unionAll(kept.select(*[F.col("_xd_row")[c].alias(c) for c in names]))
+    suspects = _suspects(docs, text, prefix_chars)
+    few = suspects.count() <= BROADCAST_KEYS
+    right = suspects.withColumn("_xd_again", F.lit(True))
+    row, order = whole_row(docs, key)
+    keyed = docs.select(row.alias("row"), order.alias("order"), whole(text).alias("_xd_text"), F.octet_length(whole(text)).alias(LEN),
+                        F.xxhash64(F.left(whole(text), F.lit(prefix_chars))).alias(PRE))
+    flagged = keyed.join(F.broadcast(right) if few else right, [LEN, PRE], "left")
+    kept = (flagged.where("_xd_again").withColumn(SHA, F.sha2("_xd_text", 256))
+            .groupBy(SHA, LEN).agg(F.max_by("row", "order").alias("row")))
+    return flagged.where("_xd_again is null").select("row").unionAll(kept.select("row")).select("row.*")
 
 
 def op9_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -17,10 +17,12 @@ probability above 0.9999. Texts with the same words are one node before banding.
 all nodes are held against one hub, the node with the most bucket mates over all its bands, which in a
 group of edited copies is the text they come from (a star, linear in the bucket); verified links are
 contracted to components. Buckets that still hold several components are mostly texts that share passages
-without being near copies. Their nodes get a second, sharper signature of ``SHARP_BANDS`` bands of
+without being near copies. One minus the similarity is a distance with a triangle inequality, so a node outside of its hub's component at distance d
+from the hub can only be a near copy of nodes at distance d - 0.2 or more: the nodes nearer to the hub, most of a large
+family, leave the bucket without loss. The nodes that stay get a second, sharper signature of ``SHARP_BANDS`` bands of
 ``SHARP_ROWS`` components (above 0.9998 at similarity 0.8, about 0.01 at 0.5), with stars again. Nodes that then still
-share a bucket with another component are joined exactly with all nodes of those buckets: near copies must share one
-of their rarest elements (prefix filtering by frequency), and every pair that does is verified.
+share a bucket with another component are joined exactly with the nodes that stay in those buckets: near copies must share one
+of their rarest elements (prefix filtering by frequency, a prefix for every band of sizes that a partner may have), and every pair that does is verified.
 
 *Verification.* Exact multiset overlap of the candidates' texts, with 64-bit shingle hashes.
 
@@ -40,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewater.llm.common import documents, encode, mix64, saved, starts_of, unit, whole, word_hashes
+from tidewater.llm.common import documents, encode, mix64, saved, starts_of, unit, whole, whole_row, word_hashes
 from tidewater.llm.components import components
 from tidewater.llm.quality_rules import blocks
 
@@ -51,6 +53,8 @@ SHARP_BANDS, SHARP_ROWS = 192, 14
 BLOCK = 2 << 20
 #: sets of (doc_id, hash, node) keys up to this many rows (about 60 bytes each) may be broadcast
 BROADCAST_KEYS = 300_000
+#: ratio of the sizes at the ends of a band of the exact join
+SIZE_STEP = 1.06
 GOLDEN, STEP2, STEP3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
 
 
@@ -206,46 +210,52 @@ def _overlap_udf():
     return overlap
 
 
-def _similar(pairs: DataFrame, bags: DataFrame, least: float = 0.0) -> DataFrame:
-    """The pairs (a, b) with the similarity of their texts, as far as their sizes allow ``least``. A hub's many pairs
-    are split by the skew join."""
-    a = bags.select(F.col("node").alias("a"), F.col("bag").alias("bag_a"), F.col("shingles").alias("n_a"))
-    b = bags.select(F.col("node").alias("b"), F.col("bag").alias("bag_b"), F.col("shingles").alias("n_b"))
-    if least > 0:
-        sized = pairs.join(b.select("b", "n_b"), "b").join(a.select("a", "n_a"), "a")
-        pairs = sized.where(F.least("n_a", "n_b") >= F.lit(least) * F.greatest("n_a", "n_b")).select("a", "b")
+def _similar(pairs: DataFrame, bags: DataFrame) -> DataFrame:
+    """The pairs (a, b) with the similarity of their texts. A hub's many pairs are split by the skew join."""
+    a = bags.select(F.col("node").alias("a"), F.col("bag").alias("bag_a"))
+    b = bags.select(F.col("node").alias("b"), F.col("bag").alias("bag_b"))
     both = pairs.join(a, "a").join(b, "b")
     return both.select("a", "b", _overlap_udf()("bag_a", "bag_b").alias("sim"))
 
 
 def _members(bands: DataFrame) -> DataFrame:
-    """(key, node, central) of the buckets with two nodes or more; bands: (node, bands)."""
-    keys = bands.select("node", F.explode("bands").alias("key"))
-    shared = keys.groupBy("key").count().where("count > 1").select("key")
+    """(key, node, shingles, central) of the buckets with two nodes or more; bands: (node, shingles, bands)."""
+    keys = bands.select("node", "shingles", F.explode("bands").alias("key"))
+    shared = keys.groupBy("key").count().where("count > 1")
     members = saved(keys.join(shared, "key"), "members")
-    central = members.join(members.groupBy("key").count(), "key").groupBy("node").agg(F.sum("count").alias("central"))
-    return saved(members.join(central, "node").select("key", "node", "central"), "central")
+    central = members.groupBy("node").agg(F.sum("count").alias("central"))
+    return saved(members.join(central, "node").select("key", "node", "shingles", "central"), "central")
 
 
-def _stars(members: DataFrame, bags: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All nodes of every bucket against its hub: (the buckets with the hub, the size and the distance to the hub of
-    every node, the similarities of the pairs tried)."""
-    hub = members.groupBy("key").agg(F.max(F.struct("central", "node")).alias("hub")).select("key", F.col("hub.node").alias("hub"))
-    at = members.join(hub, "key").select("key", "node", "central", "hub", F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
-    sims = saved(_similar(at.where("node <> hub").select("a", "b").distinct(), bags), "similarities")
-    at = at.join(sims, ["a", "b"], "left").join(bags.select("node", "shingles"), "node")
-    return saved(at.select("key", "node", "central", "hub", "shingles", F.coalesce(1 - F.col("sim"), F.lit(0.0)).alias("far")), "stars"), sims
+def _stars(members: DataFrame, bags: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """All nodes of every bucket against its hub: (the buckets with the hub and the least and the greatest distance to the
+    hub that a node may have, the similarities of the pairs tried). Pairs whose sizes rule out ``least`` are not tried."""
+    hub = members.groupBy("key").agg(F.max(F.struct("central", "node", "shingles")).alias("hub"))
+    at = members.join(hub.select("key", F.col("hub.node").alias("hub"), F.col("hub.shingles").alias("hub_size")), "key")
+    at = at.select("key", "node", "hub", F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"),
+                   (F.least("shingles", "hub_size") / F.greatest("shingles", "hub_size")).alias("ratio"))
+    tried = at.where((F.col("node") != F.col("hub")) & (F.col("ratio") >= least)).select("a", "b").distinct()
+    sims = saved(_similar(tried, bags), "similarities")
+    at = at.join(sims, ["a", "b"], "left")
+    own = F.when(F.col("node") == F.col("hub"), F.lit(0.0)).otherwise(1 - F.col("sim"))
+    return saved(at.select("key", "node", "hub", F.coalesce(own, 1 - F.col("ratio")).alias("near"), F.coalesce(own, F.lit(1.0)).alias("far")), "stars"), sims
 
 
 def _links(pairs: DataFrame, least: float) -> DataFrame:
     return pairs.where(F.col("sim") >= least).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
-def _outside(at: DataFrame, root: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(the buckets with the component of every node, the nodes that are not in the component of their hub)."""
+def _open(at: DataFrame, root: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """(the buckets' nodes that are not in the component of their hub, those and the nodes that may be near copies of one of
+    them) as (key, node, root). A settled node is left out where the triangle inequality rules it out; the conditions
+    are inside the joins, so settled rows are never made."""
     now = saved(at.join(root, "node", "left").withColumn("root", F.coalesce("root", "node")), "labelled")
-    hubs = now.where("node = hub").select("key", F.col("root").alias("hub_root"))
-    return now, saved(now.join(hubs, "key").where("root <> hub_root"), "outside")
+    hubs = now.where("node = hub").select(F.col("key").alias("_k"), F.col("root").alias("hub_root"))
+    outside = now.join(hubs, (F.col("key") == F.col("_k")) & (F.col("root") != F.col("hub_root")))
+    outside = saved(outside.select("key", "node", "root", "hub_root", "near"), "outside")
+    limit = outside.groupBy(F.col("key").alias("_k")).agg(F.first("hub_root").alias("hub_root"), F.min("near").alias("nearest"))
+    may = (F.col("root") != F.col("hub_root")) | (F.col("far") >= F.col("nearest") - (1 - least) - 1e-9)
+    return outside, now.join(limit, (F.col("key") == F.col("_k")) & may).select("key", "node", "root")
 
 
 def _by_rare_elements(nodes: DataFrame, bags: DataFrame, least: float) -> DataFrame:
@@ -263,15 +273,24 @@ def _by_rare_elements(nodes: DataFrame, bags: DataFrame, least: float) -> DataFr
     every = saved(every, "elements")
     often = every.groupBy("e").count()
     rank = F.row_number().over(Window.partitionBy("node").orderBy("count", "e")) - 1
-    first = every.join(often.where("count > 1"), "e", "left").withColumn("count", F.coalesce("count", F.lit(1))).withColumn("p", rank)
     # nothing shares an element that occurs once; a partner has between least and 1 / least times the size
-    first = saved(first.where((F.col("count") > 1) & (F.col("p") <= (1 - least) * F.col("shingles") + 1)), "prefixes")
-    a = first.where("_out").select("e", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("shingles").alias("na"), F.col("p").alias("pa"))
-    b = first.select("e", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("shingles").alias("nb"), F.col("p").alias("pb"), F.col("_out").alias("ob"))
+    first = every.join(often.where("count > 1"), "e", "left").withColumn("count", F.coalesce("count", F.lit(1))).withColumn("p", rank)
+    first = first.where((F.col("count") > 1) & (F.col("p") <= (1 - least) * F.col("shingles") + 1))
+    # one prefix for every band of partner sizes, with the least size of the band: texts of one size meet at their first ninth only
+    steps = int(np.ceil(np.log(1 / least) / np.log(SIZE_STEP)))
+    own = F.floor(F.log(F.col("shingles").cast("double")) / np.log(SIZE_STEP) + 1e-9).cast("int")
+    first = first.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.col("own") - steps, F.col("own") + steps)))
+    smallest = F.greatest(F.pow(F.lit(SIZE_STEP), F.col("other").cast("double")) * (1 - 1e-6), least * F.col("shingles"))
+    first = first.where(F.col("p") <= F.col("shingles") - F.lit(least / (1 + least)) * (F.col("shingles") + smallest) + 1e-6)
+    first = saved(first.select("node", "root", "shingles", "_out", "e", "p", "own", "other"), "prefixes")
+    a = first.where("_out").select("e", F.col("own").alias("ba"), F.col("other").alias("bb"), F.col("node").alias("a"), F.col("root").alias("ra"),
+                                   F.col("shingles").alias("na"), F.col("p").alias("pa"))
+    b = first.select("e", F.col("other").alias("ba"), F.col("own").alias("bb"), F.col("node").alias("b"), F.col("root").alias("rb"),
+                     F.col("shingles").alias("nb"), F.col("p").alias("pb"), F.col("_out").alias("ob"))
     need = F.lit(least / (1 + least)) * (F.col("na") + F.col("nb")) - 1e-6
     hit = (F.col("ra") != F.col("rb")) & (~F.col("ob") | (F.col("a") < F.col("b")))
     hit &= (F.least("na", "nb") >= F.lit(least) * F.greatest("na", "nb")) & (F.col("pa") <= F.col("na") - need) & (F.col("pb") <= F.col("nb") - need)
-    pairs = a.join(b, "e").where(hit)
+    pairs = a.join(b, ["e", "ba", "bb"]).where(hit)
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -292,35 +311,35 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, least: float = LEAST, bands
     texts = docs.join(side, "_nd_hash").where(F.col("doc_id").eqNullSafe(F.col("_w_id")))
     bags = saved(texts.select("node", "shingles", _bag_udf(shingle)(F.col("text")).alias("bag")).dropDuplicates(["node"]), "bags")
 
-    at, tested = _stars(members, bags)
+    at, tested = _stars(members, bags, least)
     links = saved(_links(tested, least), "verified")
     root = components(links)
-    now, outside = _outside(at, root)
+    outside, open_ = _open(at, root, least)
     if outside.isEmpty():
         return _classed(found, root)
 
-    # buckets that hold more than one component: their nodes again, in sharper bands
-    crowd = now.join(outside.select("key").distinct(), "key", "left_semi").select("node").distinct()
+    # buckets that hold more than one component: the nodes that may still be linked again, in sharper bands
+    crowd = open_.select("node").distinct()
     tasks = max(docs.sparkSession.sparkContext.defaultParallelism, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    sharp = bags.join(crowd, "node", "left_semi").repartition(tasks, "node").select("node", _sharp_udf(SHARP_BANDS, SHARP_ROWS)(F.col("bag")).alias("bands"))
+    sharp = bags.join(crowd, "node", "left_semi").repartition(tasks, "node").select("node", "shingles", _sharp_udf(SHARP_BANDS, SHARP_ROWS)(F.col("bag")).alias("bands"))
     members = _members(saved(sharp, "sharp")).join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = members.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key")
-    members = saved(members.join(mixed, "key", "left_semi").select("key", "node", "central"), "mixed")
-    at, more = _stars(members, bags)
+    members = saved(members.join(mixed, "key", "left_semi").select("key", "node", "shingles", "central"), "mixed")
+    at, more = _stars(members, bags, least)
     links = saved(links.unionAll(_links(more, least)), "verified")
     root = components(links)
-    now, outside = _outside(at, root)
+    outside, open_ = _open(at, root, least)
     if outside.isEmpty():
         return _classed(found, root)
 
     # what is left lies in one sharp bucket with others, but not in their component: an exact join of those nodes with
-    # all nodes of these buckets, by their rarest elements
+    # the nodes of these buckets that may be their near copies, by their rarest elements
     left = outside.select("node").distinct().withColumn("_out", F.lit(True))
-    nodes = now.join(outside.select("key").distinct(), "key", "left_semi").select("node", "root", "shingles").distinct()
+    nodes = open_.select("node", "root").distinct().join(bags.select("node", "shingles"), "node")
     nodes = saved(nodes.join(left, "node", "left").withColumn("_out", F.coalesce("_out", F.lit(False))), "left")
     pairs = saved(_by_rare_elements(nodes, bags, least), "pairs")
     if not pairs.isEmpty():
-        links = saved(links.unionAll(_links(_similar(pairs, bags, least), least)), "verified")
+        links = saved(links.unionAll(_links(_similar(pairs, bags), least)), "verified")
         root = components(links)
     return _classed(found, root)
 
@@ -344,18 +363,16 @@ def near_copy_report(docs: DataFrame, **how) -> DataFrame:
 def drop_near_copies(docs: DataFrame, **how) -> DataFrame:
     """``docs`` with one document of each class (its smallest doc_id), all columns unchanged. Documents that are
     alone in their class pass as they are; the others are grouped by class."""
-    names = docs.columns
     rows = saved(classes(docs, **how), "classes")
     crowd = rows.where("class is not null").groupBy("class").agg(F.count(F.lit(1)).alias("_nd_n")).where("_nd_n > 1")
-    crowd = saved(rows.join(saved(crowd, "sizes"), "class").select(F.col("doc_id").alias("_nd_id"), "_nd_hash", "class").distinct(), "crowd")
+    crowd = saved(rows.join(saved(crowd, "sizes"), "class").select(
+        F.col("doc_id").alias("_id2"), F.col("_nd_hash").alias("_hash2"), "class").distinct(), "crowd")
     side = F.broadcast(crowd) if crowd.count() <= BROADCAST_KEYS else crowd
-    at = docs.withColumn("_nd_hash", F.xxhash64(whole("text"))).join(
-        side.withColumnRenamed("_nd_hash", "_nd_h2").withColumnRenamed("class", "_nd_class"),
-        (F.col("_nd_hash") == F.col("_nd_h2")) & F.col("doc_id").eqNullSafe(F.col("_nd_id")), "left")
-    order = ["doc_id", *[c for c in names if c != "doc_id"]]
-    one = (at.where("_nd_class is not null").groupBy("_nd_class").agg(F.min(F.struct(*order)).alias("_nd_row"))
-           .select(*[F.col("_nd_row")[c].alias(c) for c in names]))
-    return at.where("_nd_class is null").select(*names).unionAll(one)
+    row, order = whole_row(docs, "doc_id")
+    at = docs.select(row.alias("row"), order.alias("order"), F.col("doc_id").alias("_id"), F.xxhash64(whole("text")).alias("_hash"))
+    at = at.join(side, (F.col("_hash") == F.col("_hash2")) & F.col("_id").eqNullSafe(F.col("_id2")), "left")
+    one = at.where("class is not null").groupBy("class").agg(F.min_by("row", "order").alias("row"))
+    return at.where("class is null").select("row").unionAll(one.select("row")).select("row.*")
 
 
 def op1_near_dedup(spark, sf_dir: str) -> DataFrame:
