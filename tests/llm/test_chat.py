@@ -26,6 +26,25 @@ def test_deltas_edits_regenerations_and_deletions_fold(spark):
     assert chat.fold_events(spark.createDataFrame([], EVENTS)).count() == 0
 
 
+def test_events_of_one_seq_apply_in_the_order_of_kind_and_text(spark):
+    log = [
+        (1, 0, 0, "open", "user", None), (1, 0, 1, "delta", None, "same "), (1, 0, 1, "edit", None, "NEW"),            # the edit comes after the delta
+        (2, 0, 0, "open", "user", None), (2, 0, 1, "delta", None, "old"), (2, 0, 1, "regenerate", None, None), (2, 0, 2, "delta", None, "new"),
+        (3, 0, 0, "open", "user", None), (3, 0, 1, "edit", None, "b"), (3, 0, 1, "edit", None, "a"), (3, 0, 1, "edit", None, "b"), (3, 0, 2, "delta", None, "!"),
+        (4, 0, 0, "open", "user", None), (4, 0, 1, "edit", None, "back"), (4, 0, 1, "delete", None, None),             # the deletion comes first
+        (5, 0, 0, "open", "user", None), (5, 0, 1, "delta", None, "x"), (5, 0, 1, "delta", None, "x"),                 # repeated events count each time
+    ]
+    got = {r.conv_id: r.text for r in chat.fold_events(spark.createDataFrame(log, EVENTS)).collect()}
+    assert got == {1: "NEW", 2: "new", 3: "b!", 4: "back", 5: "xx"}
+
+
+def test_log_of_rows_has_drafts_that_are_replaced(spark):
+    rows = [(1, t, "user", f"text {t}") for t in range(6)] + [(1, None, None, None)]
+    log = chat.events_of_rows(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert {r.kind for r in log.collect()} == {"open", "delta", "edit", "regenerate"}
+    assert sorted((r.role, r.text) for r in chat.fold_events(log).collect()) == sorted((r or "", t or "") for *_, r, t in rows)
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.text(alphabet="\\012<|>s/[]INST turnexd\n", max_size=40), min_size=1, max_size=30))
 def test_escaping_is_reversible_and_leaves_no_control_string(spark, texts):

@@ -47,3 +47,15 @@ def test_dropping_keeps_all_columns_and_one_row_of_a_group(docs_of):
 def test_empty_table(docs_of):
     empty = docs_of(AWKWARD).where("false")
     assert exact_dedup.copy_report(empty).count() == 0 and exact_dedup.drop_copies(empty).count() == 0
+
+
+def test_maps_and_clashing_names_are_carried(docs_of):
+    from pyspark.sql import functions as F
+
+    docs = docs_of(AWKWARD).withColumn("m", F.create_map(F.lit("k"), F.col("doc_id")))
+    for name in ("_xd_len", "_xd_prefix", "_xd_sha", "row", "a.b"):
+        docs = docs.withColumn(name, F.lit(name))
+    out = exact_dedup.drop_copies(docs)
+    rows = out.collect()
+    assert out.columns == docs.columns and len(rows) == len({t or "" for _, t, *_ in AWKWARD})
+    assert all(r["_xd_len"] == "_xd_len" and r["a.b"] == "a.b" and r["m"] == {"k": r["doc_id"]} for r in rows)

@@ -90,6 +90,58 @@ def test_classes_equal_brute_force(docs_of):
             assert (got[d].class_id, got[d].class_size, got[d].kept) == (min(ids), len(ids), d == min(ids))
 
 
+def shared_passages(seed=11, per=45):
+    """Families of one size whose texts share most of a template: similarities on both sides of 0.8."""
+    rng = random.Random(seed)
+    rows = []
+    for g in range(3):
+        base = [f"t{g}_{i}" for i in range(150)]
+        rows += [edited(base, rng.choice([1, 2, 4, 5, 6, 7, 9, 12]), rng) for _ in range(per)]
+        rows += [" ".join(base[:75] + [f"o{g}_{k}_{i}" for i in range(75)]) for k in range(12)]
+        rows += [" ".join(base[:n]) for n in (120, 122, 135, 140)]
+    return [(i, t) for i, t in enumerate(rows)]
+
+
+def test_crowded_buckets_equal_brute_force(docs_of, monkeypatch):
+    """Few, loose bands: families with many texts outside of their hub's component go through all three stages."""
+    rows, seen = shared_passages(), []
+    plain = near_dedup._by_rare_elements
+    monkeypatch.setattr(near_dedup, "_by_rare_elements", lambda *a: seen.append(1) or plain(*a))
+    got = {r.doc_id: r for r in near_dedup.near_copy_report(docs_of(rows)).collect()}
+    for group in classes_by_brute_force(rows):
+        ids = [rows[i][0] for i in group]
+        assert {(got[d].class_id, got[d].class_size) for d in ids} == {(min(ids), len(ids))}
+    assert seen
+
+
+def test_prefix_join_finds_every_pair_of_different_sizes(spark):
+    rng = random.Random(8)
+    bags = [rng.sample(range(400), rng.randrange(20, 60)) for _ in range(30)]
+    for k in range(60):
+        own = list(bags[rng.randrange(30)])
+        for _ in range(rng.randrange(0, 9)):
+            own.pop()
+        bags.append(own + [1000 + 50 * k + i for i in range(rng.randrange(0, 9))])
+    pack = [near_dedup.packed_bag(near_dedup.mix64(np.asarray(b, np.uint64))) for b in bags]
+    frame = spark.createDataFrame([(bytes([i]), len(b), p) for i, (b, p) in enumerate(zip(bags, pack))], "node binary, shingles long, bag binary")
+    nodes = frame.select("node", "shingles", frame["node"].alias("root"), (frame["shingles"] > 0).alias("_out"))
+    got = {(r.a[0], r.b[0]) for r in near_dedup._by_rare_elements(nodes, frame, 0.8).collect()}
+    want = {(i, j) for j in range(len(bags)) for i in range(j) if near_dedup.similarity(pack[i], pack[j]) >= 0.8}
+    assert len(want) > 20 and want <= got
+
+
+def test_maps_and_clashing_names_are_carried(docs_of):
+    from pyspark.sql import functions as F
+
+    docs = docs_of(AWKWARD).withColumn("m", F.create_map(F.lit("k"), F.col("doc_id")))
+    for name in ("_nd_hash", "_nd_class", "_id", "row", "order", "node", "a.b"):
+        docs = docs.withColumn(name, F.lit(name))
+    out = near_dedup.drop_near_copies(docs)
+    assert out.columns == docs.columns
+    rows = out.collect()
+    assert all(r["_nd_hash"] == "_nd_hash" and r["a.b"] == "a.b" and r["m"] == {"k": r["doc_id"]} for r in rows) and len(rows) == len(AWKWARD) - 4
+
+
 def test_dropping_keeps_one_of_a_class_with_all_columns(docs_of):
     rows = family()
     docs = docs_of(rows)

@@ -82,3 +82,15 @@ def test_awkward_rows(docs_of):
     assert packing.packed(docs_of(AWKWARD).where("false")).count() == 0
     with_ids = packing.packed(docs_of([(1, "hello world")]), with_ids=True).collect()
     assert np.frombuffer(with_ids[0].ids, "<u4").tolist() == [*tokenizer().encode("hello world").ids, 1]
+
+
+def test_a_repeated_row_is_spread_over_ranges(docs_of, monkeypatch):
+    """A row that makes up most of the table is placed like any other: its copies lie in many hash ranges."""
+    rows = [(7, "the same row")] * 900 + [(i, f"text {i}") for i in range(100)]
+    seen = []
+    plain = packing.placed
+    monkeypatch.setattr(packing, "placed", lambda cut, *a: seen.append(cut) or plain(cut, *a))
+    out = packing.packed(docs_of(rows)).collect()
+    check(out, rows)
+    places = seen[0].where("doc_id = 7").selectExpr("pmod(xxhash64(doc_id, start, ids_crc32, _pk_place), 31) AS r").groupBy("r").count().collect()
+    assert len(places) > 20 and max(p["count"] for p in places) < 90

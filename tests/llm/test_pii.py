@@ -63,3 +63,21 @@ def test_query(spark, docs_of, tables):
     assert r.spans == "email:2:8,ip:10:18,card:20:36,phone:37:54"
     blank = next(r for r in got if r.doc_id == 1)
     assert blank.spans == "" and blank.base_sha256 == "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
+
+
+def test_many_spans_take_linear_time():
+    import time
+
+    text = "call 555 123 4567 or mail a@b.org, tel. (030) 123456 phone 555-987-6543 " * 4000
+    began = time.process_time()
+    found = pii.spans(text)
+    assert len(found) > 8000 and time.process_time() - began < 20
+    own = [(a, b) for _, a, b, _ in found]
+    added = [s for s in found if s[0] not in pii.BASE]
+    for kind, a, b, _ in added[::97]:
+        assert sum(x < b and a < y for x, y in own) == 1        # an added span meets no other
+
+
+def test_scores_are_a_column(docs_of, tables, spark):
+    rows = pii.op4_pii(spark, tables(documents=docs_of([(1, "mail a@b.org now"), (2, None)]))).collect()
+    assert {r.doc_id: len(r.span_scores) for r in rows} == {1: 1, 2: 0}

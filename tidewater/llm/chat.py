@@ -48,20 +48,20 @@ def unescaped(c: Column) -> Column:
 
 def fold_events(events: DataFrame) -> DataFrame:
     """One row per remaining message: conv_id, msg, role, text."""
-    e = events.select("conv_id", "msg", "seq", "kind", "role", F.coalesce("text", F.lit("")).alias("text"))
-    resets = (e.where(F.col("kind").isin(*RESETS)).groupBy("conv_id", "msg")
-              .agg(F.max("seq").alias("_from")).select(F.col("conv_id").alias("_c"), F.col("msg").alias("_m"), "_from"))
+    e = events.select("conv_id", "msg", "role", F.struct("seq", "kind", F.coalesce("text", F.lit("")).alias("text")).alias("at"))
+    resets = (e.where(F.col("at.kind").isin(*RESETS)).groupBy("conv_id", "msg")
+              .agg(F.max("at").alias("_from")).select(F.col("conv_id").alias("_c"), F.col("msg").alias("_m"), "_from"))
     e = e.join(resets, F.col("conv_id").eqNullSafe(F.col("_c")) & F.col("msg").eqNullSafe(F.col("_m")), "left")
-    live = e.where(F.col("_from").isNull() | (F.col("seq") >= F.col("_from")) | (F.col("kind") == "open"))
-    has_text = F.col("kind").isin("delta", "edit") & (F.col("_from").isNull() | (F.col("seq") >= F.col("_from")))
-    piece = F.when(has_text, F.struct("seq", "kind", "text"))
+    after = F.col("_from").isNull() | (F.col("at") > F.col("_from"))
+    opens = F.col("at.kind") == "open"
+    live = e.where(after | opens | (F.col("at") == F.col("_from")))
     out = live.groupBy("conv_id", "msg").agg(
-        F.min(F.when(F.col("kind") == "open", F.struct("seq", "role"))).alias("_open"),
-        F.max((F.col("kind") == "delete") & (F.col("seq") == F.col("_from"))).alias("_gone"),
-        F.array_sort(F.collect_list(piece)).alias("_pieces"))
-    return out.where("not coalesce(_gone, false)").select(
+        F.min(F.when(opens, F.struct("at.seq", "role"))).alias("_open"), F.max("_from").alias("_from"),
+        F.array_sort(F.collect_list(F.when(after & (F.col("at.kind") == "delta"), F.col("at")))).alias("_pieces"))
+    start = F.when(F.col("_from.kind") == "edit", F.col("_from.text")).otherwise(F.lit(""))
+    return out.where("coalesce(_from.kind <> 'delete', true)").select(
         "conv_id", "msg", F.coalesce(F.col("_open.role"), F.lit("")).alias("role"),
-        F.array_join(F.transform("_pieces", lambda p: p["text"]), "").alias("text"))
+        F.concat(start, F.array_join(F.transform("_pieces", lambda p: p["text"]), "")).alias("text"))
 
 
 def render(messages: DataFrame) -> DataFrame:
@@ -95,15 +95,23 @@ def loss_text(segments: Column) -> Column:
 
 
 def events_of_rows(conversations: DataFrame) -> DataFrame:
-    """The event log of a table of finished turns (conv_id, turn, role, text): one opening
-    and one delta per row. Rows that share a turn stay separate, in the order of role and text."""
+    """An event log whose messages are a table of finished turns (conv_id, turn, role, text). By the turn's number a message
+    is streamed in two deltas, or a draft (its first half) that a regeneration discards and later deltas replace, or a draft that an
+    edit replaces. Rows that share a turn stay separate, in the order of role and text."""
     w = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
     rows = conversations.select("conv_id", "turn", "role", "text").withColumn("ord", F.row_number().over(w))
     rows = rows.withColumn("msg", F.struct("turn", "ord"))
-    event = F.explode(F.array(
-        F.struct(F.lit(0).alias("seq"), F.lit("open").alias("kind"), "role", F.lit(None).cast("string").alias("text")),
-        F.struct(F.lit(1).alias("seq"), F.lit("delta").alias("kind"), F.lit(None).cast("string").alias("role"), "text")))
-    return rows.select("conv_id", "msg", event.alias("e")).select("conv_id", "msg", "e.*")
+    half = F.expr("char_length(text) div 2")
+    first, rest, none = F.left("text", half), F.expr("substring(text, char_length(text) div 2 + 1)"), F.lit(None).cast("string")
+
+    def event(seq, kind, text, role=none):
+        return F.struct(F.lit(seq).alias("seq"), F.lit(kind).alias("kind"), role.alias("role"), text.alias("text"))
+
+    opened, how = event(0, "open", none, F.col("role")), F.pmod(F.coalesce("turn", F.lit(0)), F.lit(3))
+    log = (F.when(how == 0, F.array(opened, event(1, "delta", first), event(2, "delta", rest)))
+           .when(how == 1, F.array(opened, event(1, "delta", first), event(2, "regenerate", none), event(3, "delta", first), event(4, "delta", rest)))
+           .otherwise(F.array(opened, event(1, "delta", first), event(2, "edit", F.col("text")))))
+    return rows.select("conv_id", "msg", F.explode(log).alias("e")).select("conv_id", "msg", "e.*")
 
 
 #: Fixed value of the contract: the text of both turns of conversation -1.

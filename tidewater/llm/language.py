@@ -23,6 +23,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidewater.llm.common import crc_mod, documents, starts_of
 from tidewater.llm.quality_rules import blocks
@@ -173,9 +174,12 @@ def sample(docs: DataFrame, per_lang: int = PER_LANG, cuts: int = CUTS) -> list[
     n = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not n:
         return []
-    unit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    share = F.create_map(*[F.lit(v) for lang, k in sorted(n.items()) for v in (lang, min(1.0, per_lang / k))])
+    unit = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    share = F.create_map(*[F.lit(v) for lang, k in sorted(n.items()) for v in (lang, min(1.0, 2 * per_lang / k))])
     rows = rows.where((unit < share[F.col("lang")]) & F.col("text").isNotNull())
+    # rows that share doc_id and text are one; no language sends more than per_lang rows to the driver
+    best = F.row_number().over(Window.partitionBy("lang").orderBy("_h", "doc_id", "text"))
+    rows = rows.withColumn("_h", F.xxhash64("doc_id", "text")).dropDuplicates(["lang", "_h", "doc_id"]).withColumn("_r", best).where(F.col("_r") <= per_lang)
     room = F.greatest(F.char_length("text") - WINDOW, F.lit(0)) + 1
     part = [F.substring("text", (F.pmod(F.xxhash64("doc_id", F.lit(k)), room) + 1).cast("int"), F.lit(WINDOW)) for k in range(cuts)]
     got = rows.select("doc_id", "lang", F.array(*part).alias("cuts")).collect()

@@ -38,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -144,7 +145,7 @@ def packed_bag(h: np.ndarray) -> bytes:
     return np.sort(np.where(k > 0, mix64(h + k.astype(np.uint64) * STEP3), h)).tobytes()
 
 
-def similarity(a: bytes, b: bytes) -> float:
+def similarity(a, b) -> float:
     x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
     both = len(np.intersect1d(x, y, assume_unique=True))
     return both / max(1, len(x) + len(y) - both)
@@ -156,33 +157,35 @@ NODE = "node binary, shingles long, bands array<long>"
 def _nodes_udf(size: int, bands: int, rows: int):
     import xxhash
 
-    @F.pandas_udf(NODE)
-    def node(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(NODE)
+    def node(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for s in parts:
-            out = []
-            for texts in blocks(s, BLOCK):
+            names, sizes, keys = [], [np.zeros(0, np.int64)], [np.zeros((0, bands), np.int64)]
+            for texts in blocks((v.as_py() for v in s), BLOCK):
                 h, doc, lens = shingles(texts, size)
                 distinct, weight, owner = weighted(h, doc)
-                keys = band_keys(bag_minhash(distinct, weight, owner, len(texts), bands * rows), bands, rows)
-                names = [xxhash.xxh3_128_digest(b" ".join(t.encode("utf-8", "surrogatepass").split())) for t in texts]
-                out.append(pd.DataFrame({"node": names, "shingles": np.bincount(doc, minlength=len(texts)), "bands": list(keys)}))
-            yield pd.concat(out, ignore_index=True) if out else pd.DataFrame({"node": [], "shingles": [], "bands": []})
+                keys.append(band_keys(bag_minhash(distinct, weight, owner, len(texts), bands * rows), bands, rows))
+                names += [xxhash.xxh3_128_digest(b" ".join(t.encode("utf-8", "surrogatepass").split())) for t in texts]
+                sizes.append(np.bincount(doc, minlength=len(texts)))
+            flat = pa.ListArray.from_arrays(np.arange(0, (len(names) + 1) * bands, bands, dtype=np.int32), np.concatenate(keys).ravel())
+            yield pa.StructArray.from_arrays([pa.array(names, pa.binary()), pa.array(np.concatenate(sizes), pa.int64()), flat],
+                                             names=["node", "shingles", "bands"])
 
     return node
 
 
 def _bag_udf(size: int):
-    @F.pandas_udf("binary")
-    def bag(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("binary")
+    def bag(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for s in parts:
             out = []
-            for texts in blocks(s, BLOCK):
+            for texts in blocks((v.as_py() for v in s), BLOCK):
                 h, doc, _ = shingles(texts, size)
                 order = np.argsort(doc, kind="stable")
                 cut = np.searchsorted(doc[order], np.arange(len(texts) + 1))
                 h = h[order]
                 out += [packed_bag(h[a:b]) for a, b in zip(cut[:-1], cut[1:])]
-            yield pd.Series(out, dtype=object)
+            yield pa.array(out, pa.binary())
 
     return bag
 
@@ -203,9 +206,9 @@ def _sharp_udf(bands: int, rows: int):
 
 
 def _overlap_udf():
-    @F.pandas_udf("double")
-    def overlap(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([similarity(x, y) for x, y in zip(a, b)], dtype=float)
+    @F.arrow_udf("double")
+    def overlap(a: pa.Array, b: pa.Array) -> pa.Array:
+        return pa.array([similarity(x.as_buffer(), y.as_buffer()) for x, y in zip(a, b)], pa.float64())
 
     return overlap
 

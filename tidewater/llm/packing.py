@@ -23,12 +23,12 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewater.llm.common import documents, saved
+from tidewater.llm.common import documents, per_worker, saved
 
 SIZE, STEP, LAST_ID = 2048, 16, 1
 
@@ -82,17 +82,20 @@ def pieces(docs: DataFrame, size: int = SIZE, path: str | None = None, with_ids:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens and, if asked for, the ids (little-endian)."""
     path = path or tokenizer_file()
 
-    @F.pandas_udf(PIECE)
-    def cut(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = encoder(path)
+    @F.arrow_udf(PIECE)
+    def cut(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encode = per_worker(("encoder", path), lambda: encoder(path))
         for s in parts:
-            out = []
-            for text in s:
-                ids = np.asarray([*encode(text or ""), LAST_ID], "<u4")
-                out.append([{"start": i, "length": len(p), "ids_crc32": zlib.crc32(p.tobytes()), "doc_tokens": len(ids),
-                             "ids": p.tobytes() if with_ids else None}
-                            for i in range(0, len(ids), size) for p in (ids[i:i + size],)])
-            yield pd.Series(out, dtype=object)
+            rows, ends = [], [0]
+            for text in s:                                       # one text at a time
+                ids = np.asarray([*encode(text.as_py() or ""), LAST_ID], "<u4")
+                rows += [(i, len(p), zlib.crc32(p.tobytes()), len(ids), p.tobytes() if with_ids else None)
+                         for i in range(0, len(ids), size) for p in (ids[i:i + size],)]
+                ends.append(len(rows))
+            names = ["start", "length", "ids_crc32", "doc_tokens", "ids"]
+            kinds = [pa.int64()] * 4 + [pa.binary()]
+            cols = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(cols, names=names))
 
     out = docs.select("doc_id", F.explode(cut(F.col("text"))).alias("p")).select("doc_id", "p.*")
     return out if with_ids else out.drop("ids")
@@ -214,18 +217,18 @@ def slots(patterns: list[tuple[dict[int, int], int]]) -> list[tuple[int, int, in
 
 
 def placed(cut: DataFrame, size: int = SIZE, step: int = STEP) -> DataFrame:
-    """The pieces with sequence_id and offset. ``cut`` is read several times: a written table."""
+    """The pieces with sequence_id and offset. ``cut`` is read several times: a written table, with a number of each row (_pk_place)."""
     spark = cut.sparkSession
     cut = cut.withColumn("_pk_class", F.ceil(F.col("length") / step).cast("int"))
     histogram = {r["_pk_class"]: r["count"] for r in cut.groupBy("_pk_class").count().collect()}
     table = slots(plan(histogram, size // step))
     ranges = F.create_map(*[F.lit(int(v)) for c, n in sorted(histogram.items()) for v in (c, np.ceil(np.sqrt(n)))]) \
         if histogram else F.create_map(F.lit(0), F.lit(1))
-    cut = cut.withColumn("_pk_range", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), ranges[F.col("_pk_class")]))
+    cut = cut.withColumn("_pk_range", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "_pk_place"), ranges[F.col("_pk_class")]))
     before = Window.partitionBy("_pk_class").orderBy("_pk_range").rowsBetween(Window.unboundedPreceding, -1)
     base = (cut.groupBy("_pk_class", "_pk_range").count()
             .select("_pk_class", "_pk_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_pk_base")))
-    inside = F.row_number().over(Window.partitionBy("_pk_class", "_pk_range").orderBy("doc_id", "start", "ids_crc32"))
+    inside = F.row_number().over(Window.partitionBy("_pk_class", "_pk_range").orderBy("doc_id", "start", "ids_crc32", "_pk_place"))
     ranked = cut.withColumn("_pk_in", inside).join(base, ["_pk_class", "_pk_range"])
     ranked = ranked.withColumn("_pk_rank", F.col("_pk_base") + F.col("_pk_in") - 1)
     slot = spark.createDataFrame(table or [(0, 0, 0, 0, 1)], "c int, lo long, hi long, first long, n long")
@@ -236,11 +239,13 @@ def placed(cut: DataFrame, size: int = SIZE, step: int = STEP) -> DataFrame:
     upto = (Window.partitionBy("sequence_id").orderBy(F.desc("_pk_class"), "_pk_slot")
             .rowsBetween(Window.unboundedPreceding, -1))
     out = out.withColumn("offset", F.coalesce(F.sum("length").over(upto), F.lit(0)))
-    return out.drop("_pk_class", "_pk_range", "_pk_in", "_pk_base", "_pk_rank", "_pk_slot", "c", "lo", "hi", "first", "n")
+    return out.drop("_pk_place", "_pk_class", "_pk_range", "_pk_in", "_pk_base", "_pk_rank", "_pk_slot", "c", "lo", "hi", "first", "n")
 
 
 def packed(docs: DataFrame, size: int = SIZE, step: int = STEP, path: str | None = None, with_ids: bool = False) -> DataFrame:
-    return placed(saved(pieces(docs.select("doc_id", "text"), size, path, with_ids), "pieces"), size, step)
+    cut = pieces(docs.select("doc_id", "text"), size, path, with_ids)
+    # the place tells repeated rows apart, so they are cut in ranges like any others; written once, it is the same in every later step
+    return placed(saved(cut.withColumn("_pk_place", F.monotonically_increasing_id()), "pieces"), size, step)
 
 
 def op8_pack(spark, sf_dir: str) -> DataFrame:

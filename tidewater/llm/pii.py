@@ -19,6 +19,7 @@ whole runs of digits and dots.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -128,6 +129,18 @@ def score(text: str, kind: str, start: int) -> float:
     return min(1.0, max(0.0, s))
 
 
+def merged(found) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that the spans cover, in order."""
+    starts, ends = [], []
+    for a, b in sorted(found):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    return starts, ends
+
+
 def spans(text: str) -> list[tuple[str, int, int, float]]:
     """(kind, start, end, score) by start, then kind."""
     out = []
@@ -136,12 +149,12 @@ def spans(text: str) -> list[tuple[str, int, int, float]]:
     if NUMERIC.search(text):
         for kind in BASE[1:]:
             out += [(kind, a, b) for a, b in FINDERS[kind](text)]
-        taken = [(a, b) for _, a, b in out]
         for kind in KINDS[4:]:
-            for a, b in FINDERS[kind](text):
-                if score(text, kind, a) >= THRESHOLD and all(b <= x or y <= a for x, y in taken):
+            starts, ends = merged((a, b) for _, a, b in out)
+            for a, b in FINDERS[kind](text):                     # spans of one kind never overlap
+                i = bisect_left(starts, b)
+                if (i == 0 or ends[i - 1] <= a) and score(text, kind, a) >= THRESHOLD:
                     out.append((kind, a, b))
-                    taken.append((a, b))
     out.sort(key=lambda s: (s[1], KINDS.index(s[0])))
     return [(k, a, b, score(text, k, a)) for k, a, b in out]
 
@@ -178,4 +191,5 @@ def op4_pii(spark, sf_dir: str) -> DataFrame:
     base = F.filter("pii", lambda s: s["kind"].isin(*BASE))
     return out.select("doc_id", *[count(k) for k in BASE],
                       F.sha2(F.array_join(F.transform(base, one), ","), 256).alias("base_sha256"),
-                      F.array_join(F.transform("pii", one), ",").alias("spans"))
+                      F.array_join(F.transform("pii", one), ",").alias("spans"),
+                      F.transform("pii", lambda s: s["score"]).alias("span_scores"))

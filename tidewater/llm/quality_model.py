@@ -20,7 +20,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +29,8 @@ from tidewater.llm.quality_rules import WHITE, _class_matrix, blocks, byte_histo
 
 SAMPLE = 20_000
 BINS, TREES, DEPTH, RATE, LEAST, RIDGE = 64, 80, 4, 0.15, 20, 1.0
+#: characters of text worked on at once (or one text): about 20 arrays of 8 bytes a word are alive
+BLOCK = 1 << 20
 #: fixed value of the contract
 ACCEPT = 0.7
 
@@ -137,11 +139,17 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, bi
     return Trees(*(np.stack(v) for v in zip(*g)), bias=bias)
 
 
+def _texts(values: pa.Array) -> Iterator[list[str]]:
+    """The texts of an Arrow array in blocks; only one block at a time is made Python strings."""
+    return blocks((v.as_py() for v in values), BLOCK)
+
+
 def stats_udf():
-    @F.pandas_udf("array<double>")
-    def stats(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<double>")
+    def stats(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for s in parts:
-            yield pd.Series([list(r) for b in blocks(s) for r in features(b)], dtype=object)
+            rows = [features(b) for b in _texts(s)]
+            yield pa.array([list(r) for x in rows for r in x], pa.list_(pa.float64()))
 
     return stats
 
@@ -152,6 +160,8 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees:
              .where(crc_mod("doc_id", 4) != 2).groupBy("doc_id").agg(F.max("quality").alias("quality")))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    # one row per doc_id, however often it repeats: the text of smallest hash
+    rows = rows.groupBy("doc_id", "quality").agg(F.min(F.struct(F.xxhash64("text").alias("_h"), "text"))["text"].alias("text"))
     rows = saved(rows.select("doc_id", "quality", stats_udf()(F.col("text")).alias("x")), "quality-sample").toPandas()
     x = np.asarray(rows["x"].tolist(), float).reshape(len(rows), len(FEATURES))
     order = np.lexsort([*x.T[::-1], rows["doc_id"].to_numpy()])
@@ -160,11 +170,11 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees:
 
 def with_score(docs: DataFrame, model: Trees, text: str = "text", name: str = "score") -> DataFrame:
     """``docs`` with the probability of label 1 of each text."""
-    @F.pandas_udf("double")
-    def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for s in parts:
-            got = [model.score(features(b)) for b in blocks(s)]
-            yield pd.Series(np.concatenate(got) if got else np.zeros(0))
+            got = [model.score(features(b)) for b in _texts(s)]
+            yield pa.array(np.concatenate(got) if got else np.zeros(0))
 
     return docs.withColumn(name, score(F.col(text)))
 
