@@ -194,7 +194,8 @@ def read_segments(spark: SparkSession, path: str, columns=("shard", "segment", "
     total = rows.groupBy("shard").agg(F.sum("n_ids").alias("n"))
     before = Window.partitionBy(F.lit(0)).orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     first = total.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_first"))
-    return rows.select(*dict.fromkeys(["shard", *columns, "base"])).join(first, "shard").withColumn("start", F.col("_first") + F.col("base")).drop("_first")
+    # one row per file, at most as many as the shuffle partitions of the writer: a broadcast, so the codes are not shuffled
+    return rows.select(*dict.fromkeys(["shard", *columns, "base"])).join(F.broadcast(first), "shard").withColumn("start", F.col("_first") + F.col("base")).drop("_first")
 
 
 def read_documents(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
