@@ -44,24 +44,25 @@ def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(F.col("event_type").alias("category"), "ts", F.col("value").alias("price"))
 
 
-def category_ticks(sales: DataFrame, day_start: str = DAY_START, tick: str = TICK) -> DataFrame:
-    """Stage 1: ``(category, tick, date_time, total_price)``."""
+def category_ticks(sales: DataFrame, day_start: str = DAY_START, tick: str = TICK, arrival: str | None = None) -> DataFrame:
+    """Stage 1: ``(category, tick, date_time, total_price)``, and ``first_sale``, the smallest ``arrival`` of the day so
+    far, if that column is named. A total stands until the tick before the next sale's, so each row is repeated up to there."""
     # one window expression per projection (Spark assigns windows per Project)
+    first = [arrival] if arrival else []
     per_tick = (sales
-                .select("category", "ts", F.window("ts", tick)["end"].alias("tick"), "price")
-                .select("category", F.window("ts", "1 day", "1 day", day_start).alias("day"), "tick", "price")
+                .select("category", "ts", F.window("ts", tick)["end"].alias("tick"), "price", *first)
+                .select("category", F.window("ts", "1 day", "1 day", day_start).alias("day"), "tick", "price", *first)
                 .groupBy("category", F.col("day.start").alias("day_start"), F.col("day.end").alias("day_end"), "tick")
-                .agg(F.sum(exact_money("price")).alias("amount")))
+                .agg(F.sum(exact_money("price")).alias("amount"), *[F.min(c).alias("_first") for c in first]))
+    w = Window.partitionBy("category", "day_start").orderBy("tick")
+    upto, step = w.rowsBetween(Window.unboundedPreceding, 0), F.expr(f"INTERVAL {tick}")
+    running = per_tick.select(
+        "category", "tick", F.coalesce(F.sum("amount").over(upto), F.lit(0)).alias("running"),
+        F.coalesce(F.lead("tick").over(w) - step, "day_end").alias("until"), *[F.min("_first").over(upto).alias("first_sale") for _ in first])
     # every tick from the first sale of the day up to the end of the day (<= 24 per day)
-    grid = (per_tick.groupBy("category", "day_start", "day_end").agg(F.min("tick").alias("first_tick"))
-            .select("category", "day_start",
-                    F.explode(F.sequence("first_tick", "day_end", F.expr(f"INTERVAL {tick}"))).alias("tick")))
-    filled = grid.join(per_tick.select("category", "day_start", "tick", "amount"),
-                       on=["category", "day_start", "tick"], how="left")
-    w = Window.partitionBy("category", "day_start").orderBy("tick").rowsBetween(Window.unboundedPreceding, 0)
-    running = F.sum(F.coalesce(F.col("amount"), F.lit(0).cast("decimal(18,2)"))).over(w)
+    filled = running.withColumn("tick", F.explode(F.sequence("tick", "until", step)))
     return filled.select("category", "tick", clock_text("tick").alias("date_time"),
-                         round_half_up(running, 2).cast("double").alias("total_price"))
+                         round_half_up("running", 2).cast("double").alias("total_price"), *["first_sale" for _ in first])
 
 
 def tick_totals(stage1: DataFrame) -> DataFrame:
