@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import types
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,22 +39,51 @@ def per_worker(key, make):
     return box[key]
 
 
+def hand_back() -> None:
+    """Give the memory that a task no longer uses back to the system. Python workers are used again by later tasks, and would
+    otherwise keep their largest batch for as long as the executor lives."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):        # a C library without it
+        pass
+
+
 #: shuffle files of a write are of no use once its result is on the shared disk
 CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: rows of an Arrow batch: a row can be a whole text, or two
+BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "1000"
+
+
+@contextmanager
+def settings(spark: SparkSession, **values: str):
+    """The session with these settings, and as it was afterwards."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write a frame below the shared checkpoint folder and read it back: cuts the
     lineage, is computed once, and survives the loss of any executor. Spark removes the
     shuffle files of the write when it is done."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
-    before = spark.conf.get(CLEAN, "false")
-    spark.conf.set(CLEAN, "true")
-    try:
+    with settings(spark, **{CLEAN: "true", BATCH: BATCH_ROWS}):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(CLEAN, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

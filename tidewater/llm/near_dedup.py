@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewater.llm.common import documents, encode, mix64, saved, starts_of, unit, whole, whole_row, word_hashes
+from tidewater.llm.common import documents, encode, hand_back, mix64, saved, starts_of, unit, whole, whole_row, word_hashes
 from tidewater.llm.components import components
 from tidewater.llm.quality_rules import blocks
 
@@ -170,6 +170,7 @@ def _nodes_udf(size: int, bands: int, rows: int):
             flat = pa.ListArray.from_arrays(np.arange(0, (len(names) + 1) * bands, bands, dtype=np.int32), np.concatenate(keys).ravel())
             yield pa.StructArray.from_arrays([pa.array(names, pa.binary()), pa.array(np.concatenate(sizes), pa.int64()), flat],
                                              names=["node", "shingles", "bands"])
+        hand_back()
 
     return node
 
@@ -186,29 +187,33 @@ def _bag_udf(size: int):
                 h = h[order]
                 out += [packed_bag(h[a:b]) for a, b in zip(cut[:-1], cut[1:])]
             yield pa.array(out, pa.binary())
+        hand_back()
 
     return bag
 
 
 def _sharp_udf(bands: int, rows: int):
-    @F.pandas_udf("array<long>")
-    def sharp(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<long>")
+    def sharp(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for s in parts:
-            out = []
+            keys = [np.zeros((0, bands), np.int64)]
             for i in range(0, len(s), 64):
-                own = [np.frombuffer(b, np.uint64) for b in s.iloc[i:i + 64]]
+                own = [np.frombuffer(b.as_buffer(), np.uint64) for b in s.slice(i, 64)]
                 h, doc = np.concatenate(own), np.repeat(np.arange(len(own)), [len(x) for x in own])
                 signature = bag_minhash(mix64(h + GOLDEN), np.ones(len(h), np.int64), doc, len(own), bands * rows)
-                out += list(band_keys(signature, bands, rows))
-            yield pd.Series(out, dtype=object)
+                keys.append(band_keys(signature, bands, rows))
+            yield pa.ListArray.from_arrays(np.arange(0, (len(s) + 1) * bands, bands, dtype=np.int32), np.concatenate(keys).ravel())
+        hand_back()
 
     return sharp
 
 
 def _overlap_udf():
     @F.arrow_udf("double")
-    def overlap(a: pa.Array, b: pa.Array) -> pa.Array:
-        return pa.array([similarity(x.as_buffer(), y.as_buffer()) for x, y in zip(a, b)], pa.float64())
+    def overlap(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for a, b in parts:
+            yield pa.array([similarity(x.as_buffer(), y.as_buffer()) for x, y in zip(a, b)], pa.float64())
+        hand_back()
 
     return overlap
 

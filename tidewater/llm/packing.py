@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewater.llm.common import documents, per_worker, saved
+from tidewater.llm.common import documents, hand_back, per_worker, saved
 
 SIZE, STEP, LAST_ID = 2048, 16, 1
 
@@ -96,6 +96,7 @@ def pieces(docs: DataFrame, size: int = SIZE, path: str | None = None, with_ids:
             kinds = [pa.int64()] * 4 + [pa.binary()]
             cols = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(cols, names=names))
+        hand_back()
 
     out = docs.select("doc_id", F.explode(cut(F.col("text"))).alias("p")).select("doc_id", "p.*")
     return out if with_ids else out.drop("ids")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import crc_mod, documents, encode, saved, starts_of
+from tidewater.llm.common import crc_mod, documents, encode, hand_back, saved, starts_of
 from tidewater.llm.quality_rules import WHITE, _class_matrix, blocks, byte_histograms, repeated_words
 
 SAMPLE = 20_000
@@ -150,6 +150,7 @@ def stats_udf():
         for s in parts:
             rows = [features(b) for b in _texts(s)]
             yield pa.array([list(r) for x in rows for r in x], pa.list_(pa.float64()))
+        hand_back()
 
     return stats
 
@@ -175,6 +176,7 @@ def with_score(docs: DataFrame, model: Trees, text: str = "text", name: str = "s
         for s in parts:
             got = [model.score(features(b)) for b in _texts(s)]
             yield pa.array(np.concatenate(got) if got else np.zeros(0))
+        hand_back()
 
     return docs.withColumn(name, score(F.col(text)))
 

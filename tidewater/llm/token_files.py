@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewater.llm.common import CLEAN, documents, per_worker, saved, starts_of, whole
+from tidewater.llm.common import BATCH, BATCH_ROWS, CLEAN, documents, hand_back, per_worker, saved, settings, starts_of, whole
 from tidewater.llm.packing import encoder, tokenizer_file
 from tidewater.session import scratch_path
 
@@ -174,18 +174,15 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
                 held += len(own)
         if held:
             yield row()
+        hand_back()
 
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     rows = docs.select(F.col("doc_id").cast("long"), whole("text").alias("text"))
     # equal rows are alike, so any of them may come first: the row's place splits even one that makes up a third of the table
     rows = rows.withColumns({"_hash": F.xxhash64("text"), "_place": F.monotonically_increasing_id()})
     rows = rows.repartitionByRange(shards, "doc_id", "_hash", "_place").sortWithinPartitions("doc_id", "_hash", "_place")
-    before = spark.conf.get(CLEAN, "false")
-    spark.conf.set(CLEAN, "true")
-    try:
+    with settings(spark, **{CLEAN: "true", BATCH: BATCH_ROWS}):
         rows.select("doc_id", "text").mapInArrow(segments, SEGMENTS).write.parquet(path)
-    finally:
-        spark.conf.set(CLEAN, before)
 
 
 def read_segments(spark: SparkSession, path: str, columns=("shard", "segment", "base", "n_ids", "n_docs", "code")) -> DataFrame:
