@@ -90,6 +90,15 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
 
 
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder of files to its place, on whatever file system it is; the folders above the target are made."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = jvm_path(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(jvm_path(target).getParent())
+    if not fs.rename(jvm_path(source), jvm_path(target)):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder.
 

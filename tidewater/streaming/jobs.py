@@ -1,8 +1,8 @@
-"""Streaming forms of the keyed state operators (``transformWithStateInPandas``).
+"""Streaming forms of the keyed operators.
 
-Each job lands ``events`` slice by slice (the live source), drains every slice
-with ``availableNow`` through a state processor into a parquet sink, and
-returns the sink. Event-time jobs end with a closing row that moves the
+Each job lands ``events`` slice by slice (the live source), works every slice off
+with one query into a parquet sink, and returns the sink. Maxima, counts and changelogs are running aggregates of a micro-batch
+with one carry per key (:mod:`tidewater.streaming.carry`); timers are state processors (``transformWithStateInPandas``). Event-time jobs end with a closing row that moves the
 watermark past all windows and timers, so the result equals the batch form.
 """
 
@@ -14,27 +14,30 @@ from pyspark.sql import functions as F
 from tidewater.functions.hashing import char_code_parity
 from tidewater.functions.money import exact_money, round_half_up
 from tidewater.functions.timefn import clock_text, epoch_micros, from_epoch_micros, instant_to_ntz, to_event_time
-from tidewater.plans.dashboard import DAY_START, dashboard_lines
+from tidewater.plans.dashboard import DAY_START, TICK, dashboard_lines
+from tidewater.plans.dashboard import ORACLE as DASHBOARD_ORACLE
 from tidewater.operators.windows import duration_micros
 from tidewater.operators.basic import even_odd_tag, union_all
 from tidewater.session import scratch_path
 from tidewater.sources.tables import read_table
 from tidewater.plans.event_jobs import (ARRIVAL_MULT, COUNT_SIZE, COUNT_SLIDE, LATE_ALLOWED, LATE_BOUND, LATE_WINDOW, OUT_OF_ORDER,
-                                        SESSION_GAP, SLIDE_SIZE, SLIDE_STEP, SQL_TUMBLE, TIMEOUT)
+                                        SESSION_GAP, SLIDE_SIZE, SLIDE_STEP, SQL_TUMBLE, TIMEOUT, TUMBLE)
 from tidewater.plans.event_jobs import ORACLE as BATCH_ORACLE
 from tidewater.plans.text_jobs import ORACLE as TEXT_ORACLE
 from tidewater.plans.text_jobs import STATUS_SCHEMA, status_messages
-from tidewater.streaming.feed import SliceFeed
+from tidewater.streaming.feed import SliceFeed, drain_together
 from tidewater.functions.jsonfn import rows_to_json
 from tidewater.sources.kafka import decode_json_values
 from tidewater.sources.text import read_text_lines
-from tidewater.streaming.processors import (UNITS, ChangelogProcessor, CountWindowProcessor, LateWindowProcessor,
-                                            OrderTimeoutProcessor, RunningMaxProcessor)
+from tidewater.streaming.carry import CarryJob, CarryTable, changelog_step, count_window_step, running_max_step
+from tidewater.streaming.processors import UNITS, DayTotalProcessor, LateWindowProcessor, OrderTimeoutProcessor
 
 PIECES = 2                 # arrival slices of the table, one micro-batch each
 TIMER_WATERMARK = "1 minute"
 SQL_BOUND = "2 hours"      # bound of the SQL tumble group window (2 s), scaled
 CLOSING = "30 days"        # the closing row is later than any window or timer
+LIVE_PIECES = 4            # slices of each source of the live union
+TICK_MS = duration_micros(TICK) // 1000
 LATE_PIECES = 6            # arrival slices (micro-batches) for the lateness streams
 LATE_SPREAD = 500          # arrival = event_id + (event_id * 7919) % 500: far enough to be late across slices
 
@@ -64,21 +67,28 @@ def _sink(spark: SparkSession, feed: SliceFeed, stream: DataFrame, name: str) ->
     return spark.read.schema(stream.schema).parquet(path)
 
 
+def _carried(spark: SparkSession, feed: SliceFeed, how, schema: str, name: str) -> DataFrame:
+    """Run a step of :mod:`tidewater.streaming.carry` over every slice; the rows that it gave."""
+    step, kind = how
+    out = scratch_path(spark, f"{name}_out")
+    job = CarryJob(CarryTable(scratch_path(spark, f"{name}_carry"), ["user_id"], kind), "user_id long", out, step)
+    feed.drain(feed.stream.writeStream.foreachBatch(job), scratch_path(spark, f"{name}_ckpt"))
+    return spark.read.schema(schema).parquet(f"{out}/*")
+
+
 def running_max_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = _landed_events(spark, sf_dir, ["event_id", "user_id", "value"], "running_max_stream")
-    out = feed.stream.groupBy("user_id").transformWithStateInPandas(
-        RunningMaxProcessor("user_id", "event_id", "value"),
-        "event_id long, user_id long, value double, max_value double", "Append", "None")
-    return _sink(spark, feed, out, "running_max_stream")
+    return _carried(spark, feed, running_max_step("user_id", "event_id", "value"),
+                    "event_id long, user_id long, value double, max_value double", "running_max_stream")
+
+
+_COUNT_WINDOW = "user_id long, window_index long, event_count long, sum_value double, last_event_id long"
 
 
 def count_sliding_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = _landed_events(spark, sf_dir, ["event_id", "user_id", "value"], "count_sliding_stream")
-    out = feed.stream.groupBy("user_id").transformWithStateInPandas(
-        CountWindowProcessor("user_id", "event_id", "value", COUNT_SIZE, COUNT_SLIDE),
-        "user_id long, window_index long, event_count long, sum_value double, last_event_id long",
-        "Append", "None")
-    return _sink(spark, feed, out, "count_sliding_stream")
+    return _carried(spark, feed, count_window_step("user_id", "event_id", "value", COUNT_SIZE, COUNT_SLIDE, exact_money), _COUNT_WINDOW,
+                    "count_sliding_stream")
 
 
 def _late_events(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,19 +99,21 @@ def _late_events(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     feed = SliceFeed(ev, "arrival", LATE_PIECES, scratch_path(spark, f"{name}_landing"), ("ts", CLOSING))
     rows = (feed.stream.select("user_id", "event_id", "arrival",
                                F.floor(epoch_micros("ts") / 1000).cast("long").alias("ms"),
-                               (exact_money("value") * UNITS).cast("long").alias("units"),
+                               F.coalesce((exact_money("value") * UNITS).cast("long"), F.lit(0)).alias("units"),
+                               F.col("value").isNotNull().cast("long").alias("valued"),
                                F.timestamp_micros(epoch_micros("ts")).alias("et"))
             .withWatermark("et", LATE_BOUND)
             # the event-time column stays out of the processor input: the
             # processor classifies late rows itself instead of the engine dropping them
             # (the closing row has no id; as in order_timeout_stream, one predicate that stays above the watermark)
-            .where(F.coalesce((F.col("event_id") > F.lit(-(1 << 62))) & F.col("et").isNotNull(), F.lit(False)))
-            .select("user_id", "event_id", "arrival", "ms", "units"))
+            .where(F.when(F.col("event_id").isNotNull() | F.col("arrival").isNull(), F.col("et")).isNotNull())
+            .select("user_id", "event_id", "arrival", "ms", "units", "valued"))
     out = rows.groupBy("user_id").transformWithStateInPandas(
         LateWindowProcessor("user_id", duration_micros(LATE_WINDOW) // 1000, duration_micros(LATE_ALLOWED) // 1000),
-        "user_id long, window_end_ms long, firing long, event_count long, sum_units long, event_id long",
+        "user_id long, window_end_ms long, firing long, event_count long, sum_units long, valued long, event_id long",
         "Append", "EventTime")
-    return _sink(spark, feed, out, name)
+    done = _sink(spark, feed, out, name)
+    return done.withColumn("sum_value", F.when(F.col("valued") > 0, (F.col("sum_units").cast("decimal(19,0)") / UNITS).cast("double")))
 
 
 def late_refires_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,14 +122,14 @@ def late_refires_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fired.select("user_id",
                         from_epoch_micros(F.col("window_end_ms") * 1000 - w_us).alias("window_start"),
                         from_epoch_micros(F.col("window_end_ms") * 1000).alias("window_end"),
-                        "firing", "event_count", (F.col("sum_units") / float(UNITS)).alias("sum_value"))
+                        "firing", "event_count", "sum_value")
 
 
 def late_side_output_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The side output of the same stream: rows beyond the allowed lateness."""
     late = _late_events(spark, sf_dir, "late_side_stream").where("firing = -1")
     return late.select("event_id", "user_id", from_epoch_micros(F.col("window_end_ms") * 1000).alias("window_end"),
-                       (F.col("sum_units") / float(UNITS)).alias("value"))
+                       F.col("sum_value").alias("value"))
 
 
 def sliding_sum_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,11 +171,8 @@ def json_status_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def count_tumbling_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = _landed_events(spark, sf_dir, ["event_id", "user_id", "value"], "count_tumbling_stream")
-    out = feed.stream.groupBy("user_id").transformWithStateInPandas(
-        CountWindowProcessor("user_id", "event_id", "value", COUNT_SIZE, COUNT_SIZE),
-        "user_id long, window_index long, event_count long, sum_value double, last_event_id long",
-        "Append", "None")
-    return _sink(spark, feed, out, "count_tumbling_stream")
+    return _carried(spark, feed, count_window_step("user_id", "event_id", "value", COUNT_SIZE, COUNT_SIZE, exact_money), _COUNT_WINDOW,
+                    "count_tumbling_stream")
 
 
 def split_even_odd_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,10 +242,8 @@ def order_timeout_drain_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def retract_changelog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed = _landed_events(spark, sf_dir, ["event_id", "user_id"], "changelog_stream")
-    out = feed.stream.groupBy("user_id").transformWithStateInPandas(
-        ChangelogProcessor("user_id", "event_id"),
-        "event_id long, change_seq int, op boolean, user_id long, frequency long", "Append", "None")
-    return _sink(spark, feed, out, "changelog_stream")
+    return _carried(spark, feed, changelog_step("user_id", "event_id"),
+                    "event_id long, change_seq int, op boolean, user_id long, frequency long", "changelog_stream")
 
 
 def tumble_sql_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -289,6 +296,63 @@ def sales_dashboard_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out_path).select(F.col("epoch").cast("long").alias("epoch"), "date_time", "line")
 
 
+def _day_totals(feed: SliceFeed) -> DataFrame:
+    """Stage 1 of the dashboard as a stream: (category, tick, total) at every tick of every day, by a recurring timer. ``tick`` is the event
+    time that the next stage goes by."""
+    price = exact_money("value")
+    rows = (feed.stream.select(F.col("event_type").alias("category"), to_event_time("ts").alias("et"),
+                               F.floor(price).cast("long").alias("whole"), ((price - F.floor(price)) * UNITS).cast("long").alias("nano"))
+            .withWatermark("et", TIMER_WATERMARK)
+            # the closing row has no category and no price; one predicate that reads the event time and can't be split, so it stays above the watermark
+            .where(F.when(F.col("category").isNotNull() | F.col("whole").isNotNull(), F.col("et")).isNotNull())
+            .select("category", (F.floor(F.unix_millis("et") / TICK_MS) * TICK_MS + TICK_MS).cast("long").alias("tick_ms"),
+                    F.coalesce("whole", F.lit(0)).alias("whole"), F.coalesce("nano", F.lit(0)).alias("nano"), "et"))
+    out = rows.groupBy("category").transformWithStateInPandas(
+        DayTotalProcessor("category", TICK_MS, duration_micros("1 day") // 1000, duration_micros(DAY_START) // 1000),
+        "category string, tick timestamp, whole long, nano long", "Append", "EventTime", eventTimeColumnName="tick")
+    total = F.col("whole").cast("decimal(27,9)") + (F.col("nano").cast("decimal(19,0)") / UNITS).cast("decimal(10,9)")
+    return out.select("category", "tick", round_half_up(total, 2).alias("total"))
+
+
+def running_day_total_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = _landed_events(spark, sf_dir, ["event_id", "event_type", "ts", "value"], "day_total_stream")
+    done = _sink(spark, feed, _day_totals(feed), "day_total_stream")
+    at = instant_to_ntz("tick")
+    return done.select("category", at.alias("tick"), clock_text(at).alias("date_time"), F.col("total").cast("double").alias("total_price"))
+
+
+def dashboard_two_stage_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two keyed stages in one query: the totals per category and tick go on, with their watermark, to a sum per tick. Append
+    mode: a tick is emitted once, when the watermark has passed it, and both states hold open days and ticks only."""
+    feed = _landed_events(spark, sf_dir, ["event_id", "event_type", "ts", "value"], "two_stage_stream")
+    out = _day_totals(feed).groupBy("tick").agg(F.count(F.lit(1)).alias("category_count"), F.sum("total").alias("total"))
+    done = _sink(spark, feed, out, "two_stage_stream")
+    return done.select(clock_text(instant_to_ntz("tick")).alias("date_time"), "category_count",
+                       round_half_up("total", 2).cast("double").alias("total_price"))
+
+
+def union_live(spark: SparkSession, sf_dir: str, policy: str = "min", behind: int = 1) -> DataFrame:
+    """Two live sources of different speed in one query: purchases arrive a slice later than the other events. The watermark
+    of the union is that of the slower source (policy ``min``), so a window waits for both."""
+    ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "event_type", "ts", "value"])
+    slow = F.coalesce(F.col("event_type") == "purchase", F.lit(False))
+    feeds = [SliceFeed(part.select("event_id", "user_id", "ts", "value"), "event_id", LIVE_PIECES, scratch_path(spark, f"live_{i}_landing"), ("ts", CLOSING))
+             for i, part in enumerate([ev.where(~slow), ev.where(slow)])]
+    sides = [f.stream.select("event_id", "user_id", to_event_time("ts").alias("et"), "value").withWatermark("et", OUT_OF_ORDER) for f in feeds]
+    both = sides[0].unionByName(sides[1])
+    out = (both.groupBy("user_id", F.window("et", TUMBLE).alias("w"))
+           .agg(F.count(F.lit(1)).alias("event_count"), F.sum(exact_money("value")).cast("double").alias("sum_value")))
+    use_rocksdb_state(spark)
+    path, key = scratch_path(spark, "live_sink"), "spark.sql.streaming.multipleWatermarkPolicy"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, policy)
+    try:
+        drain_together(feeds, out.writeStream.format("parquet").outputMode("append").option("path", path), scratch_path(spark, "live_ckpt"), behind)
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+    return _windows_out(spark.read.schema(out.schema).parquet(path))
+
+
 _DEC = "CAST(value AS DECIMAL(18,2))"
 _BUCKET = f"time_bucket(INTERVAL '{SQL_TUMBLE}', ts, TIMESTAMP '1970-01-01 00:00:00')"
 
@@ -391,26 +455,29 @@ ORACLE["late_refires_stream"] = f"""
         FROM p JOIN wp ON p.piece = wp.piece),
   k AS (SELECT *, CASE WHEN mxprev IS NULL OR mxprev < e + {_LB} THEN 'on_time'
                        WHEN mxprev < e + {_LB + _LA} THEN 'late_accepted' ELSE 'late_dropped' END AS cls FROM c),
-  o AS (SELECT user_id, e, count(*) AS n, sum(CAST(round(value * 100) AS BIGINT)) AS s
+  o AS (SELECT user_id, e, count(*) AS n, sum(CAST(value AS DECIMAL(27,9))) AS s
         FROM k WHERE cls = 'on_time' GROUP BY user_id, e),
   l AS (SELECT user_id, e,
                row_number() OVER (PARTITION BY user_id, e ORDER BY arrival, event_id) AS firing,
-               sum(CAST(round(value * 100) AS BIGINT)) OVER (PARTITION BY user_id, e ORDER BY arrival, event_id
-                                                              ROWS UNBOUNDED PRECEDING) AS ls
+               sum(CAST(value AS DECIMAL(27,9))) OVER (PARTITION BY user_id, e ORDER BY arrival, event_id
+                                                       ROWS UNBOUNDED PRECEDING) AS ls
         FROM k WHERE cls = 'late_accepted')
   SELECT user_id, make_timestamp(e - {duration_micros(LATE_WINDOW)}) AS window_start, make_timestamp(e) AS window_end,
-         CAST(0 AS BIGINT) AS firing, n AS event_count, s / 100.0 AS sum_value
+         CAST(0 AS BIGINT) AS firing, n AS event_count, CAST(s AS DOUBLE) AS sum_value
   FROM o
   UNION ALL
   SELECT l.user_id, make_timestamp(l.e - {duration_micros(LATE_WINDOW)}), make_timestamp(l.e), l.firing,
-         coalesce(o.n, 0) + l.firing, (coalesce(o.s, 0) + l.ls) / 100.0
-  FROM l LEFT JOIN o ON l.user_id = o.user_id AND l.e = o.e"""
+         coalesce(o.n, 0) + l.firing, CAST(coalesce(o.s + l.ls, o.s, l.ls) AS DOUBLE)
+  FROM l LEFT JOIN o ON l.user_id IS NOT DISTINCT FROM o.user_id AND l.e = o.e"""
 
 _LATE_CLASSES = ORACLE["late_refires_stream"][:ORACLE["late_refires_stream"].index("  o AS (")].rstrip().rstrip(",")
 ORACLE["late_side_output_stream"] = _LATE_CLASSES + """
   SELECT event_id, user_id, make_timestamp(e) AS window_end, value FROM k WHERE cls = 'late_dropped'"""
 ORACLE["sliding_sum_stream"] = BATCH_ORACLE["sliding_sum"]
 ORACLE["session_sum_stream"] = BATCH_ORACLE["session_sum"]
+ORACLE["running_day_total_stream"] = DASHBOARD_ORACLE["running_day_total"]
+ORACLE["dashboard_two_stage_stream"] = DASHBOARD_ORACLE["sales_dashboard"]
+ORACLE["union_live"] = BATCH_ORACLE["tumbling_sum"]
 ORACLE["json_status_stream"] = TEXT_ORACLE["json_status_filter"]
 
 QUERIES = {
@@ -418,6 +485,9 @@ QUERIES = {
     "late_side_output_stream": late_side_output_stream,
     "sliding_sum_stream": sliding_sum_stream,
     "session_sum_stream": session_sum_stream,
+    "running_day_total_stream": running_day_total_stream,
+    "dashboard_two_stage_stream": dashboard_two_stage_stream,
+    "union_live": union_live,
     "json_status_stream": json_status_stream,
     "count_tumbling_stream": count_tumbling_stream,
     "split_even_odd_stream": split_even_odd_stream,

@@ -4,7 +4,7 @@ Each processor receives, per micro-batch and key, Arrow batches as pandas
 frames, sorts them by the arrival sequence (a micro-batch does not keep the
 order inside it), updates its state in one vectorized pass and emits rows.
 State lives in the RocksDB state store and is checkpointed with the query.
-Values are summed as integers of 1 / ``UNITS`` so results are exact.
+Values are summed as integers of 1 / ``UNITS`` so results are exact; null values count as rows only.
 """
 
 from __future__ import annotations
@@ -29,100 +29,7 @@ def _frame(rows: Iterator[pd.DataFrame], order: str) -> pd.DataFrame:
     return pdf.sort_values(order, kind="stable").reset_index(drop=True)
 
 
-UNITS = 1_000_000   # sums are exact for values of up to six decimal places
-
-
-def _units(values: pd.Series) -> np.ndarray:
-    return np.rint(values.to_numpy(dtype="float64") * UNITS).astype("int64")
-
-
-class RunningMaxProcessor(StatefulProcessor):
-    """Per key: ``(order, key, value, max_value)`` for every row, the largest
-    value seen so far kept in a value state (equal values keep the state)."""
-
-    def __init__(self, key: str, order: str, value: str):
-        self.key, self.order, self.value = key, order, value
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.best = handle.getValueState("max_value", "max_value double")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _frame(rows, self.order)
-        running = np.maximum.accumulate(pdf[self.value].to_numpy(dtype="float64"))
-        best = self.best.get()
-        if best is not None:
-            running = np.maximum(running, best[0])
-        self.best.update((float(running[-1]),))
-        yield pd.DataFrame({self.order: pdf[self.order], self.key: key[0],
-                            self.value: pdf[self.value], "max_value": running})
-
-    def close(self) -> None:
-        pass
-
-
-class ChangelogProcessor(StatefulProcessor):
-    """Retract changelog of a running count per key: for each row, ``(false,
-    old)`` when the key already had a value, then ``(true, new)``."""
-
-    def __init__(self, key: str, order: str, out: str = "frequency"):
-        self.key, self.order, self.out = key, order, out
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.count = handle.getValueState("count", "n long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _frame(rows, self.order)
-        prev = self.count.get()
-        n0 = prev[0] if prev is not None else 0
-        new = n0 + np.arange(1, len(pdf) + 1, dtype="int64")
-        order = pdf[self.order].to_numpy()
-        had = new > 1
-        retract = pd.DataFrame({self.order: order[had], "change_seq": np.zeros(int(had.sum()), dtype="int32"),
-                                "op": False, self.key: key[0], self.out: new[had] - 1})
-        insert = pd.DataFrame({self.order: order, "change_seq": np.ones(len(pdf), dtype="int32"),
-                               "op": True, self.key: key[0], self.out: new})
-        self.count.update((int(new[-1]),))
-        yield pd.concat([retract, insert], ignore_index=True)
-
-    def close(self) -> None:
-        pass
-
-
-class CountWindowProcessor(StatefulProcessor):
-    """Count window per key: at every ``slide``-th row, the sum over the last
-    ``size`` rows (a count trigger with a count evictor). State, one value per
-    key: the last ``size`` values and the number of rows seen."""
-
-    def __init__(self, key: str, order: str, value: str, size: int, slide: int):
-        self.key, self.order, self.value, self.size, self.slide = key, order, value, size, slide
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.book = handle.getValueState("book", "tail array<long>, seen long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = _frame(rows, self.order)
-        book = self.book.get()
-        prev = np.array(book[0] if book is not None else [], dtype="int64")
-        n0 = book[1] if book is not None else 0
-        new = _units(pdf[self.value])
-        arr = np.concatenate([prev, new])
-        csum = np.concatenate([[0], np.cumsum(arr)])
-        n = n0 + np.arange(1, len(new) + 1)               # row number within the key
-        fire = np.nonzero(n % self.slide == 0)[0]
-        end = len(prev) + fire + 1                          # exclusive end in arr
-        start = np.maximum(0, end - self.size)
-        out = pd.DataFrame({
-            self.key: key[0],
-            "window_index": (n[fire] // self.slide).astype("int64"),
-            "event_count": (end - start).astype("int64"),
-            "sum_value": (csum[end] - csum[start]) / float(UNITS),
-            f"last_{self.order}": pdf[self.order].to_numpy()[fire],
-        })
-        self.book.update((arr[-self.size:].tolist(), int(n0 + len(new))))
-        yield out
-
-    def close(self) -> None:
-        pass
+UNITS = 1_000_000_000   # values have nine decimal places, as in the batch sums; a window's sum may reach 9.2 * 10^9
 
 
 class _Book:
@@ -245,7 +152,7 @@ class OrderTimeoutProcessor(StatefulProcessor):
 class LateWindowProcessor(StatefulProcessor):
     """Tumbling event-time windows with allowed lateness and a late side output.
 
-    Input rows ``(arrival, event_id, ms, units)`` of one key; the watermark is the
+    Input rows ``(arrival, event_id, ms, units, valued)`` of one key (``units`` 0 where ``valued`` is 0); the watermark is the
     engine's (max event time of earlier micro-batches minus the bound). At the
     start of a batch, windows the watermark has passed emit their on-time
     result (``firing = 0``). Rows of open windows accumulate; rows of passed
@@ -256,7 +163,7 @@ class LateWindowProcessor(StatefulProcessor):
     """
 
     SCHEMA = ("ends array<long>, n array<long>, units array<long>, fired array<boolean>, "
-              "late array<long>, armed long")
+              "late array<long>, valued array<long>, armed long")
 
     def __init__(self, key: str, window_ms: int, lateness_ms: int):
         self.key, self.window, self.lateness = key, window_ms, lateness_ms
@@ -269,7 +176,7 @@ class LateWindowProcessor(StatefulProcessor):
         b = self.book.get()
         if b is None:
             return {}, None
-        return {int(e): [int(n), int(c), bool(f), int(l)] for e, n, c, f, l in zip(*b[:5])}, b[5]
+        return {int(e): [int(n), int(c), bool(f), int(l), int(v)] for e, n, c, f, l, v in zip(*b[:6])}, b[6]
 
     def _save(self, wins: dict, wm: int, armed: int | None) -> None:
         keep = {e: w for e, w in wins.items() if not (w[2] and e + self.lateness <= wm)}
@@ -280,7 +187,7 @@ class LateWindowProcessor(StatefulProcessor):
             return
         ends = sorted(keep)
         self.book.update((ends, [keep[e][0] for e in ends], [keep[e][1] for e in ends],
-                          [keep[e][2] for e in ends], [keep[e][3] for e in ends], armed))
+                          [keep[e][2] for e in ends], [keep[e][3] for e in ends], [keep[e][4] for e in ends], armed))
 
     def _fire_passed(self, wins: dict, wm: int, key) -> list:
         out = []
@@ -288,12 +195,12 @@ class LateWindowProcessor(StatefulProcessor):
             w = wins[e]
             if not w[2] and e <= wm:
                 w[2] = True
-                out.append((key[0], e, 0, w[0], w[1], -1))
+                out.append((key[0], e, 0, w[0], w[1], w[4], -1))
         return out
 
     def _frame_out(self, rows: list) -> pd.DataFrame:
-        cols = [self.key, "window_end_ms", "firing", "event_count", "sum_units", "event_id"]
-        return pd.DataFrame(rows, columns=cols).astype("int64")
+        cols = [self.key, "window_end_ms", "firing", "event_count", "sum_units", "valued", "event_id"]
+        return pd.DataFrame(rows, columns=cols).astype({c: "int64" for c in cols[1:]} | {self.key: "Int64"})
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         wm = timerValues.getCurrentWatermarkInMs()
@@ -307,6 +214,7 @@ class LateWindowProcessor(StatefulProcessor):
         ids = ids[idx]
         ms = pdf["ms"].to_numpy(dtype="int64")[idx]
         units = pdf["units"].to_numpy(dtype="int64")[idx]
+        valued = pdf["valued"].to_numpy(dtype="int64")[idx]
         ends = ms - ms % self.window + self.window
         is_open = ends > wm
         is_late = ~is_open & (wm < ends + self.lateness)
@@ -316,24 +224,27 @@ class LateWindowProcessor(StatefulProcessor):
             cnt = np.bincount(inv)
             tot = np.zeros(len(ue), dtype="int64")
             np.add.at(tot, inv, units[is_open])
-            for e, c, t in zip(ue.tolist(), cnt.tolist(), tot.tolist()):
-                w = wins.setdefault(e, [0, 0, False, 0])
+            with_value = np.bincount(inv, valued[is_open]).astype("int64")
+            for e, c, t, v in zip(ue.tolist(), cnt.tolist(), tot.tolist(), with_value.tolist()):
+                w = wins.setdefault(e, [0, 0, False, 0, 0])
                 w[0] += c
                 w[1] += t
+                w[4] += v
         # accepted late rows (rare): each re-fires its window, in arrival order
-        for e, c, i in zip(ends[is_late].tolist(), units[is_late].tolist(), ids[is_late].tolist()):
-            w = wins.setdefault(e, [0, 0, True, 0])
+        for e, c, v, i in zip(ends[is_late].tolist(), units[is_late].tolist(), valued[is_late].tolist(), ids[is_late].tolist()):
+            w = wins.setdefault(e, [0, 0, True, 0, 0])
             w[0] += 1
             w[1] += c
             w[3] += 1
-            out.append((key[0], e, w[3], w[0], w[1], i))
+            w[4] += v
+            out.append((key[0], e, w[3], w[0], w[1], w[4], i))
         # beyond the allowed lateness: side output
         drop = ~is_open & ~is_late
         frames = [self._frame_out(out)] if out else []
         if drop.any():
             frames.append(pd.DataFrame({self.key: key[0], "window_end_ms": ends[drop], "firing": -1,
-                                        "event_count": 1, "sum_units": units[drop], "event_id": ids[drop]}
-                                       ).astype("int64"))
+                                        "event_count": 1, "sum_units": units[drop], "valued": valued[drop], "event_id": ids[drop]}
+                                       ).astype({self.key: "Int64"}))
         self._save(wins, wm, armed)
         return iter(frames)
 
@@ -346,3 +257,80 @@ class LateWindowProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class DayTotalProcessor(StatefulProcessor):
+    """The running total of a day at every tick, by a recurring event-time timer.
+
+    Input rows ``(tick_ms, whole, nano, valued)`` of one key: the end of the tick that a sale falls in, and its price as a
+    whole number and billionths. A timer stands at the next tick: when the watermark passes it, the open day's total is
+    emitted and the timer is set to the tick after that, until the day's last tick closes the day and clears its total. Sales of
+    ticks to come wait in the state, so it holds one day and the ticks ahead of the watermark, and nothing
+    when all days are closed. Frames are added up one by one, so the rows of a key are never held together.
+    """
+
+    SCHEMA = "next_tick long, day_end long, whole long, nano long, ticks array<long>, wholes array<long>, nanos array<long>, armed long"
+
+    def __init__(self, key: str, tick_ms: int, day_ms: int, offset_ms: int):
+        self.key, self.tick, self.day, self.offset = key, tick_ms, day_ms, offset_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.book = handle.getValueState("book", self.SCHEMA)
+
+    def _load(self):
+        b = self.book.get()
+        if b is None:
+            return None, None, 0, 0, {}, None
+        return b[0], b[1], b[2], b[3], {t: [w, n] for t, w, n in zip(b[4], b[5], b[6])}, b[7]
+
+    def _store(self, next_tick, day_end, whole, nano, ahead, armed) -> None:
+        want = next_tick if next_tick is not None else min(ahead, default=None)
+        armed = _Book.arm(self.handle, armed, want)
+        if want is None:
+            self.book.clear()
+            return
+        ticks = sorted(ahead)
+        whole, nano = whole + nano // UNITS, nano % UNITS
+        self.book.update((next_tick, day_end, whole, nano, ticks, [ahead[t][0] for t in ticks], [ahead[t][1] for t in ticks], armed))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        next_tick, day_end, whole, nano, ahead, armed = self._load()
+        for pdf in rows:
+            for t, part in pdf.groupby("tick_ms"):
+                a = ahead.setdefault(int(t), [0, 0])
+                more = a[1] + int(part["nano"].sum())
+                ahead[int(t)] = [a[0] + int(part["whole"].sum()) + more // UNITS, more % UNITS]
+        if next_tick is not None and ahead and min(ahead) < next_tick:
+            next_tick = min(ahead)                     # a sale that came before its tick's timer
+        self._store(next_tick, day_end, whole, nano, ahead, armed)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        limit = max(expiredTimerInfo.getExpiryTimeInMs(), timerValues.getCurrentWatermarkInMs())
+        next_tick, day_end, whole, nano, ahead, _ = self._load()
+        out = []
+        while True:
+            if next_tick is None:                      # no day is open: the next sale opens one
+                if not ahead:
+                    break
+                next_tick = min(ahead)
+                day_end = -((self.offset - next_tick) // self.day) * self.day + self.offset
+            if next_tick > limit:
+                break
+            w, n = ahead.pop(next_tick, (0, 0))
+            whole, nano = whole + w + (nano + n) // UNITS, (nano + n) % UNITS
+            out.append((key[0], next_tick, whole, nano))
+            if next_tick >= day_end:
+                next_tick, day_end, whole, nano = None, None, 0, 0
+            else:
+                next_tick += self.tick
+        self._store(next_tick, day_end, whole, nano, ahead, None)         # the armed timer has just fired
+        if not out:
+            return iter([])
+        pdf = pd.DataFrame(out, columns=[self.key, "tick_ms", "whole", "nano"])
+        pdf["tick"] = pd.to_datetime(pdf["tick_ms"], unit="ms", utc=True)
+        return iter([pdf[[self.key, "tick", "whole", "nano"]]])
+
+    def close(self) -> None:
+        pass
