@@ -27,7 +27,7 @@ def lookup_join(
 
     ``dim`` must already have one row per key (see :func:`dedupe_last`).
     """
-    joined = fact.join(dim.select(key, *fields.keys()), on=key, how="left")
-    for name, default in fields.items():
-        joined = joined.withColumn(name, F.coalesce(F.col(name), F.lit(default)))
-    return joined
+    joined = fact.join(dim.select(key, *fields.keys(), F.lit(True).alias("_tw_match")), on=key, how="left")
+    for name, default in fields.items():     # a null of a matched row stays null
+        joined = joined.withColumn(name, F.when(F.col("_tw_match"), F.col(name)).otherwise(F.lit(default)))
+    return joined.drop("_tw_match")

@@ -27,6 +27,7 @@ FILTERED_WORD = "haha"
 
 # Micro-batches in which the corpus is fed through the upsert sink, however many documents there are.
 EPOCHS, STREAM_SLICES = 8, 4
+WORD_BUCKETS = 16
 
 
 def _docs(spark: SparkSession, sf_dir: str, cols=("doc_id", "text")) -> DataFrame:
@@ -125,7 +126,7 @@ def kv_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _docs(spark, sf_dir)
     lo, hi = d.agg(F.min("doc_id"), F.max("doc_id")).first()
     width = ((hi or 0) - (lo or 0)) // EPOCHS + 1
-    d = d.withColumn("epoch", F.floor((F.col("doc_id") - F.lit(lo or 0)) / F.lit(width)).cast("long"))
+    d = d.withColumn("epoch", F.coalesce(F.floor((F.col("doc_id") - F.lit(lo or 0)) / F.lit(width)), F.lit(0)).cast("long"))
     lines = d.select("epoch", F.explode(text_lines_of("text")).alias("line"))
     per_epoch = lines.select("epoch", F.explode(java_split("line")).alias("word")) \
         .groupBy("word", "epoch").agg(F.count(F.lit(1)).alias("n"))
@@ -133,8 +134,8 @@ def kv_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         "frequency", F.sum("n").over(Window.partitionBy("word").orderBy("epoch")
                                       .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     path = scratch_path(spark, "kv_upsert")
-    # one writer per epoch, as each micro-batch writes its own folder
-    (running.select("word", "frequency", "epoch").repartition("epoch").write.mode("overwrite")
+    # each epoch writes its own folder, by as many tasks as there are buckets of words
+    (running.select("word", "frequency", "epoch").repartition("epoch", F.pmod(F.xxhash64("word"), F.lit(WORD_BUCKETS))).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(path))
     return UpsertLog(spark, path, "word", "frequency").current()
 
@@ -152,7 +153,8 @@ def word_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     query = counts.writeStream.outputMode("update").foreachBatch(table.write_batch)
     checkpoint = scratch_path(spark, "wc_stream_ckpt")
     for i in range(STREAM_SLICES):                                   # a slice lands, the stream drains it
-        docs.where(F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(STREAM_SLICES)) == i).select("text").write.mode("append").text(src)
+        mine = docs.where(F.pmod(F.coalesce("doc_id", F.lit(0)), F.lit(STREAM_SLICES)) == i)
+        mine.select("text").where("text is not null").write.mode("append").text(src)
         run_available_now(query, checkpoint)
     return table.current()
 
@@ -218,7 +220,7 @@ ORACLE = {
         SELECT line, CAST(sum(len({_JAVA_SPLIT_SQL})) AS BIGINT) AS frequency
         FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)
         WHERE len({_JAVA_SPLIT_SQL}) > 0 GROUP BY line""",
-    "text_lines": "SELECT unnest(string_split(text, chr(10))) AS value FROM documents",
+    "text_lines": "SELECT unnest(string_split(text, chr(10))) AS value FROM documents WHERE text IS NOT NULL",
     "text_sink": "SELECT concat_ws(',', CAST(user_id AS VARCHAR), json_extract_string(props, '$.k')) AS value FROM events",
     "parse_csv_counts": """SELECT CAST(user_id AS VARCHAR) AS id,
         CAST(json_extract_string(props, '$.k') AS INTEGER) AS "count" FROM events""",

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 
 def write_text(df: DataFrame, path: str, column: str = "value", single_file: bool = False,
                compression: str | None = None) -> None:
-    out = df.select(df[column].cast("string").alias("value"))
+    out = df.select(df[column].cast("string").alias("value")).where("value is not null")     # a null is no line, not an empty one
     if single_file:
         out = out.repartition(1)      # one writer; the work above keeps its tasks
     writer = out.write.mode("overwrite")

@@ -27,6 +27,7 @@ class SliceFeed:
         self.df, self.order, self.path, self.closing = df, order, path, closing
         bounds = df.agg(F.min(order).alias("lo"), F.max(order).alias("hi"), F.count(F.lit(1)).alias("n")).first()
         self.todo, self.landed = [], 0
+        self.closing_order = (bounds["hi"] or 0) + 1     # of the closing row: later than all others
         if bounds["n"]:
             lo, hi = bounds["lo"] or 0, bounds["hi"] or 0
             width = (hi - lo) // pieces + 1
@@ -50,8 +51,8 @@ class SliceFeed:
         if self.closing and self.landed > 1:
             ts, later = self.closing
             self.closing = None
-            last = self.df.agg(F.max(self.order).alias("o"), F.max(ts).alias("t"))
-            row = [(F.coalesce("o", F.lit(0)) + 1 if f.name == self.order else F.col("t") + F.expr(f"INTERVAL {later}") if f.name == ts
+            last = self.df.agg(F.max(ts).alias("t"))
+            row = [(F.lit(self.closing_order) if f.name == self.order else F.col("t") + F.expr(f"INTERVAL {later}") if f.name == ts
                     else F.lit(None)).cast(f.dataType).alias(f.name) for f in self.df.schema.fields]
             self._write(last.select(*row))
             return True

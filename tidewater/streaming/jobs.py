@@ -53,6 +53,13 @@ def use_rocksdb_state(spark: SparkSession) -> None:
         spark.conf.set(key, ROCKSDB)
 
 
+NO_ID = -(1 << 62)         # stands for a null id inside of the state processors
+
+
+def _with_id(df: DataFrame, name: str) -> DataFrame:
+    return df.withColumn(name, F.when(F.col(name) != NO_ID, F.col(name)))
+
+
 def _landed_events(spark: SparkSession, sf_dir: str, cols: list[str], name: str) -> SliceFeed:
     ev = read_table(spark, sf_dir, "events", cols)
     return SliceFeed(ev, "event_id", PIECES, scratch_path(spark, f"{name}_landing"),
@@ -97,7 +104,7 @@ def _late_events(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "ts", "value"]).withColumn(
         "arrival", F.col("event_id") + F.pmod(F.col("event_id") * ARRIVAL_MULT, F.lit(LATE_SPREAD)))
     feed = SliceFeed(ev, "arrival", LATE_PIECES, scratch_path(spark, f"{name}_landing"), ("ts", CLOSING))
-    rows = (feed.stream.select("user_id", "event_id", "arrival",
+    rows = (feed.stream.select("user_id", F.coalesce("event_id", F.lit(NO_ID)).alias("event_id"), F.coalesce("arrival", F.lit(NO_ID)).alias("arrival"),
                                F.floor(epoch_micros("ts") / 1000).cast("long").alias("ms"),
                                F.coalesce((exact_money("value") * UNITS).cast("long"), F.lit(0)).alias("units"),
                                F.col("value").isNotNull().cast("long").alias("valued"),
@@ -105,14 +112,14 @@ def _late_events(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             .withWatermark("et", LATE_BOUND)
             # the event-time column stays out of the processor input: the
             # processor classifies late rows itself instead of the engine dropping them
-            # (the closing row has no id; as in order_timeout_stream, one predicate that stays above the watermark)
-            .where(F.when(F.col("event_id").isNotNull() | F.col("arrival").isNull(), F.col("et")).isNotNull())
+            # (without the closing row: one predicate that reads the event time and can't be split, so it stays above the watermark)
+            .where(F.when(F.col("arrival") != feed.closing_order, F.col("et")).isNotNull())
             .select("user_id", "event_id", "arrival", "ms", "units", "valued"))
     out = rows.groupBy("user_id").transformWithStateInPandas(
         LateWindowProcessor("user_id", duration_micros(LATE_WINDOW) // 1000, duration_micros(LATE_ALLOWED) // 1000),
         "user_id long, window_end_ms long, firing long, event_count long, sum_units long, valued long, event_id long",
         "Append", "EventTime")
-    done = _sink(spark, feed, out, name)
+    done = _with_id(_sink(spark, feed, out, name), "event_id")
     return done.withColumn("sum_value", F.when(F.col("valued") > 0, (F.col("sum_units").cast("decimal(19,0)") / UNITS).cast("double")))
 
 
@@ -203,7 +210,7 @@ def order_timeout_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases wait one hour for a click of the same user (map state + event-time timers)."""
     feed = _landed_events(spark, sf_dir, ["event_id", "user_id", "ts", "event_type"], "order_timeout_stream")
     # every event moves the watermark; only purchases and clicks reach the state
-    rows = (feed.stream.select("user_id", "event_type", F.col("event_id").alias("order_id"),
+    rows = (feed.stream.select("user_id", "event_type", F.coalesce("event_id", F.lit(NO_ID)).alias("order_id"),
                        F.floor(epoch_micros("ts") / 1000).cast("long").alias("ms"),
                        F.timestamp_micros(epoch_micros("ts")).alias("et"))
             .withWatermark("et", TIMER_WATERMARK)
@@ -219,14 +226,14 @@ def order_timeout_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         OrderTimeoutProcessor("user_id", duration_micros(TIMEOUT) // 1000),
         "order_id long, user_id long, order_ms long, handled_ms long, status string",
         "Append", "EventTime")
-    return _sink(spark, feed, out, "order_timeout_stream")
+    return _with_id(_sink(spark, feed, out, "order_timeout_stream"), "order_id")
 
 
 def order_timeout_drain_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Literal timers: every event is an order with a timer one hour later, and
     each timer hands all pending orders of the user that arrived before it."""
     feed = _landed_events(spark, sf_dir, ["event_id", "user_id", "ts"], "drain_stream")
-    rows = (feed.stream.select("user_id", F.lit("order").alias("kind"), F.col("event_id").alias("order_id"),
+    rows = (feed.stream.select("user_id", F.lit("order").alias("kind"), F.coalesce("event_id", F.lit(NO_ID)).alias("order_id"),
                        F.floor(epoch_micros("ts") / 1000).cast("long").alias("ms"),
                        F.timestamp_micros(epoch_micros("ts")).alias("et"))
             .withWatermark("et", TIMER_WATERMARK))
@@ -234,7 +241,7 @@ def order_timeout_drain_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         OrderTimeoutProcessor("user_id", duration_micros(TIMEOUT) // 1000, drain_all=True),
         "order_id long, user_id long, order_ms long, handled_ms long, status string",
         "Append", "EventTime")
-    done = _sink(spark, feed, out, "drain_stream")
+    done = _with_id(_sink(spark, feed, out, "drain_stream"), "order_id")
     status = F.when(char_code_parity(F.col("order_id"), integral=True) == 0, F.lit("reviewed")) \
         .otherwise(F.lit("auto_good_review"))
     return done.select("order_id", "user_id", "order_ms", "handled_ms", status.alias("status"))
@@ -300,11 +307,11 @@ def _day_totals(feed: SliceFeed) -> DataFrame:
     """Stage 1 of the dashboard as a stream: (category, tick, total) at every tick of every day, by a recurring timer. ``tick`` is the event
     time that the next stage goes by."""
     price = exact_money("value")
-    rows = (feed.stream.select(F.col("event_type").alias("category"), to_event_time("ts").alias("et"),
+    rows = (feed.stream.select("event_id", F.col("event_type").alias("category"), to_event_time("ts").alias("et"),
                                F.floor(price).cast("long").alias("whole"), ((price - F.floor(price)) * UNITS).cast("long").alias("nano"))
             .withWatermark("et", TIMER_WATERMARK)
-            # the closing row has no category and no price; one predicate that reads the event time and can't be split, so it stays above the watermark
-            .where(F.when(F.col("category").isNotNull() | F.col("whole").isNotNull(), F.col("et")).isNotNull())
+            # without the closing row: one predicate that reads the event time and can't be split, so it stays above the watermark
+            .where(F.when(~F.col("event_id").eqNullSafe(F.lit(feed.closing_order)), F.col("et")).isNotNull())
             .select("category", (F.floor(F.unix_millis("et") / TICK_MS) * TICK_MS + TICK_MS).cast("long").alias("tick_ms"),
                     F.coalesce("whole", F.lit(0)).alias("whole"), F.coalesce("nano", F.lit(0)).alias("nano"), "et"))
     out = rows.groupBy("category").transformWithStateInPandas(
