@@ -90,7 +90,7 @@ def test_classes_equal_brute_force(docs_of):
             assert (got[d].class_id, got[d].class_size, got[d].kept) == (min(ids), len(ids), d == min(ids))
 
 
-def shared_passages(seed=11, per=45):
+def shared_passages(seed=11, per=20):
     """Families of one size whose texts share most of a template: similarities on both sides of 0.8."""
     rng = random.Random(seed)
     rows = []
@@ -165,3 +165,27 @@ def test_components_of_a_long_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(7, 7)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(1, 41)}, **{100 + i: 100 for i in range(1, 60)}}
+
+
+def test_components_of_more_links(spark):
+    """Links in three portions give the components of all of them, whatever their order."""
+    rng = random.Random(4)
+    for seed in range(3):
+        links = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)]
+        parent = {}
+
+        def find(x):
+            while parent.setdefault(x, x) != x:
+                x = parent[x]
+            return x
+
+        for u, v in links:
+            a, b = sorted((find(u), find(v)))
+            parent[b] = a
+        want = {x: find(x) for x in parent if find(x) != x}
+        frame = lambda part: spark.createDataFrame(part, "u long, v long")
+        root = components(frame(links[:15]))
+        root = components(frame(links[15:30]), root)
+        root = components(frame(links[30:]), root)
+        root = components(frame([(u, v) for u, v in links[:9]]), root)          # nothing new
+        assert {r.node: r.root for r in root.collect()} == want and root.count() == len(want)

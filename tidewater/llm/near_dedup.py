@@ -320,8 +320,7 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, least: float = LEAST, bands
     bags = saved(texts.select("node", "shingles", _bag_udf(shingle)(F.col("text")).alias("bag")).dropDuplicates(["node"]), "bags")
 
     at, tested = _stars(members, bags, least)
-    links = saved(_links(tested, least), "verified")
-    root = components(links)
+    root = components(_links(tested, least))
     outside, open_ = _open(at, root, least)
     if outside.isEmpty():
         return _classed(found, root)
@@ -334,8 +333,7 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, least: float = LEAST, bands
     mixed = members.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key")
     members = saved(members.join(mixed, "key", "left_semi").select("key", "node", "shingles", "central"), "mixed")
     at, more = _stars(members, bags, least)
-    links = saved(links.unionAll(_links(more, least)), "verified")
-    root = components(links)
+    root = components(_links(more, least), root)
     outside, open_ = _open(at, root, least)
     if outside.isEmpty():
         return _classed(found, root)
@@ -347,8 +345,7 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, least: float = LEAST, bands
     nodes = saved(nodes.join(left, "node", "left").withColumn("_out", F.coalesce("_out", F.lit(False))), "left")
     pairs = saved(_by_rare_elements(nodes, bags, least), "pairs")
     if not pairs.isEmpty():
-        links = saved(links.unionAll(_links(_similar(pairs, bags), least)), "verified")
-        root = components(links)
+        root = components(_links(_similar(pairs, bags), least), root)
     return _classed(found, root)
 
 
