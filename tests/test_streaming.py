@@ -63,16 +63,17 @@ def test_state_processors_run_without_the_package_on_worker_path(tmp_path):
         "from pyspark.sql import SparkSession\n"
         "spark = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false')"
         ".config('spark.sql.shuffle.partitions', '2').getOrCreate()\n"
-        "from tidewater.streaming.jobs import running_max_stream\n"
-        f"print('ROWS', running_max_stream(spark, {SF_SMALL!r}).count())\n")
+        "from tidewater.plans.registry import QUERIES\n"
+        "for name in ('order_timeout_stream', 'running_max_stream', 'running_day_total_stream', 'polled_customers'):\n"
+        f"    print('ROWS', name, QUERIES[name](spark, {SF_SMALL!r}).count())\n")
     out = subprocess.run([sys.executable, str(script)], cwd=str(tmp_path), capture_output=True, text=True,
                          timeout=600)
-    assert "ROWS 1000" in out.stdout, out.stderr[-2000:]
+    assert "ROWS running_max_stream 1000" in out.stdout and "ROWS polled_customers 600" in out.stdout, out.stderr[-2000:]
 
 
 STREAMS = ["event_time_tumbling", "tumble_sql_stream", "order_timeout_stream", "order_timeout_drain_stream", "running_max_stream",
            "count_tumbling_stream", "count_sliding_stream", "retract_changelog_stream", "sales_dashboard_stream",
-           "late_refires_stream", "sliding_sum_stream", "session_sum_stream"]
+           "late_refires_stream", "sliding_sum_stream", "session_sum_stream", "running_day_total_stream", "union_live"]
 
 
 @pytest.fixture(scope="module")
@@ -85,14 +86,16 @@ def many_files(spark, tmp_path_factory):
 
 @pytest.mark.parametrize("name", STREAMS)
 def test_streams_do_not_depend_on_the_number_of_files(spark, many_files, name):
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
     try:
         assert spark.read.parquet(f"{many_files}/events.parquet").rdd.getNumPartitions() >= 8
         res = compare(spark, many_files, name, QUERIES[name], ORACLE[name], duck_connection(SF_SMALL))
     finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert res["status"] == "match", res
 
 
