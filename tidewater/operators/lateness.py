@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions.money import exact_money
 from tidewater.functions.timefn import epoch_micros, from_epoch_micros
-from tidewater.operators.running import DEFAULT_HOT_THRESHOLD, RunningSpec, row_chunk, running_aggregate
+from tidewater.operators.running import DEFAULT_HOT_THRESHOLD, RunningSpec, _null_safe, row_chunk, running_aggregate
 from tidewater.operators.windows import duration_micros
 from tidewater.session import materialize
 
@@ -96,11 +96,11 @@ def window_firings(
                              specs=[RunningSpec("firing", "count"),
                                     RunningSpec("_late_sum", "sum", exact_money(value))],
                              hot_threshold=hot_threshold)
-    refires = late.join(on_time, on=wkeys, how="left").select(
+    refires = _null_safe(late, on_time, wkeys, "left").select(
         *wkeys,
         F.col("firing").cast("long").alias("firing"),
         (F.coalesce(F.col("_on_n"), F.lit(0)) + F.col("firing")).cast("long").alias("event_count"),
-        (F.coalesce(F.col("_on_sum"), F.lit(0)) + F.col("_late_sum")).cast("double").alias("sum_value"),
+        F.coalesce(F.col("_on_sum") + F.col("_late_sum"), "_on_sum", "_late_sum").cast("double").alias("sum_value"),
     )
     first = on_time.select(*wkeys, F.lit(0).cast("long").alias("firing"),
                            F.col("_on_n").cast("long").alias("event_count"),

@@ -80,16 +80,17 @@ def tick_top(stage1: DataFrame, n: int = TOP_N) -> DataFrame:
 
 
 def dashboard_lines(stage1: DataFrame, n: int = TOP_N) -> DataFrame:
-    """The printed dashboard line per tick: ``(date_time, line)``."""
-    top = tick_top(stage1, n).select(
-        "date_time", "rank",
-        F.concat(F.lit(ITEM_OPEN), "category", F.lit(ITEM_TOTAL), F.col("total_price").cast("string"),
-                 F.lit(ITEM_CLOSE)).alias("item"))
+    """The printed dashboard line per tick: ``(date_time, line)``. Total and ranking come from one pass over stage 1: both are
+    windows of the tick (one row per category), and only the first ``n`` rows of a tick go on."""
+    tick = Window.partitionBy("date_time")
+    rank = F.row_number().over(tick.orderBy(F.col("total_price").desc(), "category"))
+    total = round_half_up(F.sum(exact_money("total_price")).over(tick), 2).cast("double")
+    item = F.concat(F.lit(ITEM_OPEN), "category", F.lit(ITEM_TOTAL), F.col("total_price").cast("string"), F.lit(ITEM_CLOSE))
+    top = stage1.select("date_time", rank.alias("rank"), total.alias("total"), item.alias("item")).where(F.col("rank") <= n)
     # at most n items per tick are collected
-    items = top.groupBy("date_time").agg(F.array_sort(F.collect_list(F.struct("rank", "item"))).alias("items"))
-    joined = tick_totals(stage1).join(items, "date_time")
-    return joined.select("date_time", F.concat(
-        F.lit(LINE_TIME), "date_time", F.lit(LINE_TOTAL), F.col("total_price").cast("string"), F.lit(LINE_TOP),
+    lines = top.groupBy("date_time").agg(F.max("total").alias("total"), F.array_sort(F.collect_list(F.struct("rank", "item"))).alias("items"))
+    return lines.select("date_time", F.concat(
+        F.lit(LINE_TIME), "date_time", F.lit(LINE_TOTAL), F.col("total").cast("string"), F.lit(LINE_TOP),
         F.array_join(F.transform("items", lambda s: s["item"]), ITEM_SEP)).alias("line"))
 
 

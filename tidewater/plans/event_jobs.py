@@ -253,8 +253,8 @@ ORACLE = {
                n AS event_count, CAST(s AS DOUBLE) AS sum_value FROM o
         UNION ALL
         SELECT l.user_id, l.ws, l.we, l.firing, coalesce(o.n, 0) + l.firing,
-               CAST(coalesce(o.s, 0) + l.ls AS DOUBLE)
-        FROM l LEFT JOIN o ON l.user_id = o.user_id AND l.we = o.we""",
+               CAST(coalesce(o.s + l.ls, o.s, l.ls) AS DOUBLE)
+        FROM l LEFT JOIN o ON l.user_id IS NOT DISTINCT FROM o.user_id AND l.we = o.we""",
     "day_offset_sum": f"""SELECT event_type AS category,
         {_bucket('1 day', "TIMESTAMP '1970-01-01 16:00:00'")} AS window_start,
         {_bucket('1 day', "TIMESTAMP '1970-01-01 16:00:00'")} + INTERVAL '1 day' AS window_end, {_WIN_AGGS}

@@ -8,10 +8,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.operators.aggregate import observed_count as _observed, partition_sizes
+from tidewater.operators.aggregate import observed_count as _observed
 from tidewater.operators.basic import connect_map, even_odd_tag, tag_rows, union_all
 from tidewater.operators.enrich import dedupe_last, lookup_join
 from tidewater.session import scratch_path
+from tidewater.sinks.round_robin import dealt
 from tidewater.sinks.text import write_text
 from tidewater.sources.inline import inclusive_range, inline_rows as _inline
 from tidewater.sources.jdbc import tag_poll
@@ -90,10 +91,12 @@ def observed_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def partition_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """After a filter, round-robin rebalance; report partitions used and rows."""
+    """After a filter, exact round-robin rebalance; report the partitions used, all rows, and the rows of the smallest and the
+    largest partition, which differ by one at most."""
     ids = read_table(spark, sf_dir, "events", ["event_id"]).where(F.col("event_id") > SEQUENCE_FILTER_MIN)
-    sizes = partition_sizes(ids.repartition(REBALANCE_PARTITIONS))
-    return sizes.agg(F.count(F.lit(1)).alias("partitions"), F.sum("rows").alias("total_rows"))
+    sizes = dealt(ids, "event_id", REBALANCE_PARTITIONS).groupBy("partition").agg(F.count(F.lit(1)).alias("rows"))
+    return sizes.agg(F.count(F.lit(1)).alias("partitions"), F.sum("rows").alias("total_rows"),
+                     F.min("rows").alias("smallest"), F.max("rows").alias("largest"))
 
 
 def resumable_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,8 +150,10 @@ ORACLE = {
                    + ", ".join(f"'{t}'" for t in INLINE_EVENT_TYPES) + ") GROUP BY event_type",
     "sequence": "SELECT unnest(generate_series(min(event_id), max(event_id))) AS id FROM events",
     "observed_count": "SELECT count(*) AS processed FROM events",
-    "partition_balance": f"""SELECT CAST({REBALANCE_PARTITIONS} AS BIGINT) AS partitions, count(*) AS total_rows
-        FROM events WHERE event_id > {SEQUENCE_FILTER_MIN}""",
+    "partition_balance": f"""WITH m AS (SELECT (row_number() OVER (ORDER BY event_id) - 1) % {REBALANCE_PARTITIONS} AS p
+                 FROM events WHERE event_id > {SEQUENCE_FILTER_MIN}),
+        s AS (SELECT p, count(*) AS n FROM m GROUP BY p)
+        SELECT count(*) AS partitions, CAST(sum(n) AS BIGINT) AS total_rows, min(n) AS smallest, max(n) AS largest FROM s""",
     "resumable_ingest": "SELECT event_id, user_id, event_type, value FROM events",
     "snapshot_poll": f"""SELECT CAST(p AS BIGINT) AS poll_id, c_custkey, c_name, c_nationkey
         FROM customer, range({POLLS}) t(p)""",
