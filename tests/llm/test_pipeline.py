@@ -42,3 +42,17 @@ def test_stages(spark):
 
 def test_run_reads_the_table(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0 and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_awkward_and_empty_tables(spark, docs_of, tables):
+    """Null, empty, repeated and very long texts, null ids and sources, no labels, extra columns; then no rows at all."""
+    from tests.llm.conftest import AWKWARD
+
+    labels = spark.createDataFrame([(None, 1, 0), (4, None, None)], "doc_id long, quality int, toxic int")
+    docs = docs_of(AWKWARD)
+    out = corpus_pipeline.run(spark, tables(documents=docs, labels=labels)).collect()
+    starts = Counter((r.doc_id, r.start) for r in out)
+    assert out and {d for d, _ in starts} <= {d for d, *_ in AWKWARD}
+    assert not any(d in (4, 6) for d, _ in starts)               # copies of 5 and 7: the larger id of equal texts stays
+    empty = corpus_pipeline.run(spark, tables(documents=docs.where("false"), labels=labels))
+    assert empty.count() == 0 and set(empty.columns) == set(r for r in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"))
