@@ -65,6 +65,22 @@ def test_late_streams_keep_a_state_row_per_bucket_of_users(spark, many_users, mo
     assert 0 < max(seen) <= 4 * 4 + 1 and seen[-1] == 0       # four per state partition and that of no user; hundreds of users
 
 
+@pytest.mark.parametrize("name,batch", [("session_sum_stream", "session_sum"), ("sliding_sum_stream", "sliding_sum")])
+def test_a_small_stream_has_few_state_partitions(spark, many_users, monkeypatch, name, batch):
+    key, settings = "spark.sql.shuffle.partitions", ("spark.sql.shuffle.partitions", "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows")
+    old = spark.conf.get(key)
+    spark.conf.set(key, "40")
+    try:
+        before = [spark.conf.get(k, None) for k in settings]
+        out, progress = progress_of(spark, monkeypatch, name, many_users)
+        assert [spark.conf.get(k, None) for k in settings] == before
+        assert {s.numShufflePartitions for p in progress for s in p.stateOperators} == {spark.sparkContext.defaultParallelism}
+    finally:
+        spark.conf.set(key, old)
+    bag = lambda df: Counter(map(tuple, df.select(sorted(df.columns)).collect()))
+    assert out.count() > 0 and bag(out) == bag(QUERIES[batch](spark, many_users))
+
+
 class Handle:
     """State and timers of one key."""
 
