@@ -2,11 +2,14 @@
 
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from tests.llm.conftest import AWKWARD
 from tidewater.llm import quality_model, quality_rules
+from tidewater.llm.common import arrow_blocks, arrow_words, encode, flat_bytes, lower
 
 
 def brute_counts(text):
@@ -88,3 +91,38 @@ def test_classifier_on_awkward_rows(spark, docs_of, tables):
         assert len(rows) == len(AWKWARD) and all(0 <= r.score <= 1 for r in rows)
     assert all(r.score == 1 for r in rows)
     assert quality_model.op6_quality_model(spark, tables(documents=docs_of(AWKWARD).where("false"), labels=some)).count() == 0
+
+
+def test_words_in_arrow_are_those_of_the_plain_split():
+    texts = [None, "", "  \n", " lead", "trail ", "ab", "cd e", "\x0bé x y\x0c A a", "a b c a b c", "x\ny\nx\n \nX"]
+    plain, lens, words = encode([t or "" for t in texts])
+    for kind in (pa.string(), pa.large_string()):
+        whole = pa.array(["cut off", *texts, "and this"], kind)
+        data, at = flat_bytes(whole.slice(1, len(texts)))
+        got, own = arrow_words(data, at)
+        assert got.to_pylist() == [words[i] for i in plain] and own.tolist() == lens.tolist()
+        assert lower(got).to_pylist() == [words[i].lower() for i in plain]
+        assert [t for b in arrow_blocks(whole, 8) for t in b.to_pylist()] == whole.to_pylist()
+        out = quality_rules.judge(whole.slice(1, len(texts)), {})
+        rows = out[["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]].itertuples(index=False)
+        assert [tuple(r) for r in rows] == [brute_counts(t or "") for t in texts]
+
+
+def test_references_over_many_flushes(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(quality_rules, "HELD", 200)
+    monkeypatch.setattr(quality_rules, "FLUSH_WORDS", 7)
+    monkeypatch.setattr(quality_rules, "BLOCK", 64)
+    rng = np.random.default_rng(1)
+    rows = [(i, " ".join(f"{'W' if i % 3 else 'w'}{int(x)}é." for x in rng.zipf(1.5, 40) % 90), ["en", "de", None][i % 3]) for i in range(60)]
+    rows += [(100, None, "en"), (101, "", "fr"), (102, " \n", "fr")]
+    got = quality_rules.references(docs_of(rows).repartition(3), common=20)
+    assert set(got) == {"en", "de"}
+    for lang, (chars, index, share) in got.items():
+        text = " ".join(t for _, t, own in rows if own == lang and t)
+        n = Counter(text.lower().encode().split())
+        best = sorted(n.items(), key=lambda x: (-x[1], x[0]))[:20]
+        assert list(index) == [w for w, _ in best] and list(index.values()) == list(range(len(best)))
+        want = [x for _, x in best] + [n.total() - sum(x for _, x in best)]
+        assert np.allclose(share, np.asarray(want) / n.total())
+        assert np.isclose(chars[quality_rules.CLASSES.index("beyond")], n.total() / (sum(len(t.replace(" ", "")) for _, t, own in rows if own == lang and t)
+                                                                                      + sum((t or "").count(" ") for _, t, own in rows if own == lang)))
