@@ -4,6 +4,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.conftest import AWKWARD
@@ -94,3 +95,41 @@ def test_a_repeated_row_is_spread_over_ranges(docs_of, monkeypatch):
     check(out, rows)
     places = seen[0].where("doc_id = 7").selectExpr("pmod(xxhash64(doc_id, start, ids_crc32, _pk_place), 31) AS r").groupBy("r").count().collect()
     assert len(places) > 20 and max(p["count"] for p in places) < 90
+
+
+def test_block_encoder_gives_the_ids_of_each_text():
+    import random
+
+    path, rng = packing.tokenizer_file(), random.Random(3)
+    one, block = packing.encoder(path), packing.block_encoder(path)
+    parts = [" ", "  ", "\n", "\t", "\r\n", " ", " ", "　", "\u0085", "\x1c", "a", " the", "Bc", "é", "12", "'s", "'", "!?", "…", "​", "\U0001f600",
+             "中文", "\x00", "\x7f", "<|endoftext|>"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(25))) for _ in range(4000)] + [None, "", " x" * 5000, "y" * 300, None]
+    for some in (texts, texts[::-1], [], ["", None]):         # the second time most stretches are known
+        ids, lens = block(pa.array(some, pa.string()))
+        want = [one(t or "") for t in some]
+        assert lens.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    ids, at = packing.ended(np.array([5, 6, 7], np.uint32), np.array([0, 2, 0, 1, 0]), 1)
+    assert ids.tolist() == [1, 5, 6, 1, 1, 7, 1, 1] and at.tolist() == [0, 1, 4, 5, 7, 8]
+
+
+def test_stretches_that_recur_are_encoded_once(monkeypatch):
+    """In texts of few distinct words nearly nothing is left to encode; a full store and long stretches change no id."""
+    monkeypatch.setattr(packing, "KEPT", 50)
+    path, seen = packing.tokenizer_file(), []
+    fast, sizes = packing._fast(path)
+
+    class Counted:
+        def encode_to_numpy(self, text, **how):
+            seen.append(len(text))
+            return fast.encode_to_numpy(text, **how)
+
+        encode_ordinary = staticmethod(fast.encode_ordinary)
+
+    monkeypatch.setattr(packing, "_fast", lambda path: (Counted(), sizes))
+    block = packing.block_encoder(path)
+    texts = [" ".join(f"word{(i * k) % 40}" for k in range(200)) for i in range(50)]
+    for some in (texts, texts, [" ".join(f"other{i}" for i in range(3000)), "z" * 1000 + " " + "q" * 1000]):
+        ids, _ = block(pa.array(some))
+        assert ids.tolist() == [i for t in some for i in fast.encode_ordinary(t)]
+    assert seen[0] <= 40 * len(" word40") and seen[1] == 0

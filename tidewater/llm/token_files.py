@@ -35,8 +35,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidewater.llm.common import BATCH, BATCH_ROWS, CLEAN, documents, hand_back, per_worker, saved, settings, starts_of, whole
-from tidewater.llm.packing import encoder, tokenizer_file
+from tidewater.llm.common import BATCH, BATCH_ROWS, CLEAN, arrow_blocks, documents, hand_back, per_worker, saved, settings, starts_of, whole
+from tidewater.llm.packing import TEXTS, block_encoder, ended, tokenizer_file
 from tidewater.session import scratch_path
 
 MAGIC, CHUNK, BLOCK = b"DAC1", 8, 512
@@ -124,14 +124,17 @@ class Segment:
 
     def tokens(self, lo: int, hi: int) -> np.ndarray:
         """The ids at positions lo to hi (exclusive): a run of every level, found by two ranks."""
-        out = np.zeros(hi - lo, np.uint32)
-        where = np.arange(hi - lo)
+        out = where = None
         for k, (chunks, bits, directory) in enumerate(self.levels):
-            out[where] |= chunks[lo:hi].astype(np.uint32) << np.uint32(CHUNK * k)
+            part = chunks[lo:hi].astype(np.uint32) << np.uint32(CHUNK * k)
+            if out is None:
+                out = part
+            else:
+                out[where] |= part
             if bits is None or hi == lo:
                 break
-            on = np.unpackbits(bits[lo >> 3:-(-hi // 8)], bitorder="little")[lo & 7:(lo & 7) + hi - lo].astype(bool)
-            where, lo = where[on], self._rank(bits, directory, lo)
+            on = np.flatnonzero(np.unpackbits(bits[lo >> 3:-(-hi // 8)], bitorder="little")[lo & 7:(lo & 7) + hi - lo])
+            where, lo = on if where is None else where[on], self._rank(bits, directory, lo)
             hi = lo + len(where)
         return out
 
@@ -152,7 +155,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, shard, number, base = per_worker(("encoder", tokenizer), lambda: encoder(tokenizer)), TaskContext.get().partitionId(), 0, 0
+        encode = per_worker(("block encoder", tokenizer), lambda: block_encoder(tokenizer))
+        shard, number, base = TaskContext.get().partitionId(), 0, 0
         ids, doc_ids, held = [], [], 0
 
         def row():
@@ -162,16 +166,17 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
                 (shard, number, base, len(flat), len(doc_ids), code), schema)], schema=schema)
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0), batch.column(1)):      # one text at a time
-                own = encode(text.as_py())
-                own.append(end_id)
-                if held and held + len(own) > segment:
-                    yield row()
-                    number, base, held = number + 1, base + held, 0
-                    ids, doc_ids = [], []
-                ids.append(np.asarray(own, np.uint32))
-                doc_ids.append(doc_id.as_py())
-                held += len(own)
+            names = iter(batch.column(0).to_pylist())
+            for texts in arrow_blocks(batch.column(1), TEXTS):
+                flat, at = ended(*encode(texts), end_id)
+                for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+                    if held and held + b - a > segment:
+                        yield row()
+                        number, base, held = number + 1, base + held, 0
+                        ids, doc_ids = [], []
+                    ids.append(flat[a:b])
+                    doc_ids.append(next(names))
+                    held += b - a
         if held:
             yield row()
         hand_back()
@@ -206,10 +211,10 @@ def read_documents(spark: SparkSession, path: str, with_ids: bool = False) -> Da
             for start, code in zip(batch.column(0), batch.column(1)):       # one segment at a time
                 s = Segment(code.as_py())
                 at, raw, crc = s.doc_start.astype(np.int64), [], []
-                for k in range(s.n_docs):
-                    own = s.document(k).astype("<u4").tobytes()
-                    crc.append(zlib.crc32(own))
-                    raw += [own] * with_ids
+                every = memoryview(s.tokens(0, s.n_ids).astype("<u4", copy=False)).cast("B")    # levels are put together once, not for every document
+                for a, b in zip((4 * at[:-1]).tolist(), (4 * at[1:]).tolist()):
+                    crc.append(zlib.crc32(every[a:b]))
+                    raw += [bytes(every[a:b])] * with_ids
                 out = [pa.array(s.doc_id, pa.int64(), mask=s.doc_null.astype(bool)), pa.array(at[:-1] + start.as_py()),
                        pa.array(np.diff(at)), pa.array(crc, pa.int64())]
                 yield pa.RecordBatch.from_arrays(out + [pa.array(raw, pa.binary())] * with_ids, schema=pa.schema(fields))
