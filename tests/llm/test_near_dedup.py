@@ -114,6 +114,34 @@ def test_crowded_buckets_equal_brute_force(docs_of, monkeypatch):
     assert seen
 
 
+def names_by_brute_force(rows):
+    return {rows[i][0]: min(rows[j][0] for j in group) for group in classes_by_brute_force(rows) for i in group}
+
+
+def test_crowded_buckets_with_sharper_bands_first(docs_of, monkeypatch):
+    """However few the nodes are: the sharper bands give the classes that the exact join alone gives."""
+    rows = [*family(seed=5), *[(1000 + d, t) for d, t in shared_passages(per=8)]]
+    want, seen = names_by_brute_force(rows), []
+    plain = near_dedup._sharp_udf
+    monkeypatch.setattr(near_dedup, "FEW", 0)
+    monkeypatch.setattr(near_dedup, "_sharp_udf", lambda *a: seen.append(1) or plain(*a))
+    got = {r.doc_id: r.class_id for r in near_dedup.near_copy_report(docs_of(rows)).collect()}
+    assert seen and got == want
+
+
+def test_few_crowded_nodes_take_few_steps(docs_of, monkeypatch):
+    """Each written step costs a small input about as much as a large one."""
+    from tidewater.llm import components as comp
+
+    written, plain = [], near_dedup.saved
+    for module in (near_dedup, comp):
+        monkeypatch.setattr(module, "saved", lambda df, name: written.append(name) or plain(df, name))
+    rows = shared_passages(per=8)
+    got = {r.doc_id: r.class_id for r in near_dedup.near_copy_report(docs_of(rows)).collect()}
+    assert got == names_by_brute_force(rows)
+    assert "prefixes" in written and len([n for n in written if not n.endswith("-star")]) <= 17
+
+
 def test_prefix_join_finds_every_pair_of_different_sizes(spark):
     rng = random.Random(8)
     bags = [rng.sample(range(400), rng.randrange(20, 60)) for _ in range(30)]

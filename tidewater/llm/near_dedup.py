@@ -19,7 +19,7 @@ group of edited copies is the text they come from (a star, linear in the bucket)
 contracted to components. Buckets that still hold several components are mostly texts that share passages
 without being near copies. One minus the similarity is a distance with a triangle inequality, so a node outside of its hub's component at distance d
 from the hub can only be a near copy of nodes at distance d - 0.2 or more: the nodes nearer to the hub, most of a large
-family, leave the bucket without loss. The nodes that stay get a second, sharper signature of ``SHARP_BANDS`` bands of
+family, leave the bucket without loss. The nodes that stay (if they are more than ``FEW``) get a second, sharper signature of ``SHARP_BANDS`` bands of
 ``SHARP_ROWS`` components (above 0.9998 at similarity 0.8, about 0.01 at 0.5), with stars again. Nodes that then still
 share a bucket with another component are joined exactly with the nodes that stay in those buckets: near copies must share one
 of their rarest elements (prefix filtering by frequency, a prefix for every band of sizes that a partner may have), and every pair that does is verified.
@@ -54,6 +54,8 @@ SHARP_BANDS, SHARP_ROWS = 192, 14
 BLOCK = 2 << 20
 #: sets of (doc_id, hash, node) keys up to this many rows (about 60 bytes each) may be broadcast
 BROADCAST_KEYS = 300_000
+#: with up to this many nodes in crowded buckets the exact join takes them as they are, without the sharper bands before it
+FEW = 1000
 #: ratio of the sizes at the ends of a band of the exact join
 SIZE_STEP = 1.06
 GOLDEN, STEP2, STEP3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
@@ -226,27 +228,26 @@ def _similar(pairs: DataFrame, bags: DataFrame) -> DataFrame:
     return both.select("a", "b", _overlap_udf()("bag_a", "bag_b").alias("sim"))
 
 
-def _members(bands: DataFrame) -> DataFrame:
-    """(key, node, shingles, central) of the buckets with two nodes or more; bands: (node, shingles, bands)."""
+def _members(bands: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((key, node, shingles) of the buckets with two nodes or more, (node, central)); bands: (node, shingles, bands)."""
     keys = bands.select("node", "shingles", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").count().where("count > 1")
     members = saved(keys.join(shared, "key"), "members")
-    central = members.groupBy("node").agg(F.sum("count").alias("central"))
-    return saved(members.join(central, "node").select("key", "node", "shingles", "central"), "central")
+    return members.select("key", "node", "shingles"), members.groupBy("node").agg(F.sum("count").alias("central"))
 
 
-def _stars(members: DataFrame, bags: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+def _stars(members: DataFrame, central: DataFrame, bags: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     """All nodes of every bucket against its hub: (the buckets with the hub and the least and the greatest distance to the
     hub that a node may have, the similarities of the pairs tried). Pairs whose sizes rule out ``least`` are not tried."""
-    hub = members.groupBy("key").agg(F.max(F.struct("central", "node", "shingles")).alias("hub"))
-    at = members.join(hub.select("key", F.col("hub.node").alias("hub"), F.col("hub.shingles").alias("hub_size")), "key")
+    hub = members.join(central, "node").groupBy("key").agg(F.max(F.struct("central", "node", "shingles")).alias("hub"))
+    at = members.join(saved(hub.select("key", F.col("hub.node").alias("hub"), F.col("hub.shingles").alias("hub_size")), "hubs"), "key")
     at = at.select("key", "node", "hub", F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"),
                    (F.least("shingles", "hub_size") / F.greatest("shingles", "hub_size")).alias("ratio"))
     tried = at.where((F.col("node") != F.col("hub")) & (F.col("ratio") >= least)).select("a", "b").distinct()
     sims = saved(_similar(tried, bags), "similarities")
     at = at.join(sims, ["a", "b"], "left")
     own = F.when(F.col("node") == F.col("hub"), F.lit(0.0)).otherwise(1 - F.col("sim"))
-    return saved(at.select("key", "node", "hub", F.coalesce(own, 1 - F.col("ratio")).alias("near"), F.coalesce(own, F.lit(1.0)).alias("far")), "stars"), sims
+    return at.select("key", "node", "hub", F.coalesce(own, 1 - F.col("ratio")).alias("near"), F.coalesce(own, F.lit(1.0)).alias("far")), sims
 
 
 def _links(pairs: DataFrame, least: float) -> DataFrame:
@@ -255,7 +256,7 @@ def _links(pairs: DataFrame, least: float) -> DataFrame:
 
 def _open(at: DataFrame, root: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
     """(the buckets' nodes that are not in the component of their hub, those and the nodes that may be near copies of one of
-    them) as (key, node, root). A settled node is left out where the triangle inequality rules it out; the conditions
+    them) as (key, node, root), and (node, root), each once. A settled node is left out where the triangle inequality rules it out; the conditions
     are inside the joins, so settled rows are never made."""
     now = saved(at.join(root, "node", "left").withColumn("root", F.coalesce("root", "node")), "labelled")
     hubs = now.where("node = hub").select(F.col("key").alias("_k"), F.col("root").alias("hub_root"))
@@ -263,7 +264,8 @@ def _open(at: DataFrame, root: DataFrame, least: float) -> tuple[DataFrame, Data
     outside = saved(outside.select("key", "node", "root", "hub_root", "near"), "outside")
     limit = outside.groupBy(F.col("key").alias("_k")).agg(F.first("hub_root").alias("hub_root"), F.min("near").alias("nearest"))
     may = (F.col("root") != F.col("hub_root")) | (F.col("far") >= F.col("nearest") - (1 - least) - 1e-9)
-    return outside, now.join(limit, (F.col("key") == F.col("_k")) & may).select("key", "node", "root")
+    open_ = now.join(limit, (F.col("key") == F.col("_k")) & may).select("node", "root").distinct()
+    return outside, saved(open_, "open")
 
 
 def _by_rare_elements(nodes: DataFrame, bags: DataFrame, least: float) -> DataFrame:
@@ -311,7 +313,7 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, least: float = LEAST, bands
     nodes = (found.where("shingles > 0").groupBy("node")
              .agg(F.min(F.struct("doc_id", "_nd_hash")).alias("w"), F.first("bands").alias("bands"), F.first("shingles").alias("shingles")))
     nodes = saved(nodes, "node-set")
-    members = _members(nodes)
+    members, central = _members(nodes)
 
     wanted = nodes.join(members.select("node").distinct(), "node", "left_semi")
     wanted = saved(wanted.select("node", "shingles", F.col("w.doc_id").alias("_w_id"), F.col("w._nd_hash").alias("_nd_hash")), "wanted")
@@ -319,34 +321,32 @@ def classes(docs: DataFrame, shingle: int = SHINGLE, least: float = LEAST, bands
     texts = docs.join(side, "_nd_hash").where(F.col("doc_id").eqNullSafe(F.col("_w_id")))
     bags = saved(texts.select("node", "shingles", _bag_udf(shingle)(F.col("text")).alias("bag")).dropDuplicates(["node"]), "bags")
 
-    at, tested = _stars(members, bags, least)
+    at, tested = _stars(members, central, bags, least)
     root = components(_links(tested, least))
     outside, open_ = _open(at, root, least)
-    if outside.isEmpty():
+    many = open_.count()
+    if many > FEW:
+        # buckets that hold more than one component: the nodes that may still be linked again, in sharper bands
+        tasks = max(docs.sparkSession.sparkContext.defaultParallelism, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        sharp = bags.join(open_, "node", "left_semi").repartition(tasks, "node").select("node", "shingles", _sharp_udf(SHARP_BANDS, SHARP_ROWS)(F.col("bag")).alias("bands"))
+        members, central = _members(saved(sharp, "sharp"))
+        members = members.join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        mixed = members.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key")
+        members = saved(members.join(mixed, "key", "left_semi").select("key", "node", "shingles"), "mixed")
+        at, more = _stars(members, central, bags, least)
+        root = components(_links(more, least), root)
+        outside, open_ = _open(at, root, least)
+        many = open_.count()
+    if not many:
         return _classed(found, root)
 
-    # buckets that hold more than one component: the nodes that may still be linked again, in sharper bands
-    crowd = open_.select("node").distinct()
-    tasks = max(docs.sparkSession.sparkContext.defaultParallelism, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    sharp = bags.join(crowd, "node", "left_semi").repartition(tasks, "node").select("node", "shingles", _sharp_udf(SHARP_BANDS, SHARP_ROWS)(F.col("bag")).alias("bands"))
-    members = _members(saved(sharp, "sharp")).join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = members.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key")
-    members = saved(members.join(mixed, "key", "left_semi").select("key", "node", "shingles", "central"), "mixed")
-    at, more = _stars(members, bags, least)
-    root = components(_links(more, least), root)
-    outside, open_ = _open(at, root, least)
-    if outside.isEmpty():
-        return _classed(found, root)
-
-    # what is left lies in one sharp bucket with others, but not in their component: an exact join of those nodes with
+    # what is left lies in one bucket with others, but not in their component: an exact join of those nodes with
     # the nodes of these buckets that may be their near copies, by their rarest elements
     left = outside.select("node").distinct().withColumn("_out", F.lit(True))
-    nodes = open_.select("node", "root").distinct().join(bags.select("node", "shingles"), "node")
-    nodes = saved(nodes.join(left, "node", "left").withColumn("_out", F.coalesce("_out", F.lit(False))), "left")
-    pairs = saved(_by_rare_elements(nodes, bags, least), "pairs")
-    if not pairs.isEmpty():
-        root = components(_links(_similar(pairs, bags), least), root)
-    return _classed(found, root)
+    nodes = open_.join(bags.select("node", "shingles"), "node")
+    nodes = nodes.join(left, "node", "left").withColumn("_out", F.coalesce("_out", F.lit(False)))
+    pairs = _by_rare_elements(nodes, bags, least)
+    return _classed(found, components(_links(_similar(pairs, bags), least), root))
 
 
 def _classed(found: DataFrame, root: DataFrame) -> DataFrame:
